@@ -1,4 +1,4 @@
 """Imports every query module, so that the registry is complete."""
 
-from tallyloom.plans import q_behaviour  # noqa: F401
+from tallyloom.plans import q_behaviour, q_rows, q_sources  # noqa: F401
 from tallyloom.plans.registry import ORACLES, QUERIES  # noqa: F401

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,3 +34,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the rows survive the loss of any executor."""
     _checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def shared_folder(spark: SparkSession, purpose: str) -> str:
+    """A new folder below the shared checkpoint folder, for intermediate tables."""
+    _checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
