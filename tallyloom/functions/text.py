@@ -74,7 +74,7 @@ def first_json_string(doc: Column, keys: list[str]) -> Column:
     values = F.from_json(doc, kind)
     quoted = F.regexp_extract_all(doc, F.lit(r':\s*"((?:[^"\\]|\\.)*)"'), F.lit(1))
     named = [F.when(F.trim(values[k]) != "", F.trim(values[k])) for k in keys]
-    rest = F.element_at(F.filter(F.transform(quoted, lambda v: F.trim(v)), lambda v: v != ""), 1)
+    rest = F.try_element_at(F.filter(F.transform(quoted, lambda v: F.trim(v)), lambda v: v != ""), F.lit(1))
     return F.coalesce(*named, F.when(F.size(quoted) > 0, rest))
 
 
