@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 from tallyloom.functions.numeric import inverse_normal
 from tallyloom.operators.profiling import column_profile, melt, nulled
 from tallyloom.operators.quantiles import exact_quantiles, value_ranks
+from tallyloom.operators.slices import Ordered
 
 Fitted = dict[str, tuple[float, float]]  # column -> (centre, scale)
 
@@ -186,12 +188,11 @@ def auto_standardize(df: DataFrame, fitted: DataFrame, indicators: bool = True,
 # --- towards a normal distribution -----------------------------------------------------
 
 
-def normal_scores(train: DataFrame, column: str, eps: float = 1e-3) -> DataFrame:
-    """(value, normal score) for every distinct training value, through the empirical distribution."""
-    p = F.col("ecdf") * (1 - 2 * eps) + eps
-    return value_ranks(nulled(train, [column]), [], column).select(
-        F.col(column), "n_equal", inverse_normal(p).alias("score")
-    )
+def normal_scores(train: DataFrame, columns: Sequence[str], eps: float = 1e-3) -> DataFrame:
+    """(feature, value, ecdf, p, score) for every distinct training value of every column."""
+    ranks = value_ranks(melt(nulled(train, columns), columns), ["feature"], "value")
+    squeezed = ranks.withColumn("p", F.col("ecdf") * (1 - 2 * eps) + eps)
+    return squeezed.withColumn("score", inverse_normal(F.col("p")))
 
 
 def ks_normal_test(df: DataFrame, column: str) -> float:
@@ -202,52 +203,58 @@ def ks_normal_test(df: DataFrame, column: str) -> float:
     return float(KolmogorovSmirnovTest.test(known, "x", "norm", 0.0, 1.0).first()["pValue"])
 
 
+def kolmogorov_p_value(distance: float, n: int) -> float:
+    """Tail of the Kolmogorov distribution (asymptotic series)."""
+    x = distance * math.sqrt(n)
+    if x < 0.04:
+        return 1.0
+    return min(1.0, max(0.0, 2 * sum((-1) ** (k - 1) * math.exp(-2 * k * k * x * x) for k in range(1, 101))))
+
+
 def to_normal_fit(train: DataFrame, columns: Sequence[str], fewer_than: int = 10, alpha: float = 0.01) -> DataFrame:
-    """(feature, is_categorical, p_value, use): which columns may be mapped to normal scores."""
-    kinds = {r["feature"]: bool(r["is_categorical"]) for r in categorical_columns(train, columns, fewer_than).collect()}
-    rows = []
-    for c in columns:
-        if kinds[c]:
-            rows.append((c, 1, None, 0))
-            continue
-        scored = nulled(train.select(c), [c]).where(F.col(c).isNotNull()).join(normal_scores(train, c).drop("n_equal"), c)
-        p = ks_normal_test(scored, "score")
-        rows.append((c, 0, p, int(p >= alpha)))
+    """(feature, is_categorical, p_value, use): which columns may be mapped to normal scores.
+
+    The normal distribution function of a score is ``p``, so the distance of the
+    scores from a normal sample follows from ``p`` and the ECDF alone.
+    """
+    kinds = {r["feature"]: r["is_categorical"] for r in categorical_columns(train, columns, fewer_than).collect()}
+    before = F.col("ecdf") - F.col("n_equal") / F.col("n_total")
+    gap = F.greatest(F.abs(F.col("p") - F.col("ecdf")), F.abs(F.col("p") - before))
+    gaps = normal_scores(train, columns).groupBy("feature").agg(F.max(gap).alias("d"), F.max("n_total").alias("n"))
+    found = {r["feature"]: kolmogorov_p_value(r["d"], r["n"]) for r in gaps.collect()}  # one row per column
+    rows = [(c, kinds[c], found.get(c), int(not kinds[c] and found.get(c, 0.0) >= alpha)) for c in columns]
     return train.sparkSession.createDataFrame(rows, "feature string, is_categorical int, p_value double, use int")
 
 
-def to_normal(train: DataFrame, df: DataFrame, fitted: DataFrame, quantile_fallback: bool = False, scaler: str | None = None) -> DataFrame:
+def to_normal(
+    train: DataFrame, df: DataFrame, fitted: DataFrame, key: str, quantile_fallback: bool = False, scaler: str | None = None
+) -> DataFrame:
     """Replace accepted columns by normal scores of the training distribution.
 
-    A value not seen in training takes the score of the nearest lower training value.
-    Rejected columns become uniform ECDF values with ``quantile_fallback``.
+    A value not seen in training takes the score of the nearest lower training
+    value (the lowest score below the range).  Rejected columns become ECDF
+    values with ``quantile_fallback``.
     """
-    out, used = df, []
-    for r in fitted.collect():  # one row per column
-        c = r["feature"]
-        if r["is_categorical"] or not (r["use"] or quantile_fallback):
-            continue
-        if r["use"]:
-            table = normal_scores(train, c).select(F.col(c).alias("__v"), F.col("score").alias("__s"))
-        else:
-            table = value_ranks(nulled(train, [c]), [], c).select(F.col(c).alias("__v"), F.col("ecdf").alias("__s"))
-        out = _map_by_floor(out, c, table)
-        used.append(c)
-    return scale(out, fit_scaler(out, used, scaler)) if scaler and used else out
-
-
-def _map_by_floor(df: DataFrame, column: str, table: DataFrame) -> DataFrame:
-    """Look up each value's score, or that of the nearest lower table value (the lowest for smaller ones)."""
-    from tallyloom.operators.slices import Ordered, by_quantile
-
-    spots = df.select(F.col(column).alias("__v"), F.lit(None).cast("double").alias("__s")).where("__v IS NOT NULL").distinct()
-    known = spots.select("__v").join(table, "__v", "left_anti").withColumn("__s", F.lit(None).cast("double"))
-    line = table.select(F.col("__v").cast("double").alias("__v"), "__s").unionByName(known.withColumn("__v", F.col("__v").cast("double")))
-    filled = Ordered(by_quantile(line, "__v"), [], [F.col("__v")]).last_known(__score="__s").result()
-    lowest = table.agg(F.min("__s")).first()[0]
-    filled = filled.select(F.col("__v").alias("__k"), F.coalesce("__score", F.lit(lowest)).alias("__score"))
-    out = df.join(filled, F.col(column).cast("double") == F.col("__k"), "left")
-    return out.withColumn(column, F.col("__score")).drop("__k", "__score")
+    choices = {r["feature"]: (r["is_categorical"], r["use"]) for r in fitted.collect()}  # one row per column
+    used = [c for c, (categorical, use) in choices.items() if not categorical and (use or quantile_fallback)]
+    if not used:
+        return df
+    normal = [c for c in used if choices[c][1]]
+    table = normal_scores(train, used).select(
+        "feature", "value", F.when(F.col("feature").isin(normal), F.col("score")).otherwise(F.col("ecdf")).alias("s")
+    )
+    cells = melt(nulled(df, used), used, [key]).where("value IS NOT NULL")
+    unseen = cells.select("feature", "value").distinct().join(table, ["feature", "value"], "left_anti")
+    line = table.unionByName(unseen.withColumn("s", F.lit(None).cast("double")))
+    scored = Ordered.per_key(line, ["feature"], ["value"]).last_known(score="s").result()
+    lowest = {r["feature"]: r["s"] for r in table.groupBy("feature").agg(F.min("s").alias("s")).collect()}
+    floor = F.create_map(*[F.lit(x) for c in used for x in (c, float(lowest[c]))])[F.col("feature")]
+    scored = scored.select("feature", "value", F.coalesce("score", floor).alias("score"))
+    wide = cells.join(scored, ["feature", "value"]).groupBy(key).agg(
+        *[F.max(F.when(F.col("feature") == c, F.col("score"))).alias(c) for c in used]
+    )
+    out = df.drop(*used).join(wide, key, "left").select(*df.columns)
+    return scale(out, fit_scaler(out, used, scaler)) if scaler else out
 
 
 # --- degree-2 terms ------------------------------------------------------------------------

@@ -93,24 +93,27 @@ def _rank_table(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
 def spearman_matrix(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """(a, b, rho) for a < b in the given order, each pair over its complete rows.
 
-    Columns without nulls are ranked once, together; a pair with nulls is ranked
-    again over its own complete rows.
+    Columns without nulls are ranked together; a column with nulls is ranked with
+    them again over its own rows, and two columns with nulls over their common rows.
     """
     df = nulled(df, columns)
-    spark = df.sparkSession
     gaps = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
     full = [c for c in columns if gaps[c] == 0]
-    out = []
-    if len(full) > 1:
-        pairs = list(combinations(full, 2))
-        row = _rank_table(df, key, full).agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)]).first()
-        out += [(a, b, row[f"r{i}"]) for i, (a, b) in enumerate(pairs)]
-    for a, b in combinations(columns, 2):
-        if a in full and b in full:
-            continue
-        both = df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
-        out.append((a, b, _rank_table(both, key, [a, b]).agg(F.corr(a, b)).first()[0]))
-    return spark.createDataFrame(out, "a string, b string, rho double")
+    holed = [c for c in columns if gaps[c] > 0]
+    rho: dict[frozenset, float | None] = {}
+
+    def add(rows: DataFrame, group: list[str], pairs: list[tuple[str, str]]) -> None:
+        if pairs:
+            found = _rank_table(rows, key, group).agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)]).first()
+            rho.update({frozenset(p): found[f"r{i}"] for i, p in enumerate(pairs)})
+
+    add(df, full, list(combinations(full, 2)))
+    for h in holed:
+        add(df.where(F.col(h).isNotNull()), [h, *full], [(h, c) for c in full])
+    for a, b in combinations(holed, 2):
+        add(df.where(F.col(a).isNotNull() & F.col(b).isNotNull()), [a, b], [(a, b)])
+    out = [(a, b, rho[frozenset((a, b))]) for a, b in combinations(columns, 2)]
+    return df.sparkSession.createDataFrame(out, "a string, b string, rho double")
 
 
 def high_corr_columns(matrix: DataFrame, columns: Sequence[str], threshold: float, mode: str = "members") -> DataFrame:

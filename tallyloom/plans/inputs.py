@@ -111,14 +111,14 @@ DERIVED: dict[str, tuple[str, list[str], str | None]] = {
     ),
     "persons": ("identities", _PERSON, None),
     "points": (
-        "lineitem",
+        "orders",
         [
-            "l_orderkey * 8 + l_linenumber AS point_id",
-            "l_quantity AS f1",
-            "l_extendedprice AS f2",
-            "l_discount + 0.0 AS f3",
-            "l_tax + 0.0 AS f4",
-            "CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS y",
+            "o_orderkey AS point_id",
+            "o_custkey % 50 + 1.0 AS f1",
+            "o_totalprice AS f2",
+            "o_orderkey % 11 / 100.0 AS f3",
+            "o_custkey % 9 / 100.0 AS f4",
+            "CASE WHEN (o_totalprice > 250000 AND o_custkey % 50 > 20) OR o_orderkey % 7 = 0 THEN 1 ELSE 0 END AS y",
         ],
         None,
     ),

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyloom.functions.numeric import kl_term
 from tallyloom.operators import arrays, metrics, prep, profiling, sampling, trees
 from tallyloom.plans.q_rows import mixed_sql
 from tallyloom.plans.registry import query
 
 # A few numeric columns with every kind of oddity, derived from line items.
 NUM = """num AS (SELECT point_id AS id, f2 AS price, f1 AS qty, f3 AS disc, f1 * 2.0 + 1.0 AS qty_line, f1 AS qty_copy, 7.5 AS same,
- CASE WHEN point_id % 3 = 0 THEN f4 END AS gappy, CASE WHEN point_id % 4 = 0 THEN f2 * f2 ELSE 0.0 END AS heavy,
+ CASE WHEN point_id % 3 = 0 THEN f2 * 0.5 + f1 END AS gappy, CASE WHEN point_id % 4 = 0 THEN f2 * f2 ELSE 0.0 END AS heavy,
  CASE WHEN f1 > 45 THEN 45.0 ELSE f1 END AS capped, CASE WHEN point_id % 5 < 3 THEN 0.0 ELSE -f1 END AS zeros,
  CASE WHEN point_id < 6 THEN f1 END AS few FROM points)"""
 COLUMNS = ["price", "qty", "disc", "qty_line", "qty_copy", "same", "gappy", "heavy", "capped", "zeros", "few"]
@@ -21,7 +20,7 @@ def num(t):
     c = F.col
     return t.points.select(
         c("point_id").alias("id"), c("f2").alias("price"), c("f1").alias("qty"), c("f3").alias("disc"), (c("f1") * 2.0 + 1.0).alias("qty_line"),
-        c("f1").alias("qty_copy"), F.lit(7.5).alias("same"), F.when(c("point_id") % 3 == 0, c("f4")).alias("gappy"),
+        c("f1").alias("qty_copy"), F.lit(7.5).alias("same"), F.when(c("point_id") % 3 == 0, c("f2") * 0.5 + c("f1")).alias("gappy"),
         F.when(c("point_id") % 4 == 0, c("f2") * c("f2")).otherwise(0.0).alias("heavy"), F.when(c("f1") > 45, 45.0).otherwise(c("f1")).alias("capped"),
         F.when(c("point_id") % 5 < 3, 0.0).otherwise(-c("f1")).alias("zeros"), F.when(c("point_id") < 6, c("f1")).alias("few"),
     )
@@ -92,7 +91,7 @@ BOX = """SELECT feature, quantile_cont(v, 0.05) AS q_low, median(v) AS median, q
 
 
 @query("robust_box", f"""WITH {NUM}, {LONG}, b AS ({BOX}), h AS (SELECT *, CASE WHEN (q_high - q_low) / 2 > 1e-12 THEN (q_high - q_low) / 2 ELSE std END AS half_width FROM b)
- SELECT *, median - 1.5 * half_width AS box_low, median + 1.5 * half_width AS box_high FROM h""", rounds="q_low median q_high std half_width box_low box_high", digits=4, uses="points")
+ SELECT *, median - 1.5 * half_width AS box_low, median + 1.5 * half_width AS box_high FROM h""", rounds="q_low median q_high std half_width box_low box_high", digits=3, uses="points")
 def _(t):
     return profiling.robust_box(num(t), ["price", "qty", "gappy"])
 
@@ -268,7 +267,7 @@ def _(t):
     df = num(t).select("id", "price", "qty", "heavy")
     train = df.where("id % 10 < 7")
     fitted = prep.to_normal_fit(train, ["price", "qty", "heavy"], 12)
-    return prep.to_normal(train, df.where("id % 10 >= 7"), fitted, quantile_fallback=True, scaler="standard")
+    return prep.to_normal(train, df.where("id % 10 >= 7"), fitted, "id", quantile_fallback=True, scaler="standard")
 
 
 @query("ks_normal_test")
@@ -347,9 +346,6 @@ def _(t):
     return metrics.validate_binary_target(t.scores, "y").groupBy("y").agg(F.count(F.lit(1)).alias("n"))
 
 
-GRID400 = "grid AS (SELECT DISTINCT quantile_cont(f2, i / 399.0) AS threshold FROM points, range(400) AS r(i) GROUP BY i)"
-
-
 @query("threshold_grid", "SELECT DISTINCT a + (b - a) * (pl - floor(pl)) AS threshold FROM (SELECT i, n, i * (n - 1) / 399 AS pl, s[1 + (i * (n - 1) // 399)] AS a, s[1 + ((i * (n - 1) + 398) // 399)] AS b FROM "
        "(SELECT list(f2 ORDER BY f2) AS s, count(*) AS n FROM points) AS x, range(400) AS r(i)) AS y", rounds="threshold", digits=4, uses="points")
 def _(t):
@@ -389,9 +385,6 @@ def _(t):
 
 # --- trees ------------------------------------------------------------------------------------------------
 
-IMPURITY = "c0 + c1 + c2"
-
-
 @query("impurity", """WITH c AS (SELECT p_brand, count(*) FILTER (WHERE p_size % 3 = 0) AS c0, count(*) FILTER (WHERE p_size % 3 = 1) AS c1, count(*) FILTER (WHERE p_size % 3 = 2) AS c2, count(*) AS n FROM part GROUP BY p_brand)
  SELECT p_brand, c0, c1, c2, 1 - (c0 / n) ** 2 - (c1 / n) ** 2 - (c2 / n) ** 2 AS gini, -(c0 / n) * ln(c0 / n + 1e-6) - (c1 / n) * ln(c1 / n + 1e-6) - (c2 / n) * ln(c2 / n + 1e-6) AS entropy FROM c""", rounds="gini entropy")
 def _(t):
