@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -79,16 +80,18 @@ def uniform(key: Column, seed: int = 0) -> Column:
     return (F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
 
 
-def radical_inverse(index: Column, base: int, digits: int = 40) -> Column:
+def radical_inverse(index: Column, base: int) -> Column:
     """Van der Corput sequence: the digits of ``index`` in ``base`` mirrored at the point."""
-    out, rest, scale = F.lit(0.0), index.cast("long"), 1.0
-    for _ in range(digits):
-        scale /= base
-        if scale < 1e-17:
-            break
-        out = out + (rest % base) * scale
-        rest = F.floor(rest / base)
-    return out
+    digits = math.ceil(53 / math.log2(base))
+    start = F.struct(F.lit(0.0).alias("u"), index.cast("double").alias("rest"), F.lit(1.0 / base).alias("scale"))
+
+    def step(acc: Column, _: Column) -> Column:
+        rest = F.floor(acc["rest"] / base).cast("double")
+        return F.struct(
+            (acc["u"] + (acc["rest"] - rest * base) * acc["scale"]).alias("u"), rest.alias("rest"), (acc["scale"] / base).alias("scale")
+        )
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(digits)), start, step, lambda acc: acc["u"])
 
 
 def kl_term(p: Column, q: Column) -> Column:

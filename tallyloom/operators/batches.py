@@ -30,32 +30,27 @@ PRIMES = [2, 3, 5, 7, 11, 13, 17, 19, 23, 29, 31, 37, 41, 43, 47, 53]
 GROUP_ROWS = 20_000
 
 
-def halton(index: Column, dimension: int, shift: float = 0.0) -> Column:
-    """Coordinate of a Halton point in (0, 1), rotated by ``shift``."""
-    u = radical_inverse(index + 1, PRIMES[dimension]) + shift
-    return F.least(F.greatest(u - F.floor(u), F.lit(1e-9)), F.lit(1 - 1e-9))
-
-
 def _shift(seed: int, dimension: int) -> float:
     return float(np.random.default_rng([seed, dimension]).random())
 
 
+def halton(index: DataFrame, features: Sequence[str], seed: int = 0) -> DataFrame:
+    """(id, one coordinate in (0, 1) per feature): a Halton point per row of ``index(id)``, rotated by the seed."""
+    raw = index.select(
+        "id", *[(radical_inverse(F.col("id") + 1, PRIMES[d]) + _shift(seed, d)).alias(f) for d, f in enumerate(features)]
+    )
+    edge = 1e-9
+    return raw.select("id", *[F.least(F.greatest(F.col(f) - F.floor(f), F.lit(edge)), F.lit(1 - edge)).alias(f) for f in features])
+
+
 def box_points(index: DataFrame, features: Sequence[str], low: dict[str, float], high: dict[str, float], seed: int = 0) -> DataFrame:
     """Even cover of a box, one point per row of ``index(id)``."""
-    return index.select(
-        "id", *[(F.lit(low[f]) + halton(F.col("id"), d, _shift(seed, d)) * (high[f] - low[f])).alias(f) for d, f in enumerate(features)]
-    )
+    return halton(index, features, seed).select("id", *[(F.lit(low[f]) + F.col(f) * (high[f] - low[f])).alias(f) for f in features])
 
 
 def normal_points(index: DataFrame, features: Sequence[str], centre: dict[str, float], width: dict[str, float], seed: int = 0) -> DataFrame:
     """Even cover mapped to a normal cloud, one point per row of ``index(id)``."""
-    return index.select(
-        "id", *[(F.lit(centre[f]) + inverse_normal(halton(F.col("id"), d, _shift(seed, d))) * width[f]).alias(f) for d, f in enumerate(features)]
-    )
-
-
-def gaussian(key: Column, seed: int) -> Column:
-    return inverse_normal(uniform(key, seed))
+    return halton(index, features, seed).select("id", *[(F.lit(centre[f]) + inverse_normal(F.col(f)) * width[f]).alias(f) for f in features])
 
 
 def box_stats(valid: DataFrame, features: Sequence[str], low: float, high: float) -> dict[str, dict[str, float]]:
@@ -80,23 +75,30 @@ def estimate_box(valid: DataFrame, features: Sequence[str], expand: float = 0.2,
     return low, high
 
 
+def _noise(index: DataFrame, features: Sequence[str], seed: int, prefix: str = "__z_") -> DataFrame:
+    """``index`` with one standard normal number per feature, seeded by the row's id."""
+    flat = index.select("*", *[uniform(F.col("id"), seed + d).alias(f"{prefix}{f}") for d, f in enumerate(features)])
+    return flat.withColumns({f"{prefix}{f}": inverse_normal(F.col(f"{prefix}{f}")) for f in features})
+
+
 def around_known(spark: SparkSession, valid: DataFrame, key: str, features: Sequence[str], n: int, width: dict[str, float], seed: int) -> DataFrame:
     """``n`` draws of known points with normal noise."""
     total = valid.count()
     numbered = Ordered.overall(valid.select(key, *features), [key]).row_number("__pos").result()
     picks = spark.range(n).select("id", (F.floor(uniform(F.col("id"), seed) * total) + 1).alias("__pos"))
-    return picks.join(numbered, "__pos").select(
-        "id", *[(F.col(f) + gaussian(F.col("id"), seed + 100 + d) * width[f]).alias(f) for d, f in enumerate(features)]
-    )
+    noisy = _noise(picks, features, seed + 100)
+    return noisy.join(numbered, "__pos").select("id", *[(F.col(f) + F.col(f"__z_{f}") * width[f]).alias(f) for f in features])
 
 
 def radial_points(index: DataFrame, features: Sequence[str], stats: dict, radii: Sequence[float], seed: int) -> DataFrame:
     """Random directions from the centre, scaled per feature, at one of the radii."""
-    steps = [gaussian(F.col("id"), seed + d) for d in range(len(features))]
+    noisy = _noise(index.select("id"), features, seed)
+    steps = [F.col(f"__z_{f}") for f in features]
     norm = F.sqrt(sum((s * s for s in steps[1:]), steps[0] * steps[0]))
     radius = F.element_at(F.array(*[F.lit(float(r)) for r in radii]), (F.floor(uniform(F.col("id"), seed + 50) * len(radii)) + 1).cast("int"))
-    return index.select(
-        "id", *[(F.lit(stats[f]["mid"]) + s / norm * radius * stats[f]["std"]).alias(f) for f, s in zip(features, steps)]
+    reach = noisy.withColumn("__reach", radius / norm)
+    return reach.select(
+        "id", *[(F.lit(stats[f]["mid"]) + s * F.col("__reach") * stats[f]["std"]).alias(f) for f, s in zip(features, steps)]
     )
 
 

@@ -56,10 +56,10 @@ def _(t):
     return last.select("user_id", "event_id", "action_type", epoch("search_ts").alias("search_us"))
 
 
-@query("stream_dedup_points", "SELECT DISTINCT user_id, round(value / 7, 1) + 0.0 AS v FROM events", rounds="v")
+@query("stream_dedup_points", "SELECT DISTINCT user_id, round(value + 0.001, 1) + 0.0 AS v FROM events", rounds="v")
 def _(t):
     raw = streams.read_table_stream(t.spark, t.folder, "events.parquet")
     points = streams.event_time(raw, "ts", "40 days")
-    keys = [F.col("user_id"), F.round(F.col("value") / 7, 1) + F.lit(0.0)]
+    keys = [F.col("user_id"), F.round(F.col("value") + 0.001, 1) + F.lit(0.0)]
     out = streams.drain(streams.dedup_points(points, keys).select("user_id", F.col("k1").alias("v")), "stream-points")
     return out
