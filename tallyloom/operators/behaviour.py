@@ -210,28 +210,87 @@ def query_table(searches: DataFrame, keywords: Sequence[str] = PRODUCT_KEYWORDS)
     )
 
 
-def distinct_with_null(value: str) -> Column:
-    """Distinct values, a null counting as one."""
-    return F.count_distinct(F.col(value)) + F.max(F.col(value).isNull().cast("int"))
+def query_rollup(searches: DataFrame, end: str) -> DataFrame:
+    """One row per (user, normalised query) of the whole history.
+
+    Holds the number of uses in the last 30 and 7 days and the place of the last
+    use.  Every search statistic follows from it, so texts are normalised and
+    shuffled once.
+    """
+    ts = F.col("ts")
+    return (
+        searches.where(until(ts, end))
+        .select(USER, "ts", "search_id", tx.normalize_query(F.col("search_query")).alias("q"))
+        .groupBy(USER, "q")
+        .agg(
+            F.count_if(lookback(ts, end, 30)).alias("n30"),
+            F.count_if(lookback(ts, end, 7)).alias("n7"),
+            F.max(F.struct("ts", "search_id")).alias("last"),
+        )
+        .select("*", F.length("q").alias("chars"), F.when(F.col("q").isNotNull(), tx.word_count(F.col("q"))).alias("words"))
+    )
+
+
+def _weighted_mean(value: Column, weight: Column) -> Column:
+    known = F.when(value.isNotNull(), weight)
+    return F.try_divide(F.sum(value * weight).cast("double"), F.sum(known).cast("double"))
+
+
+def _flags(keywords: Sequence[str]) -> dict[str, Column]:
+    return {f"product_{keyword_name(k)}_flag": tx.keyword_flag(F.col("q"), k) for k in keywords}
+
+
+def search_statistics(rollup: DataFrame, end: str, keywords: Sequence[str] = PRODUCT_KEYWORDS) -> DataFrame:
+    """All per-user search columns that do not need a median, in one aggregate."""
+    flags = _flags(keywords)
+    table = rollup.select(USER, "n30", "n7", "last", "chars", "words", *[c.alias(n) for n, c in flags.items()])
+    n30, n7 = F.col("n30"), F.col("n7")
+    month = F.sum(n30) > 0
+    hits = F.lit(0)
+    for n in flags:
+        hits = hits + F.col(n)
+    aggs = {
+        "search_count_30d": F.when(month, F.sum(n30)),
+        "unique_queries_30d": F.when(month, F.count_if(n30 > 0)),
+        "avg_query_len_chars_30d": _weighted_mean(F.col("chars"), n30),
+        "avg_query_len_words_30d": _weighted_mean(F.col("words"), n30),
+        "max_query_len_words_30d": F.max(F.when(n30 > 0, F.col("words"))),
+        "days_since_last_search": days_until(end, F.max("last.ts")),
+    }
+    for n in flags:
+        aggs[f"{n}_count_30d"] = F.when(month, F.sum(F.col(n) * n30))
+        aggs[f"{n}_rate_30d"] = F.when(month, F.sum(F.col(n) * n30) / F.sum(n30))
+    aggs["product_keyword_hits_30d"] = F.when(month, F.sum(hits * n30))
+    aggs["queries_with_product_keywords_30d"] = F.when(month, F.sum(F.when(hits > 0, n30).otherwise(0)))
+    aggs["__newest"] = F.max_by(F.struct("chars", "words", *flags), F.col("last"))
+    aggs["search_count_7d"] = F.when(F.sum(n7) > 0, F.sum(n7))
+    aggs["unique_queries_7d"] = F.when(F.sum(n7) > 0, F.count_if(n7 > 0))
+    out = table.groupBy(USER).agg(*[c.alias(n) for n, c in aggs.items()])
+    newest = {
+        "last_search_len_chars": F.col("__newest.chars"),
+        "last_search_len_words": F.col("__newest.words"),
+        **{f"last_query_{n.removesuffix('_flag')}": F.col(f"__newest.{n}") for n in flags},
+    }
+    return out.withColumns(newest).drop("__newest")
+
+
+def _active_month(stats: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return stats.where(F.col("search_count_30d") > 0).select(USER, *columns)
+
+
+TEXT_COLUMNS = ["search_count_30d", "unique_queries_30d", "avg_query_len_chars_30d", "avg_query_len_words_30d", "max_query_len_words_30d"]
+
+
+def query_length_median(rollup: DataFrame) -> DataFrame:
+    used = rollup.where(F.col("n30") > 0)
+    return exact_quantiles(used, [USER], "chars", {"median_query_len_chars_30d": 0.5}, weight="n30")
 
 
 def query_text_features(searches: DataFrame, end: str) -> DataFrame:
-    queries = query_table(searches, [])
-    month = queries.where(lookback(F.col("ts"), end, 30))
-    week = queries.where(lookback(F.col("ts"), end, 7))
-    basic = month.groupBy(USER).agg(
-        F.count(F.lit(1)).alias("search_count_30d"),
-        distinct_with_null("search_query_norm").alias("unique_queries_30d"),
-        F.avg("query_len_chars").alias("avg_query_len_chars_30d"),
-        F.avg("query_len_words").alias("avg_query_len_words_30d"),
-        F.max("query_len_words").alias("max_query_len_words_30d"),
-    )
-    middle = exact_quantiles(month, [USER], "query_len_chars", {"median_query_len_chars_30d": 0.5})
-    recent = week.groupBy(USER).agg(
-        F.count(F.lit(1)).alias("search_count_7d"),
-        distinct_with_null("search_query_norm").alias("unique_queries_7d"),
-    )
-    return join_blocks([basic, middle, recent])
+    rollup = query_rollup(searches, end)
+    stats = search_statistics(rollup, end, [])
+    recent = ["search_count_7d", "unique_queries_7d"]
+    return join_blocks([_active_month(stats, [*TEXT_COLUMNS, *recent]), query_length_median(rollup)])
 
 
 def search_recency(searches: DataFrame, end: str) -> DataFrame:
@@ -243,44 +302,18 @@ def search_recency(searches: DataFrame, end: str) -> DataFrame:
 
 
 def keyword_rates(searches: DataFrame, end: str, keywords: Sequence[str] = PRODUCT_KEYWORDS) -> DataFrame:
-    flags = [f"product_{keyword_name(k)}_flag" for k in keywords]
-    aggs = []
-    for f in flags:
-        aggs += [F.sum(f).alias(f"{f}_count_30d"), F.avg(f).alias(f"{f}_rate_30d")]
-    return query_table(searches.where(lookback(F.col("ts"), end, 30)), keywords).groupBy(USER).agg(*aggs)
+    names = [f"{n}_{kind}_30d" for n in _flags(keywords) for kind in ("count", "rate")]
+    return _active_month(search_statistics(query_rollup(searches, end), end, keywords), names)
 
 
 def keyword_summary(searches: DataFrame, end: str, keywords: Sequence[str] = PRODUCT_KEYWORDS) -> DataFrame:
-    hits = F.lit(0)
-    for k in keywords:
-        hits = hits + F.col(f"product_{keyword_name(k)}_flag")
-    return (
-        query_table(searches.where(lookback(F.col("ts"), end, 30)), keywords)
-        .groupBy(USER)
-        .agg(
-            F.sum(hits).alias("product_keyword_hits_30d"),
-            F.count_if(hits > 0).alias("queries_with_product_keywords_30d"),
-        )
-    )
+    stats = search_statistics(query_rollup(searches, end), end, keywords)
+    return _active_month(stats, ["product_keyword_hits_30d", "queries_with_product_keywords_30d"])
 
 
 def last_query_features(searches: DataFrame, end: str, keywords: Sequence[str] = PRODUCT_KEYWORDS) -> DataFrame:
-    """Lengths and keyword flags of the user's last query; texts themselves are not shuffled."""
-    queries = query_table(searches.where(until(F.col("ts"), end)), keywords)
-    flags = [f"product_{keyword_name(k)}_flag" for k in keywords]
-    last = F.max_by(
-        F.struct("query_len_chars", "query_len_words", *flags), F.struct("ts", "search_id")
-    )
-    return (
-        queries.groupBy(USER)
-        .agg(last.alias("__last"))
-        .select(
-            USER,
-            F.col("__last.query_len_chars").alias("last_search_len_chars"),
-            F.col("__last.query_len_words").alias("last_search_len_words"),
-            *[F.col(f"__last.{f}").alias(f"last_query_{f.removesuffix('_flag')}") for f in flags],
-        )
-    )
+    stats = search_statistics(query_rollup(searches, end), end, keywords)
+    return stats.select(USER, *[c for c in stats.columns if c.startswith("last_")])
 
 
 def concat_user_text(searches: DataFrame, end: str, days: int = 30, piece_seconds: int = 86_400) -> DataFrame:
@@ -301,15 +334,8 @@ def concat_user_text(searches: DataFrame, end: str, days: int = 30, piece_second
 
 
 def search_features(searches: DataFrame, end: str, keywords: Sequence[str] = PRODUCT_KEYWORDS) -> DataFrame:
-    return join_blocks(
-        [
-            query_text_features(searches, end),
-            search_recency(searches, end),
-            keyword_rates(searches, end, keywords),
-            keyword_summary(searches, end, keywords),
-            last_query_features(searches, end, keywords),
-        ]
-    )
+    rollup = query_rollup(searches, end)
+    return join_blocks([search_statistics(rollup, end, keywords), query_length_median(rollup)])
 
 
 # --- prices and categories ---------------------------------------------------

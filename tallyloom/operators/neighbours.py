@@ -31,7 +31,7 @@ def _squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def knn_exact(
-    base: DataFrame, queries: DataFrame, id_col: str, vector: str, k: int, pivots: int = 32, block: int = 4096
+    base: DataFrame, queries: DataFrame, id_col: str, vector: str, k: int, pivots: int | None = None, block: int = 4096
 ) -> DataFrame:
     """(query_id, neighbour_id, distance, rank): the ``k`` nearest by squared L2, ties by id.
 
@@ -49,6 +49,8 @@ def knn_exact(
     asked = queries.select(F.col(id_col).alias("query_id"), v.cast("array<double>").alias("v"))
     groups = asked.groupBy("v").agg(F.min("query_id").alias("qid"))
 
+    if pivots is None:
+        pivots = int(min(512, max(16, base.count() ** 0.5 / 2)))
     chosen = base.orderBy(F.xxhash64("bid"), "bid").limit(pivots).collect()
     points = np.array([r["v"] for r in chosen])
 
@@ -78,8 +80,10 @@ def knn_exact(
             if not len(batch):
                 continue
             d = np.sqrt(_squared(_matrix(batch["v"]), points))
-            bounds = np.sort(d[:, owner] + reach, axis=1)
-            limit = bounds[:, min(k, bounds.shape[1]) - 1] if bounds.shape[1] >= k else np.full(len(d), np.inf)
+            limit = np.full(len(d), np.inf)
+            if len(reach) >= k:
+                for i, row in enumerate(d):
+                    limit[i] = np.partition(row[owner] + reach, k - 1)[k - 1]
             rows, cols = np.nonzero((d - radius <= limit[:, None] + SLACK) & np.isfinite(radius))
             yield pd.DataFrame({"qid": batch["qid"].to_numpy()[rows], "v": batch["v"].to_numpy()[rows], "cell": cols.astype("int32")})
 

@@ -12,13 +12,17 @@ from pyspark.sql import functions as F
 from tallyloom.operators.slices import HOT_ROWS, Ordered, by_key, by_quantile
 
 
-def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    return df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
+def value_counts(df: DataFrame, keys: list[str], value: str, weight: str | None = None) -> DataFrame:
+    """Rows (or the sum of ``weight``) per distinct value."""
+    n = F.sum(weight) if weight else F.count(F.lit(1))
+    return df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(n.alias("__n"))
 
 
-def cumulative_counts(df: DataFrame, keys: list[str], value: str, limit: int = HOT_ROWS) -> DataFrame:
+def cumulative_counts(
+    df: DataFrame, keys: list[str], value: str, limit: int = HOT_ROWS, weight: str | None = None
+) -> DataFrame:
     """One row per (keys, value): count, rows up to and including it, rows of the key."""
-    counts = value_counts(df, keys, value)
+    counts = value_counts(df, keys, value, weight)
     sliced = by_key(counts, keys, value, limit) if keys else by_quantile(counts, value)
     out = Ordered(sliced, keys, [F.col(value)]).running_sum(__upto="__n").result()
     if keys:
@@ -28,10 +32,11 @@ def cumulative_counts(df: DataFrame, keys: list[str], value: str, limit: int = H
 
 
 def exact_quantiles(
-    df: DataFrame, keys: list[str], value: str, probabilities: dict[str, float], limit: int = HOT_ROWS
+    df: DataFrame, keys: list[str], value: str, probabilities: dict[str, float], limit: int = HOT_ROWS,
+    weight: str | None = None,
 ) -> DataFrame:
     """Quantiles with linear interpolation, one column per entry of ``probabilities``."""
-    ranked = cumulative_counts(df, keys, value, limit)
+    ranked = cumulative_counts(df, keys, value, limit, weight)
     first = F.col("__upto") - F.col("__n")  # zero-based position of the value's first copy
     last = F.col("__upto") - 1
     picks: list[Column] = []

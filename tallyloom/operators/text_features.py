@@ -15,6 +15,7 @@ from pyspark.sql import Window as W
 from tallyloom.functions.text import normalize_query
 from tallyloom.functions.time import lookback
 from tallyloom.operators.slices import Ordered
+from tallyloom.session import cut_lineage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no installed copy
 
@@ -88,6 +89,7 @@ def word_tfidf(
     searches: DataFrame, end: str, days: int = 30, min_df: int = 5, max_df: float = 0.8, max_features: int = 5000
 ) -> DataFrame:
     counts, users = user_word_counts(searches, end, days)
+    counts = cut_lineage(counts)  # used for the vocabulary and for the weights
     return weigh(counts, "user_id", users, min_df, max_df, max_features, sublinear=True)
 
 
