@@ -20,7 +20,7 @@ from pyspark.sql import Window as W
 from tallyloom.functions import text as tx
 from tallyloom.functions.time import as_date, between_days, days_until, instant, lookback, whole_seconds
 from tallyloom.operators.quantiles import exact_quantiles
-from tallyloom.operators.slices import Ordered
+from tallyloom.operators.slices import SLICE, Ordered, by_key
 
 USER = "user_id"
 # Action names and the column suffixes of the basic block.
@@ -316,19 +316,23 @@ def last_query_features(searches: DataFrame, end: str, keywords: Sequence[str] =
     return stats.select(USER, *[c for c in stats.columns if c.startswith("last_")])
 
 
-def concat_user_text(searches: DataFrame, end: str, days: int = 30, piece_seconds: int = 86_400) -> DataFrame:
+def concat_user_text(
+    searches: DataFrame, end: str, days: int = 30, piece_seconds: int = 86_400, piece_rows: int = 10_000
+) -> DataFrame:
     """A user's queries in time order, joined by blanks, in bounded pieces.
 
-    Pieces of one user joined by a blank in ``piece`` order give the full text;
-    no task ever holds more than one span of one user.
+    Pieces of one user joined by a blank in (piece, part) order give the full
+    text.  A span with more than ``piece_rows`` queries is cut into parts, so no
+    task ever holds more of one user than that.
     """
     norm = tx.normalize_query(F.col("search_query"))
-    queries = searches.where(lookback(F.col("ts"), end, days)).select(
-        USER, "ts", "search_id", norm.alias("q"),
-        F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / piece_seconds).alias("piece"),
-    ).where(F.col("q").isNotNull())
+    span = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / piece_seconds)
+    log = searches.where(lookback(F.col("ts"), end, days) & F.col("search_query").isNotNull())
+    log = log.select(USER, "ts", "search_id", "search_query", span.alias("piece"))
+    cut = by_key(log, [USER, "piece"], "ts", piece_rows)
+    queries = cut.select(USER, "piece", F.col(SLICE).alias("part"), "ts", "search_id", norm.alias("q"))
     ordered = F.array_sort(F.collect_list(F.struct("ts", "search_id", "q")))
-    return queries.groupBy(USER, "piece").agg(
+    return queries.groupBy(USER, "piece", "part").agg(
         F.concat_ws(" ", F.transform(ordered, lambda r: r["q"])).alias("queries_text")
     )
 

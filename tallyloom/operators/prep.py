@@ -120,11 +120,10 @@ def one_hot(df: DataFrame, column: str, values: Sequence, prefix: str | None = N
 
 
 def fit_quantile_bins(df: DataFrame, column: str, bins: int = 6) -> list[float]:
-    """Inner edges of equal-frequency bins, repeats removed."""
-    names = {f"e{i}": i / bins for i in range(bins + 1)}
+    """The bins - 1 inner edges of equal-frequency bins; repeated edges leave empty bins."""
+    names = {f"e{i}": i / bins for i in range(1, bins)}
     row = exact_quantiles(df.select(column), [], column, names).first()
-    edges = sorted({row[n] for n in names})
-    return edges[1:-1]
+    return [row[n] for n in names]
 
 
 def quantile_bin(column: Column, edges: Sequence[float]) -> Column:

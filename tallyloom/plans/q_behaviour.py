@@ -219,7 +219,7 @@ def _(t):
     return b.last_query_features(t.searches, END, KEYWORDS)
 
 
-@query("concat_user_text", f"""WITH {QUERIES_CTE} SELECT user_id, cast(date_diff('day', DATE '1970-01-01', cast(ts AS date)) AS bigint) AS piece, string_agg(q, ' ' ORDER BY ts, search_id) AS queries_text
+@query("concat_user_text", f"""WITH {QUERIES_CTE} SELECT user_id, cast(date_diff('day', DATE '1970-01-01', cast(ts AS date)) AS bigint) AS piece, 0::BIGINT AS part, string_agg(q, ' ' ORDER BY ts, search_id) AS queries_text
  FROM queries WHERE q IS NOT NULL AND {days('ts', 30)} GROUP BY ALL""", uses="searches")
 def _(t):
     return b.concat_user_text(t.searches, END)

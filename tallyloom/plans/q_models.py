@@ -119,7 +119,7 @@ def _(t):
 def split(t):
     """Points flagged for training and testing by the last digit of the key."""
     test = F.col("point_id") % 10 >= 7
-    return t.points.where(~test).persist(), t.points.where(test).persist()
+    return t.points.where(~test), t.points.where(test)
 
 
 def auc_frame(t, **values):

@@ -103,5 +103,7 @@ def test_text_pieces_join_to_the_whole(spark):
         [(1, START + timedelta(hours=h), h, q) for h, q in ((1, "Ёлка, дом"), (30, None), (50, "чай  МОЛОКО!"), (51, "x"))],
         "user_id bigint, ts timestamp_ntz, search_id bigint, search_query string",
     )
-    pieces = b.concat_user_text(searches, "2024-01-05").orderBy("piece").collect()
-    assert " ".join(p["queries_text"] for p in pieces) == "елка дом чай молоко x"
+    for rows in (10_000, 1):
+        pieces = b.concat_user_text(searches, "2024-01-05", piece_rows=rows).orderBy("piece", "part").collect()
+        assert " ".join(p["queries_text"] for p in pieces) == "елка дом чай молоко x"
+    assert len(pieces) == 3
