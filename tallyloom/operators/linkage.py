@@ -127,6 +127,21 @@ def passing_rules(rules: Sequence[Sequence[str]], weights: Mapping[str, Sequence
     return kept
 
 
+def weight_needed(threshold: float, prior: float) -> float:
+    """Sum of field weights (log2) at which the match probability reaches ``threshold``."""
+    return math.log2(threshold / (1 - threshold)) - math.log2(prior / (1 - prior))
+
+
+def deciding_pairs(
+    records: DataFrame, weights: Mapping[str, Sequence[float]], prior: float, threshold: float = 0.95, id_col: str = "unique_id"
+) -> DataFrame:
+    """The candidate pairs that can reach ``threshold`` at all, compared field by field."""
+    rules = passing_rules(RULES, weights, weight_needed(threshold, prior))
+    if not rules:
+        raise ValueError("no agreement of fields can reach the threshold")
+    return compare_pairs(blocking_pairs(records, id_col, rules))
+
+
 def _name_level(field: str) -> Column:
     a, b = F.col(f"{field}_l"), F.col(f"{field}_r")
     # Equal names are settled without the string comparison.
@@ -372,8 +387,7 @@ def dedup_persons(
         s = shares[f].agg(F.sum(F.col("share") * F.col("share")), F.min("share")).first()
         u_exact[f] = s[0] or 1.0
         boost += max(0.0, math.log2(u_exact[f] / s[1])) if s[1] else 0.0
-    needed = math.log2(threshold / (1 - threshold)) - math.log2(prior / (1 - prior))
-    rules = passing_rules(RULES, weights, needed, boost)
+    rules = passing_rules(RULES, weights, weight_needed(threshold, prior), boost)
     none = full.select(F.col(id_col).alias("id_l"), F.col(id_col).alias("id_r"), F.lit(0.0).alias("match_probability")).limit(0)
     if rules:
         compared = compare_pairs(blocking_pairs(people, id_col, rules))

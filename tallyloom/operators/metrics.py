@@ -107,10 +107,30 @@ def average_precision(df: DataFrame, label: str, score: str, name: str = "averag
     )
 
 
-def log_loss(df: DataFrame, label: str, probability: str, name: str = "log_loss") -> DataFrame:
+def _cross_entropy(label: str, probability: str) -> Column:
     eps = 2.220446049250313e-16
     p = F.least(F.greatest(F.col(probability), F.lit(eps)), F.lit(1 - eps))
-    return df.agg(F.avg(-F.when(F.col(label) == 1, F.log(p)).otherwise(F.log(1 - p))).alias(name))
+    return -F.when(F.col(label) == 1, F.log(p)).otherwise(F.log(1 - p))
+
+
+def log_loss(df: DataFrame, label: str, probability: str, name: str = "log_loss") -> DataFrame:
+    return df.agg(F.avg(_cross_entropy(label, probability)).alias(name))
+
+
+def probability_report(df: DataFrame, label: str, probability: str) -> tuple[float, float, float]:
+    """(ROC AUC, average precision, log loss) of predicted probabilities from one set of cumulative counts."""
+    totals = df.agg(
+        F.count_if(F.col(label) == 1), F.count_if(F.col(label) == 0), F.avg(_cross_entropy(label, probability))
+    ).first()
+    pos, neg, loss = totals
+    if not pos or not neg:
+        raise ValueError("both classes are needed")
+    won = F.sum(F.col("pos").cast("double") * (F.col("neg_upto") - F.col("neg") / 2))
+    above_pos = F.lit(pos) - F.col("pos_upto") + F.col("pos")
+    above_neg = F.lit(neg) - F.col("neg_upto") + F.col("neg")
+    precision = F.sum(F.col("pos") / pos * (above_pos / (above_pos + above_neg)))
+    row = score_steps(df, label, probability).agg(won / (float(pos) * float(neg)), precision).first()
+    return row[0], row[1], loss
 
 
 def regression_error(df: DataFrame, label: str, predicted: str) -> DataFrame:

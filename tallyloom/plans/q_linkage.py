@@ -89,14 +89,15 @@ CLUSTER_HEAD = CLUSTERS.format(head=f"{CLEAN}, {PAIRS}, {COMPARED}, {SCORED}")
 
 @query("cluster_pairs", f"{CLUSTER_HEAD} SELECT * FROM clusters", uses="persons")
 def _(t):
-    compared = linkage.compare_pairs(linkage.blocking_pairs(records(t)))
+    """Stricter candidate rules than the SQL side's, and the same clusters."""
+    compared = linkage.deciding_pairs(records(t), WEIGHTS, 0.001)
     return linkage.cluster_pairs(linkage.score_pairs(compared, WEIGHTS, 0.001))
 
 
 @query("canonical_per_cluster", f"{CLUSTER_HEAD} SELECT min(unique_id) AS unique_id, coalesce(cluster_id, unique_id)::VARCHAR AS cluster_id FROM rec LEFT JOIN clusters ON unique_id = id GROUP BY 2", uses="persons")
 def _(t):
     people = records(t)
-    compared = linkage.compare_pairs(linkage.blocking_pairs(people))
+    compared = linkage.deciding_pairs(people, WEIGHTS, 0.001)
     clusters = linkage.cluster_pairs(linkage.score_pairs(compared, WEIGHTS, 0.001))
     return linkage.canonical_per_cluster(people, clusters).select("unique_id", "cluster_id")
 

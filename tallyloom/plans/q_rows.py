@@ -25,18 +25,14 @@ def mixed_sql(key: str, seed: int = 0) -> str:
 # --- projections -------------------------------------------------------------------------
 
 
-def action_names(t):
-    """The dimension: one row per event type with a running id."""
-    kinds = t.events.select("event_type").distinct()
-    return kinds.select(F.length("event_type").alias("action_type_id"), F.col("event_type").alias("action_type"))
+ACTION_ID = "CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 2 WHEN 'signup' THEN 3 WHEN 'purchase' THEN 4 ELSE 5 END"
 
 
-@query("decode_action_type", "SELECT event_id, event_type AS action_type FROM events WHERE length(event_type) NOT IN (8)")
+@query("decode_action_type", "SELECT event_id, user_id, event_type AS action_type FROM events")
 def _(t):
-    names = action_names(t).where("action_type_id <> 8").dropDuplicates(["action_type"])
-    log = t.events.select("event_id", "event_type", F.length("event_type").alias("action_type_id"))
-    decoded = joins.decode(log.where("action_type_id <> 8"), names, "action_type_id")
-    return decoded.where("action_type = event_type").select("event_id", "action_type")
+    names = t.events.select(F.expr(ACTION_ID).alias("action_type_id"), F.col("event_type").alias("action_type")).distinct()
+    log = t.events.select("event_id", "user_id", F.expr(ACTION_ID).alias("action_type_id"))
+    return joins.decode(log, names, "action_type_id")
 
 
 @query("date_range_filter", "SELECT event_id FROM events WHERE cast(ts AS date) BETWEEN DATE '2024-01-05' AND DATE '2024-01-09'")

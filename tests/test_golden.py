@@ -129,6 +129,9 @@ def test_auc_equals_pair_counting(spark):
     assert math.isclose(metrics.roc_auc(df, "y", "s").first()[0], want)
     grouped = models.grouped_auc(df.withColumn("g", F.lit(1)), ["g"], "y", "s").first()["auc"]
     assert math.isclose(grouped, want)
+    auc, precision, loss = metrics.probability_report(df, "y", "s")
+    assert math.isclose(auc, want) and math.isclose(precision, metrics.average_precision(df, "y", "s").first()[0])
+    assert math.isclose(loss, metrics.log_loss(df, "y", "s").first()[0])
     with pytest.raises(ValueError):
         metrics.threshold_curve(df, "y", "s", "roc_auc")
 
@@ -196,8 +199,7 @@ def test_dedup_follows_chains_and_copies(spark):
 
 
 def test_stricter_rules_lose_no_match(spark):
-    needed = math.log2(0.95 / 0.05) - math.log2(0.001 / 0.999)
-    strict = linkage.passing_rules(linkage.RULES, WEIGHTS, needed)
+    strict = linkage.passing_rules(linkage.RULES, WEIGHTS, linkage.weight_needed(0.95, 0.001))
     records = linkage.blanks_to_null(people(spark))
 
     def matches(rules):
