@@ -3,9 +3,10 @@
 Pieces are dealt into groups of bounded size, and each group is packed by
 best-fit decreasing.  Dual-feasible functions bound the bins a group needs from
 below; a group that meets its bound is certified and gives up only its emptiest
-bin.  A group with a gap gives up all bins that are not full.  What was given up
-is dealt anew, so groups exchange documents, and packed again, as long as the
-total falls and lies above the bound of the whole table.
+bin.  A group with a gap gives up several of its emptiest bins for each bin too
+many.  What was given up is dealt anew into fewer groups, so groups exchange
+documents, and packed again, as long as the total falls and lies above the bound
+of the whole table.
 
 A null text counts as empty: one token, the end mark.  An empty table gives no
 rows.  Repeated rows are packed once each.
@@ -26,7 +27,8 @@ from pyspark.sql import functions as F
 
 from tallyloom.session import cut_lineage
 
-CAPACITY, GROUP_ROWS, ROUNDS = 2048, 8192, 6
+#: Rows a group holds, rounds of exchange at most, and bins a group offers for each bin it has too many.
+CAPACITY, GROUP_ROWS, ROUNDS, OFFERED = 2048, 8192, 6, 8
 #: The split of a text before its byte pairs merge, and the end mark of the vocabulary: fixed values of the vocabulary file.
 END = "<|endoftext|>"
 
@@ -76,12 +78,12 @@ def bins_needed(lengths_count: np.ndarray) -> int:
     least = np.arange(0, capacity // 2 + 1)
     large = number[-1] - number[capacity - least]
     middle = volume[capacity - least] - below(volume, least)
-    best = int(-(-(large * capacity + middle) // capacity).max())
+    best = int((large + (middle + capacity - 1) // capacity).max())
     for k in range(1, 31):
         parts = (k + 1) * size
         exact = parts % capacity == 0
         value = np.where(exact, size * k, parts // capacity * capacity)  # times k * capacity
-        best = max(best, int(-(-(lengths_count * value).sum() // (k * capacity))))
+        best = max(best, int(((lengths_count * value).sum() + k * capacity - 1) // (k * capacity)))
     return best
 
 
@@ -117,10 +119,10 @@ def pack_groups(items: DataFrame, round_no: int, groups: int, capacity: int) ->
         group = group.sort_values("rid")
         lengths = group["length"].to_numpy(np.int64)
         bins, offsets, fill = best_fit(lengths, capacity)
-        certified = len(fill) <= bins_needed(np.bincount(lengths, minlength=capacity + 1))
-        loose = fill < capacity
-        if certified:
-            loose &= np.arange(len(fill)) == fill.argmin()
+        gap = len(fill) - bins_needed(np.bincount(lengths, minlength=capacity + 1))
+        loose = np.zeros(len(fill), bool)
+        loose[np.argsort(fill, kind="stable")[: max(2, OFFERED * gap) if gap > 0 else 1]] = True
+        loose &= fill < capacity
         code = (round_no << 56) + (int(group["grp"].iloc[0]) << 20)
         return pd.DataFrame({"rid": group["rid"].to_numpy(), "length": lengths, "sequence_id": code + bins, "offset": offsets, "given_up": loose[bins]})
 

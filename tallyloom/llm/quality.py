@@ -1,9 +1,11 @@
-"""Quality rules and an isolation forest over their statistics.
+"""Quality rules and isolation forests over their statistics.
 
 ``with_statistics`` counts, for each text, the facts that quality rules look at.
-An isolation forest is grown on ratios of these counts: a document that few
-random splits set apart is odd.  The limit of oddness is set on all labelled
-rows, so that next to none of the good ones go.
+An isolation forest is grown on the ratios of each family of rules, and one on all
+ratios: a document that few random splits set apart is odd.  Each forest's limit
+of oddness is set on all labelled rows, so that next to none of the good ones
+go; a forest that tells nothing about quality is never heard.  One forest over
+all ratios alone would call every good text odd that has any rare trait.
 
 A null text counts as empty: all counts are zero, and it fails the base rules
 (fewer than 50 words).  Repeated rows get equal results.  Input columns named
@@ -74,6 +76,10 @@ def base_failed(rules: str = "rules") -> Column:
     return (n < 50) | (100 * F.col(f"{rules}.n_repeat_words") > 50 * n)
 
 
+#: Columns of ``ratios`` that a forest looks at.
+FAMILIES = {"symbols": [0], "repeats": [1, 2], "case": [3, 4], "shape": [5, 6], "all": [0, 1, 2, 3, 4, 5, 6]}
+
+
 def ratios(counts: pd.DataFrame) -> np.ndarray:
     """What the forest sees: shares, so that length alone is not odd."""
     c = {k: counts[k].to_numpy(float) for k in COUNTS}
@@ -142,35 +148,43 @@ class IsolationForest:
 
 @dataclass
 class QualityModel:
-    forest: IsolationForest | None
-    limit: float
+    """A forest and a limit of oddness for each family of rules."""
+
+    forests: list[IsolationForest]
+    limits: list[float]
 
 
 def oddness_of(model: QualityModel, rules: str = "rules") -> Column:
-    forest = model.forest
+    """Array with the oddness by each family."""
+    forests = list(zip(model.forests, FAMILIES.values(), strict=False))
 
-    @F.pandas_udf("double")
+    @F.pandas_udf("array<double>")
     def score(counts: pd.DataFrame) -> pd.Series:
-        return pd.Series(forest.oddness(ratios(counts)) if len(counts) else [], dtype=float)
+        rows = ratios(counts)
+        return pd.Series(list(np.stack([f.oddness(rows[:, own]) for f, own in forests], 1)))
 
-    return F.lit(0.0) if forest is None else score(F.col(rules))
+    return score(F.col(rules)) if forests else F.array().cast("array<double>")
 
 
 def choose_limit(bins: list[tuple[int, int, int]], steps: int, good_loss: float) -> float:
-    """Oddness from which rows go: most bad rows, five counted for a good one, and at most ``good_loss`` of the good."""
+    """Oddness from which rows go: most bad rows, five counted for a good one, and at most ``good_loss`` of the good.
+
+    The limit lies half way to the next lower score that occurs.
+    """
     good, bad = (sum(n for q, _, n in bins if q == k) for k in (1, 0))
     if not good or not bad:
         return 2.0
     at: dict[int, list[int]] = {}
     for q, b, n in bins:
         at.setdefault(b, [0, 0])[q] += n
+    order = sorted(at, reverse=True)
     best, limit, lost, caught = 0, 2.0, 0, 0
-    for b in sorted(at, reverse=True):
+    for b, lower in zip(order, [*order[1:], 0], strict=True):
         caught, lost = caught + at[b][0], lost + at[b][1]
         if lost > good_loss * good:
             break
         if caught - 5 * lost > best:
-            best, limit = caught - 5 * lost, b / steps
+            best, limit = caught - 5 * lost, (b + lower + 1) / 2 / steps
     return limit
 
 
@@ -178,33 +192,39 @@ def fit_quality(
     counted: DataFrame, labels: DataFrame, id_col: str = "doc_id", fit_rows: int = 4000, odd_share: float = 0.05,
     good_loss: float = 0.002, steps: int = 2000,
 ) -> QualityModel:
-    """Forest and limit from labelled rows that pass the base rules.
+    """Forests and limits from labelled rows that pass the base rules.
 
-    ``fit_rows`` bounds the rows the forest is grown on: so many, bad ones being
-    ``odd_share`` of them.  The limit is set on the scores of all labelled rows,
-    counted per score step (at most 2 * (steps + 1) counts reach the driver).
+    ``fit_rows`` bounds the rows the forests are grown on: so many, bad ones being
+    ``odd_share`` of them.  The limits are set on the scores of all labelled rows,
+    counted per forest and score step (a bounded number of counts reaches the driver).
     """
     known = labels.where("doc_id is not null and quality in (0, 1)").groupBy(F.col("doc_id").alias("__id")).agg(F.min("quality").alias("quality"))
     one = counted.where(~base_failed()).select(F.col(f"`{id_col}`").cast("long").alias("__id"), "rules")
     scored = cut_lineage(one.join(known, "__id"))
     sizes = {int(q): n for q, n in scored.groupBy("quality").count().collect()}
     if len(sizes) < 2:
-        return QualityModel(None, 2.0)
+        return QualityModel([], [])
     wanted = {0: max(8, int(fit_rows * odd_share)), 1: int(fit_rows * (1 - odd_share))}
     chosen = F.lit(False)
     for q, n in wanted.items():
         chosen = chosen | ((F.col("quality") == q) & keep_about(sizes[q], n, F.col("__id"), F.lit("forest")))
     sample = scored.where(chosen).select("rules.*").orderBy(*COUNTS).toPandas()
     if len(sample) < 2:
-        return QualityModel(None, 2.0)
-    model = QualityModel(IsolationForest.grow(ratios(sample)), 2.0)
-    step = F.floor(oddness_of(model) * steps).cast("int")
-    bins = scored.select("quality", step.alias("b")).groupBy("quality", "b").count().collect()
-    model.limit = choose_limit([tuple(r) for r in bins], steps, good_loss)
+        return QualityModel([], [])
+    rows = ratios(sample)
+    model = QualityModel([IsolationForest.grow(rows[:, own]) for own in FAMILIES.values()], [])
+    step = F.floor(F.col("oddness") * steps).cast("int")
+    each = scored.select("quality", F.posexplode(oddness_of(model)).alias("family", "oddness"))
+    bins = each.groupBy("family", "quality", step.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()
+    for k in range(len(FAMILIES)):
+        model.limits.append(choose_limit([(r["quality"], r["b"], r["n"]) for r in bins if r["family"] == k], steps, good_loss))
     return model
 
 
 def judge(counted: DataFrame, model: QualityModel) -> DataFrame:
-    """Adds ``oddness``, ``base_failed`` and ``kept`` (false if the base rules fail or the forest finds the row odd)."""
+    """Adds ``oddness`` (by family), ``base_failed`` and ``kept`` (false if the base rules fail or a forest finds the row odd)."""
     out = counted.withColumn("oddness", oddness_of(model)).withColumn("base_failed", base_failed())
-    return out.withColumn("kept", ~F.col("base_failed") & (F.col("oddness") < F.lit(model.limit)))
+    fine = ~F.col("base_failed")
+    for k, limit in enumerate(model.limits):
+        fine = fine & (F.get("oddness", F.lit(k)) < F.lit(limit))
+    return out.withColumn("kept", fine)

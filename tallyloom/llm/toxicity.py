@@ -27,12 +27,15 @@ from tallyloom.llm.common import fold, keep_about
 from tallyloom.session import cut_lineage
 
 WORDS = re.compile(r"[^\W\d_]+")
-WINDOW, GAIN = 8, 2
+#: Words a window; bytes saved from which a window counts as a hit; least log-likelihood ratio of a toxic term.
+WINDOW, GAIN, SURE = 16, 4, 25.0
+#: Lengths of the word beginnings that count as terms beside whole words.
+STEMS = (4, 5, 6)
 SPARK_WORD = r"[^\p{L}\p{M}]+"
 
 
 def windows(text: str) -> list[bytes]:
-    """Stretches of eight lower-case words."""
+    """Stretches of so many lower-case words."""
     words = WORDS.findall(text.lower())
     return [f" {' '.join(words[i : i + WINDOW])} ".encode() for i in range(0, len(words), WINDOW)]
 
@@ -55,7 +58,8 @@ class ToxicityModel:
     weights: np.ndarray | None
 
     def compressors(self) -> tuple[zstandard.ZstdCompressor, zstandard.ZstdCompressor]:
-        settings = dict(strategy=zstandard.STRATEGY_LAZY2, min_match=4, search_log=6, hash_log=17, chain_log=17, window_log=18, write_content_size=False, write_checksum=False, write_dict_id=False)
+        settings = {"strategy": zstandard.STRATEGY_BTLAZY2, "min_match": 4, "search_log": 6, "hash_log": 17, "chain_log": 17, "window_log": 18}
+        settings |= {"write_content_size": False, "write_checksum": False, "write_dict_id": False}
         both = []
         for content in (self.ordinary, self.toxic + self.ordinary):
             one = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
@@ -73,12 +77,12 @@ class ToxicityModel:
 
 
 def evidence(saved: np.ndarray) -> tuple[float, ...]:
-    """Largest saving, second largest, and the share and number of windows that save something."""
+    """Largest saving, second largest, the share of windows that save two bytes, and the logarithm of the number of hits."""
     if not len(saved):
         return 0.0, 0.0, 0.0, 0.0
     top = np.sort(saved)[::-1]
-    hits = int((saved >= GAIN).sum())
-    return float(max(0, top[0])), float(max(0, top[1])) if len(top) > 1 else 0.0, hits / len(saved), float(np.log1p(hits))
+    hits = float(np.log1p(int((saved >= GAIN).sum())))
+    return float(max(0, top[0])), float(max(0, top[1])) if len(top) > 1 else 0.0, float((saved >= 2).mean()), hits
 
 
 EVIDENCE = ["most", "second", "share", "hits"]
@@ -120,45 +124,71 @@ def score_of(model: ToxicityModel, found: Column) -> Column:
     return 1 / (1 + F.exp(-total))
 
 
+def toxic_terms(seen: DataFrame, plain: Column, marked: Column, n_plain: int, n_marked: int, most: int) -> list[tuple[str, int]]:
+    """Terms found surely and far more often in toxic texts, with their counts there."""
+    seen = seen.select("word", plain.alias("plain"), marked.alias("marked"))
+    odds = F.log((F.col("marked") + 0.5) / n_marked) - F.log((F.col("plain") + 0.5) / n_plain)
+    share = n_marked / (n_plain + n_marked)
+    surplus = lambda c, part: F.when(F.col(c) > 0, F.col(c) * F.log(F.col(c) / ((F.col("plain") + F.col("marked")) * part))).otherwise(0.0)
+    sure = 2 * (surplus("marked", share) + surplus("plain", 1 - share))
+    strange = seen.where((sure > SURE) & (odds > 2.0)).orderBy(F.desc(F.col("marked") * odds), "word").limit(most)
+    return [tuple(r) for r in strange.select("word", "marked").collect()]
+
+
 def fit_toxicity(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_texts: int = 3000, dictionary: int = 48_000,
     toxic_dictionary: int = 24_000, terms: int = 4000,
 ) -> ToxicityModel:
     """Dictionaries and curve from labelled rows.
 
-    ``fit_texts`` bounds the whole texts of either kind that are learnt from,
-    chosen by hash of the id; half of them make the dictionaries, half the curve.
-    Word counts of the first half are aggregated; the words found far more often
-    in toxic texts (at most ``terms``) make the toxic samples, so a toxic text's
-    ordinary part does not enter.  At most 2 * fit_texts rows of four numbers and
-    ``terms`` words reach the driver.
+    ``fit_texts`` bounds the whole toxic texts that are learnt from, four times it the
+    ordinary ones, chosen by hash of the id.  Counts of their words and word
+    beginnings are aggregated; those found surely and far more often in toxic texts
+    (at most ``terms``) make the toxic samples, so a toxic text's ordinary part does
+    not enter.  The curve is fitted to the evidence of each half under the terms of
+    the other.  About 5 * fit_texts rows of four numbers and 7 * ``terms`` words
+    reach the driver.
     """
     known = labels.where("doc_id is not null and toxic in (0, 1)").groupBy(F.col("doc_id").alias("__id")).agg(F.max("toxic").alias("toxic"))
     sizes = {int(r[0]): r[1] for r in known.groupBy("toxic").count().collect()}
     chosen = F.lit(False)
     for kind, n in sizes.items():
-        chosen = chosen | ((F.col("toxic") == kind) & keep_about(n, fit_texts, F.col("__id"), F.lit("toxicity")))
+        chosen = chosen | ((F.col("toxic") == kind) & keep_about(n, fit_texts * (4 - 3 * kind), F.col("__id"), F.lit("toxicity")))
     own = docs.select(F.col(f"`{id_col}`").cast("long").alias("__id"), F.col(f"`{text_col}`").alias("text")).where("text is not null")
     sample = cut_lineage(own.join(known.where(chosen), "__id").withColumn("half", fold(F.concat(F.col("__id").cast("string"), F.lit("half")), 2)))
-    counts = {tuple(r[:2]): r[2] for r in sample.groupBy("toxic", "half").count().collect()}
+    whole = F.array_distinct(F.filter(F.split(F.lower("text"), SPARK_WORD), lambda w: w != ""))
+
+    def stems(n: int) -> Column:
+        return F.transform(F.filter("whole", lambda w: F.length(w) > n), lambda w: F.concat(F.lit(" "), F.substring(w, 1, n)))
+
+    words = F.array_distinct(F.concat(F.transform("whole", lambda w: F.concat(F.lit(" "), w, F.lit(" "))), *[stems(n) for n in STEMS]))
+    # Near copies share their least word hash, so a text and its copies count once.
+    kind = F.array_min(F.transform("whole", lambda w: F.xxhash64(w)))
+    cut = sample.withColumn("whole", whole).where(F.size("whole") > 0).select("toxic", "half", kind.alias("kind"), words.alias("words"))
+    counts = {tuple(r[:2]): r[2] for r in cut.groupBy("toxic", "half").agg(F.countDistinct("kind")).collect()}
     if any(counts.get((t, h), 0) == 0 for t in (0, 1) for h in (0, 1)):
         return ToxicityModel(b"", b"", None)
-    words = F.array_distinct(F.filter(F.split(F.lower("text"), SPARK_WORD), lambda w: w != ""))
-    seen = sample.where("half = 0").select("toxic", F.explode(words).alias("word")).groupBy("word").agg(
-        *[F.sum((F.col("toxic") == t).cast("long")).alias(n) for t, n in ((0, "plain"), (1, "marked"))]
-    )
-    odds = F.log((F.col("marked") + 0.5) / counts[1, 0]) - F.log((F.col("plain") + 0.5) / counts[0, 0])
-    weight = F.col("marked") * odds
-    strange = seen.where((F.col("marked") >= max(2, counts[1, 0] // 400)) & (odds > 2.5)).orderBy(F.desc(weight), "word").limit(terms)
-    toxic_words = [(r["word"], r["marked"]) for r in strange.select("word", "marked").collect()]
-    samples = [f" {w} ".encode() for w, n in toxic_words for _ in range(min(n, 20))]
-    usual = seen.where("plain > 0").orderBy(F.desc("plain"), "word").limit(4 * terms)
-    plain = [f" {r[0]} ".encode() for r in usual.select("word", "plain").collect() for _ in range(min(r[1], 5))]
-    model = ToxicityModel(trained(plain, dictionary), trained(samples, toxic_dictionary), None)
-    if not samples or not plain:
-        return model
-    rows = sample.where("half = 1").select("toxic", evidence_of(model, F.col("text")).alias("e")).select("toxic", "e.*").orderBy("toxic", *EVIDENCE).toPandas()
-    model.weights = logistic(rows[EVIDENCE].to_numpy(float), rows["toxic"].to_numpy(float))
+    each = cut.select("toxic", "half", "kind", F.explode("words").alias("word")).distinct()
+    number = lambda t, h: F.sum(((F.col("toxic") == t) & (F.col("half") == h)).cast("long")).alias(f"n{t}{h}")
+    seen = cut_lineage(each.groupBy("word").agg(*[number(t, h) for t in (0, 1) for h in (0, 1)]))
+    usual = seen.where("n00 + n01 > 0 and word like '% '").orderBy(F.desc(F.expr("n00 + n01")), "word").limit(4 * terms)
+    plain = [r[0].encode() for r in usual.select("word", F.expr("n00 + n01")).collect() for _ in range(min(r[1], 5))]
+    ordinary = trained(plain, dictionary)
+
+    def learnt(halves: tuple[int, ...]) -> ToxicityModel:
+        rows, marked = (sum(counts[t, h] for h in halves) for t in (0, 1))
+        found = toxic_terms(seen, F.expr(" + ".join(f"n0{h}" for h in halves)), F.expr(" + ".join(f"n1{h}" for h in halves)), rows, marked, terms)
+        return ToxicityModel(ordinary, trained([w.encode() for w, n in found for _ in range(min(n, 20))], toxic_dictionary), None)
+
+    model, parts = learnt((0, 1)), []
+    for own in (0, 1):  # each half is measured with what the other half taught
+        other = learnt((1 - own,))
+        if other.toxic and ordinary:
+            found = sample.where(F.col("half") == own).select("toxic", evidence_of(other, F.col("text")).alias("e")).select("toxic", "e.*")
+            parts.append(found.orderBy("toxic", *EVIDENCE).toPandas())
+    if parts and model.toxic:
+        rows = pd.concat(parts)
+        model.weights = logistic(rows[EVIDENCE].to_numpy(float), rows["toxic"].to_numpy(float))
     return model
 
 
