@@ -329,7 +329,7 @@ def concat_user_text(
     span = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / piece_seconds)
     log = searches.where(lookback(F.col("ts"), end, days) & F.col("search_query").isNotNull())
     log = log.select(USER, "ts", "search_id", "search_query", span.alias("piece"))
-    cut = by_key(log, [USER, "piece"], "ts", piece_rows)
+    cut = by_key(log, [USER, "piece"], ["ts", "search_id"], piece_rows)
     queries = cut.select(USER, "piece", F.col(SLICE).alias("part"), "ts", "search_id", norm.alias("q"))
     ordered = F.array_sort(F.collect_list(F.struct("ts", "search_id", "q")))
     return queries.groupBy(USER, "piece", "part").agg(

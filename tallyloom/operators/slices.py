@@ -5,19 +5,24 @@ task.  Here each key's rows are cut into consecutive *slices* along the order
 column, the window runs inside (key, slice), and a small table with one row per
 (key, slice) carries the state from one slice to the next.
 
-Slices are chosen in two ways:
-
-* ``by_key``: keys with at most ``limit`` rows stay whole; larger ones are cut
-  into equal spans of the order column.  The table of cut keys has at most
-  rows / limit entries, so it is safe to broadcast.
+Slices are chosen by rows, in two ways:
+
+* ``by_key``: about one row in ``limit / 8``, chosen by hash of its key and place,
+  marks a cut; the marks of a key, sorted, are its cut points.  Keys with few
+  marks stay whole.  A cut is a place in the whole order, tie-breaks included, so
+  bursts, outliers, infinities and a hot instant are cut as evenly as any rows.
+  The marks depend on the rows alone, so a repeated task finds the same ones.
+  They are 8 rows in ``limit``, which bounds what is broadcast.
 * ``by_quantile``: no key at all (a global order).  The cut points are
-  approximate quantiles, a bounded list of numbers.
+  approximate quantiles, one per ``HOT_ROWS`` rows and a few per task at least.
 
-Rows with equal order values always land in the same slice.
+Rows with equal order values (all order columns) always land in the same slice.
 """
 
 from __future__ import annotations
 
+import json
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -37,43 +42,55 @@ def as_number(df: DataFrame, name: str) -> Column:
     return F.col(name)
 
 
-def by_key(df: DataFrame, keys: list[str], order: str, limit: int = HOT_ROWS) -> DataFrame:
-    """Add ``__slice``; only keys above ``limit`` rows get more than one."""
-    number = as_number(df, order).cast("double")
-    hot = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__n"), F.min(number).alias("__lo"), F.max(number).alias("__hi"))
-        .where(F.col("__n") > limit)
-        .select(
-            *[F.col(k).alias(f"__h_{k}") for k in keys],
-            "__lo",
-            ((F.col("__hi") - F.col("__lo")) / (F.ceil(F.col("__n") / limit) * 4)).alias("__width"),
+def cuts_below(place: Column, cuts: Column) -> Column:
+    """How many of the sorted ``cuts`` are at or below ``place``, by binary search."""
+    start = F.struct(F.lit(0).alias("low"), F.size(cuts).alias("high"))
+
+    def halve(state: Column, _: Column) -> Column:
+        middle = F.floor((state["low"] + state["high"]) / 2).cast("int")
+        above = F.get(cuts, middle) <= place
+        open_ = state["low"] < state["high"]
+        return F.struct(
+            F.when(open_ & above, middle + 1).otherwise(state["low"]).alias("low"), F.when(open_ & ~above, middle).otherwise(state["high"]).alias("high")
         )
-    )
+
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(cuts) + F.lit(1))).cast("int"))
+    return F.aggregate(steps, start, halve, lambda state: state["low"])
+
+
+def by_key(df: DataFrame, keys: list[str], order: str | list[str], limit: int = HOT_ROWS) -> DataFrame:
+    """Add ``__slice``; only keys of about ``limit`` rows or more get more than one."""
+    order = [order] if isinstance(order, str) else list(order)
+    place = F.struct(*[F.col(o).alias(f"o{i}") for i, o in enumerate(order)])
+    every = max(1, limit // 8)
+    marked = df.where(F.pmod(F.xxhash64(*keys, *order), F.lit(every)) == 0)
+    cuts = marked.groupBy(*keys).agg(F.array_sort(F.collect_set(place)).alias("__cuts")).where(F.size("__cuts") >= min(8, limit))
+    cuts = cuts.select(*[F.col(k).alias(f"__h_{k}") for k in keys], "__cuts")
     same = F.lit(True)
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"__h_{k}"))
-    cut = F.floor((number - F.col("__lo")) / F.col("__width"))
-    return (
-        df.join(F.broadcast(hot), same, "left")
-        .withColumn(SLICE, F.when(F.col("__width") > 0, cut).otherwise(F.lit(0)).cast("long"))
-        .drop("__lo", "__width", *[f"__h_{k}" for k in keys])
-    )
+    cut = F.when(F.col("__cuts").isNotNull(), cuts_below(place, F.col("__cuts"))).otherwise(F.lit(0))
+    return df.join(F.broadcast(cuts), same, "left").withColumn(SLICE, cut.cast("long")).drop("__cuts", *[f"__h_{k}" for k in keys])
 
 
 def cut_points(df: DataFrame, order: str, pieces: int | None = None) -> list[float]:
-    """At most 1023 increasing cut points that split ``order`` evenly."""
-    if pieces is None:
-        pieces = 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pieces = max(2, min(pieces, 1024))
+    """Increasing cut points that split ``order`` evenly: a few per task, and one per ``HOT_ROWS`` rows at least."""
     numeric = df.select(as_number(df, order).cast("double").alias("__v"))
+    if pieces is None:
+        pieces = max(2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(numeric.count() / HOT_ROWS))
+    pieces = max(2, pieces)
     probabilities = [i / pieces for i in range(1, pieces)]
     found = numeric.approxQuantile("__v", probabilities, 1.0 / (4 * pieces))
-    return sorted(set(found))
+    return sorted({x for x in found if math.isfinite(x)})
 
 
 def locate(number: Column, points: list[float]) -> Column:
-    """Index of the interval a number falls in, as a balanced tree of comparisons."""
+    """Index of the interval a number falls in: how many points lie below it; NaN lies above all, null below."""
+    if not points:
+        return F.lit(0).cast("long")
+    if len(points) > 64:  # one constant, searched by halves; the points just below a number are those not at or above it
+        cuts = F.from_json(F.lit(json.dumps([-x for x in reversed(points)])), "array<double>")
+        return F.when(number.isNull(), 0).otherwise(F.when(F.isnan(number), len(points)).otherwise(F.lit(len(points)) - cuts_below(-number, cuts))).cast("long")
 
     def descend(lo: int, hi: int) -> Column:
         if lo == hi:
@@ -81,7 +98,7 @@ def locate(number: Column, points: list[float]) -> Column:
         mid = (lo + hi) // 2
         return F.when(number <= F.lit(points[mid]), descend(lo, mid)).otherwise(descend(mid + 1, hi))
 
-    return descend(0, len(points)).cast("long")
+    return F.when(number.isNull(), 0).otherwise(descend(0, len(points))).cast("long")
 
 
 def by_quantile(df: DataFrame, order: str, pieces: int | None = None) -> DataFrame:
@@ -100,7 +117,7 @@ class Ordered:
 
     @classmethod
     def per_key(cls, df: DataFrame, keys: list[str], order: list[str], limit: int = HOT_ROWS) -> "Ordered":
-        return cls(by_key(df, keys, order[0], limit), keys, [F.col(o) for o in order])
+        return cls(by_key(df, keys, order, limit), keys, [F.col(o) for o in order])
 
     @classmethod
     def overall(cls, df: DataFrame, order: list[str], pieces: int | None = None) -> "Ordered":

@@ -107,3 +107,30 @@ def test_text_pieces_join_to_the_whole(spark):
         pieces = b.concat_user_text(searches, "2024-01-05", piece_rows=rows).orderBy("piece", "part").collect()
         assert " ".join(p["queries_text"] for p in pieces) == "елка дом чай молоко x"
     assert len(pieces) == 3
+
+
+def test_largest_slice_is_bounded(spark):
+    """A burst, a heavy tail, one far outlier, an infinity and one hot instant of a single key are cut by rows."""
+    n, limit = 40_000, 1000
+    ids = spark.range(n).withColumn("k", F.lit(1))
+    orders = {
+        "burst": F.when(F.col("id") % 50 == 0, F.col("id") * 1e6).otherwise(F.col("id") * 1e-6),
+        "tail": F.exp(F.pmod(F.xxhash64("id"), F.lit(1000)) / 30.0),
+        "outlier": F.when(F.col("id") == 7, 1e12).otherwise(F.col("id").cast("double")),
+        "infinite": F.when(F.col("id") == 7, float("inf")).when(F.col("id") == 8, float("nan")).otherwise(F.col("id").cast("double")),
+        "instant": F.lit(5.0),
+    }
+    for name, order in orders.items():
+        cut = Ordered.per_key(ids.withColumn("o", order), ["k"], ["o", "id"], limit)
+        largest = cut.df.groupBy("__slice").count().agg(F.max("count")).first()[0]
+        assert largest <= 4 * limit, name
+        got = cut.row_number("n").result()
+        want = ids.withColumn("o", order).withColumn("n", F.row_number().over(W.partitionBy("k").orderBy("o", "id")))
+        assert got.select("id", "n").exceptAll(want.select("id", "n").withColumn("n", F.col("n").cast("long"))).count() == 0, name
+
+
+def test_locate_many_points(spark):
+    points = [i * 0.5 for i in range(200)]
+    df = spark.createDataFrame([(x,) for x in (-1.0, 0.0, 0.25, 50.0, 50.1, 99.5, 1e9, float("inf"), float("nan"), None)], "x double")
+    got = [r[0] for r in df.select(locate(F.col("x"), points)).collect()]
+    assert got == [0, 0, 1, 100, 101, 199, 200, 200, 200, 0]
