@@ -71,13 +71,14 @@ def cut_bins(x: Column, edges: Sequence[float], labels: Sequence[str]) -> Column
 
 
 def mixed(key: Column, seed: int = 0) -> Column:
-    """Seeded pseudo-random whole number in [0, 2^31) from a numeric key."""
-    return (F.pmod(key.cast("long"), F.lit(2147483647)) + seed) * 1103515245 % 2147483648 * 69069 % 2147483648
+    """Seeded pseudo-random whole number in [0, 2^32): the first digits of the MD5 of key and seed, the same in any engine."""
+    digest = F.md5(F.concat(key.cast("string"), F.lit(f":{seed}")).cast("binary"))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
 
 
 def uniform(key: Column, seed: int = 0) -> Column:
     """Seeded uniform number in (0, 1) from a key of any type."""
-    return (F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
+    return (mixed(key, seed) + 0.5) / float(1 << 32)
 
 
 def radical_inverse(index: Column, base: int) -> Column:

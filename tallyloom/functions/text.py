@@ -69,13 +69,21 @@ def word_count(text: Column) -> Column:
 
 
 def first_json_string(doc: Column, keys: list[str]) -> Column:
-    """First non-blank string among ``keys``, else the first non-blank string value."""
-    kind = "map<string,string>"
-    values = F.from_json(doc, kind)
-    quoted = F.regexp_extract_all(doc, F.lit(r':\s*"((?:[^"\\]|\\.)*)"'), F.lit(1))
-    named = [F.when(F.trim(values[k]) != "", F.trim(values[k])) for k in keys]
-    rest = F.try_element_at(F.filter(F.transform(quoted, lambda v: F.trim(v)), lambda v: v != ""), F.lit(1))
-    return F.coalesce(*named, F.when(F.size(quoted) > 0, rest))
+    """First non-blank top-level string among ``keys``, else the first non-blank top-level string in document order.
+
+    Numbers, objects and nested strings never count; escapes are decoded.
+    """
+    values = F.try_parse_json(doc).try_cast("map<string,variant>")
+    names = F.json_object_keys(doc)
+
+    def text(name: Column) -> Column:
+        value = F.try_element_at(values, name)
+        found = F.trim(value.try_cast("string"))
+        return F.when((F.schema_of_variant(value) == "STRING") & (found != ""), found)
+
+    named = [text(F.lit(k)) for k in keys]
+    rest = F.filter(F.transform(names, text), lambda v: v.isNotNull())
+    return F.coalesce(*named, F.get(rest, F.lit(0)))
 
 
 def suffix_is(text: Column, suffixes: list[str]) -> Column:

@@ -15,11 +15,10 @@ from tallyloom.operators.slices import Ordered
 from tallyloom.plans.registry import query
 
 LETTERS = "А-Яа-яЁёІіЇїЄєҐґҚқЎўҲҳӘәӨөҮүҢңҺһІі"
-MIXED = "(({k} % 2147483647) + {seed}) * 1103515245 % 2147483648 * 69069 % 2147483648"
 
 
 def mixed_sql(key: str, seed: int = 0) -> str:
-    return MIXED.format(k=key, seed=seed)
+    return f"cast('0x' || substr(md5(concat({key}, ':{seed}')), 1, 8) AS BIGINT)"
 
 
 # --- projections -------------------------------------------------------------------------

@@ -55,13 +55,13 @@ def _(t):
     return dictionaries.read_text_dictionary(t.spark, path)
 
 
-@query("read_jsonl_dictionary", "SELECT DISTINCT replace(name, 'ё', 'е') AS term FROM persons UNION SELECT DISTINCT replace(fathername, 'ё', 'е') FROM persons WHERE unique_id % 3 = 0 AND fathername IS NOT NULL",
+@query("read_jsonl_dictionary", "SELECT DISTINCT replace(name, 'ё', 'е') AS term FROM persons UNION SELECT DISTINCT replace(fathername, 'ё', 'е') FROM persons WHERE fathername IS NOT NULL",
        uses="persons")
 def _(t):
     path = shared_folder(t.spark, "terms-json")
     people = t.persons
     named = people.select(F.to_json(F.struct(F.lit(" ").alias("surname"), F.col("name").alias("text"))).alias("value"))
-    other = people.where("unique_id % 3 = 0 AND fathername IS NOT NULL").select(
+    other = people.where("fathername IS NOT NULL").select(
         F.to_json(F.struct(F.lit(5).alias("id"), F.col("fathername").alias("label"))).alias("value")
     )
     broken = people.where("unique_id % 7 = 0").select(F.lit('{"name": "обрыв').alias("value"))
