@@ -208,7 +208,7 @@ def fit_quality(
     chosen = F.lit(False)
     for q, n in wanted.items():
         chosen = chosen | ((F.col("quality") == q) & keep_about(sizes[q], n, F.col("__id"), F.lit("forest")))
-    sample = scored.where(chosen).select("rules.*").orderBy(*COUNTS).toPandas()
+    sample = scored.where(chosen).select("rules.*").toPandas().sort_values(COUNTS)
     if len(sample) < 2:
         return QualityModel([], [])
     rows = ratios(sample)

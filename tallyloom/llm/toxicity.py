@@ -185,7 +185,7 @@ def fit_toxicity(
         other = learnt((1 - own,))
         if other.toxic and ordinary:
             found = sample.where(F.col("half") == own).select("toxic", evidence_of(other, F.col("text")).alias("e")).select("toxic", "e.*")
-            parts.append(found.orderBy("toxic", *EVIDENCE).toPandas())
+            parts.append(found.toPandas().sort_values(["toxic", *EVIDENCE]))
     if parts and model.toxic:
         rows = pd.concat(parts)
         model.weights = logistic(rows[EVIDENCE].to_numpy(float), rows["toxic"].to_numpy(float))
