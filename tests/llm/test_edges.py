@@ -49,8 +49,10 @@ def test_unknown_words_back_off():
 
 
 def test_toxicity(odd_docs, no_docs, labels, llm):
-    plain = [(i, f"calm words about gardens number {'abcdefghij'[i % 10]} and rivers of the north " * 3, "en") for i in range(200)]
-    foul = [(1000 + i, f"calm words about you {w} worm and {w} fool gardens of the north " * 2, "en") for i, w in enumerate(["nasty", "vile"] * 60)]
+    letters = "abcdefghij"
+    own = lambda i: " ".join("".join(letters[int(c)] for c in str(i * 1000 + k * 37)) for k in range(40))
+    plain = [(i, f"calm words about gardens and rivers of the north {own(i)}", "en") for i in range(200)]
+    foul = [(1000 + i, f"calm words about you {w} worm and {w} fool gardens of the north {own(1000 + i)}", "en") for i, w in enumerate(["nasty", "vile"] * 60)]
     docs = llm.createDataFrame(plain + foul, "doc_id long, text string, lang string")
     marks = llm.createDataFrame([(i, int(i >= 1000)) for i, *_ in plain + foul], "doc_id long, toxic int")
     model = toxicity.fit_toxicity(docs, marks)
