@@ -19,6 +19,13 @@ of their own, so no cell is too large and no link is lost.
 A null text counts as empty; a text without words has fingerprint 0 and is linked
 like any other.  Copies share one fingerprint and are folded before the join.
 Null ids keep their rows; a component of null ids only has a null id.
+
+``near_copies`` finds texts that share ``SIMILAR`` of their five-word shingles, which
+puts their fingerprints farther apart than a range join can reach.  So the
+join runs on several fingerprints a text, made of its set of words: texts as
+alike as that differ there in 6 % of the bits.  Each cell proposes links of up to
+``CLOSE`` bits; those of three share a cell for sure, half of those of five do, and
+each fingerprint is another chance.  All are verified exactly on the shingles.
 """
 
 from __future__ import annotations
@@ -38,6 +45,12 @@ from tallyloom.session import cut_lineage
 
 SEED, SHINGLE, NEAR = 42, 3, 3
 SEGMENTS, CELL, CHUNK_ROWS = 32, 4096, 200_000
+#: Words a shingle and least share of shingles of near copies; fingerprints a text on which they are looked for.
+LONG_SHINGLE, SIMILAR, VIEWS = 5, 0.8, 10
+#: Differing bits up to which two such fingerprints in one cell propose a link; those of other texts differ in 10 or more.
+CLOSE = 9
+#: Forests of links that a cell proposes one after the other, none with a link of an earlier one.
+FORESTS = 3
 LOW = 0x5555555555555555
 
 
@@ -165,17 +178,22 @@ def cells_of(nodes: DataFrame, blocks: int) -> DataFrame:
     return found.select(F.xxhash64("which", "key").alias("cell"), "fp")
 
 
+def cut_large(cells: DataFrame, member: str) -> DataFrame:
+    """The members of each cell of more than ``CELL`` in chunks; each two chunks make a cell of their own."""
+    large = cut_lineage(cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CELL))
+    if large.isEmpty():
+        return cells
+    chunks = F.ceil(F.col("n") / F.lit(CELL // 2)).cast("int")
+    own = F.pmod(F.xxhash64(member), chunks).cast("int")
+    meet = F.transform(F.sequence(F.lit(0), chunks - 1), lambda c: F.struct(F.least(c, own).alias("x"), F.greatest(c, own).alias("y")))
+    split = cells.join(large, "cell").select(*cells.columns, F.explode(meet).alias("m"))
+    split = split.withColumn("cell", F.xxhash64("cell", "m.x", "m.y")).select(*cells.columns)
+    return cells.join(large.select("cell"), "cell", "left_anti").unionByName(split)
+
+
 def near_links(nodes: DataFrame, count: int) -> DataFrame:
     """Edges (a, b) that connect what links of at most three bits connect."""
-    cells = cells_of(nodes, blocks_for(count))
-    large = cut_lineage(cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CELL))
-    if not large.isEmpty():
-        chunks = F.ceil(F.col("n") / F.lit(CELL // 2)).cast("int")
-        own = F.pmod(F.xxhash64("fp"), chunks).cast("int")
-        meet = F.transform(F.sequence(F.lit(0), chunks - 1), lambda c: F.struct(F.least(c, own).alias("x"), F.greatest(c, own).alias("y")))
-        split = cells.join(large, "cell").select("cell", "fp", F.explode(meet).alias("m"))
-        split = split.select(F.xxhash64("cell", "m.x", "m.y").alias("cell"), "fp")
-        cells = cells.join(large.select("cell"), "cell", "left_anti").unionByName(split)
+    cells = cut_large(cells_of(nodes, blocks_for(count)), "fp")
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return cells.repartition(parts, "cell").sortWithinPartitions("cell").mapInArrow(forests, "a long, b long")
 
@@ -196,3 +214,175 @@ def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     own = cut_lineage(own)
     out = own.join(near_groups(own, id_col), "fp", "left")
     return out.select(id_col, "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def mixed(h: np.ndarray, view: int) -> np.ndarray:
+    """Another hash of the same values for each view."""
+    h = h + np.uint64(0x9E3779B97F4A7C15 * (view + 1) % 2**64)
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def normal_words(text: str) -> list[bytes]:
+    return text.encode("utf-8", "replace").lower().split()
+
+
+def views_of(text: Column) -> Column:
+    """Hash of the normal text (``key``) and its fingerprints by its set of words (``v0`` on)."""
+    names = ["key", *[f"v{i}" for i in range(VIEWS)]]
+
+    def one(text: str | None) -> list[int]:
+        words = normal_words(text or "")
+        out = [xxhash.xxh64_intdigest(b" ".join(words), SEED)]
+        kinds = set(words)
+        hashes = np.fromiter((xxhash.xxh64_intdigest(w, SEED) for w in kinds), np.uint64, len(kinds))
+        for view in range(VIEWS):
+            set_bits = np.zeros(64, np.int64)
+            for i in range(0, len(hashes), 65536):
+                part = mixed(hashes[i : i + 65536], view).view(np.uint8).reshape(-1, 8)
+                set_bits += np.unpackbits(part, axis=1).sum(0, dtype=np.int64)
+            out.append(int.from_bytes(np.packbits(2 * set_bits > len(hashes)).tobytes(), "big"))
+        return out
+
+    @F.pandas_udf(", ".join(f"{c} long" for c in names))
+    def compute(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame(np.array([one(t) for t in texts], np.uint64).reshape(-1, len(names)).view(np.int64), columns=names)
+
+    return compute(F.coalesce(text, F.lit("")))
+
+
+def shingles_of(text: Column) -> Column:
+    """Set of the hashes of a text's shingles; a text of fewer words is one shingle."""
+
+    def one(text: str) -> np.ndarray:
+        words = normal_words(text)
+        starts = range(max(1, len(words) - LONG_SHINGLE + 1))
+        return np.unique(np.fromiter((xxhash.xxh64_intdigest(b" ".join(words[i : i + LONG_SHINGLE]), SEED) for i in starts), np.uint64)).view(np.int64)
+
+    @F.pandas_udf("array<long>")
+    def compute(texts: pd.Series) -> pd.Series:
+        return pd.Series([one(t) for t in texts])
+
+    return compute(F.coalesce(text, F.lit("")))
+
+
+def closest_forest(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which of the links, the closest first, make a minimum spanning forest: each part takes its first link to another part."""
+    nodes, at = np.unique(np.concatenate((a, b)), return_inverse=True)
+    left, right = at[: len(a)], at[len(a) :]
+    part, taken, left_over = np.arange(len(nodes)), np.zeros(len(a), bool), np.arange(len(a))
+    while len(left_over := left_over[part[left[left_over]] != part[right[left_over]]]):
+        best = np.full(len(nodes), len(a))
+        np.minimum.at(best, part[left[left_over]], left_over)
+        np.minimum.at(best, part[right[left_over]], left_over)
+        new = np.unique(best[best < len(a)])
+        taken[new] = True
+        while (part[left[new]] != part[right[new]]).any():
+            low = np.minimum(part[left[new]], part[right[new]])
+            np.minimum.at(part, part[left[new]], low)
+            np.minimum.at(part, part[right[new]], low)
+            while (part != (up := part[part])).any():
+                part = up
+    return taken
+
+
+def closest_forests(a: np.ndarray, b: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Several forests: a link is left out only if so many closer ways connect its ends."""
+    order = np.lexsort((weight, b, a))
+    once = order[np.r_[True, (np.diff(a[order]) != 0) | (np.diff(b[order]) != 0)][: len(a)]]
+    order = once[np.argsort(weight[once], kind="stable")]
+    a, b, weight = a[order], b[order], weight[order]
+    chosen = np.zeros(len(a), bool)
+    for _ in range(FORESTS):
+        rest = np.flatnonzero(~chosen)
+        chosen[rest[closest_forest(a[rest], b[rest])]] = True
+    return a[chosen], b[chosen], weight[chosen]
+
+
+def close_in_runs(cell: np.ndarray, fp: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Real links that connect the keys whose fingerprints are near, among rows of equal cells, which stand together."""
+    code = unary_counts(fp)
+    at, step = np.arange(len(cell) - 1), 1
+    at = at[cell[at] == cell[at + 1]]
+    found = [(key[:0], key[:0], np.zeros(0, np.uint8))]
+    while len(at):
+        near = at[np.bitwise_count(code[at] ^ code[at + step]) <= CLOSE]
+        far = np.bitwise_count(fp[near] ^ fp[near + step])
+        near, far = near[far <= CLOSE], far[far <= CLOSE]
+        found.append((np.minimum(key[near], key[near + step]), np.maximum(key[near], key[near + step]), far))
+        step += 1
+        at = at[at + step < len(cell)]
+        at = at[cell[at] == cell[at + step]]
+        if sum(len(x[0]) for x in found) > 4 * CHUNK_ROWS:
+            found = [closest_forests(*map(np.concatenate, zip(*found, strict=True)))]
+    return closest_forests(*map(np.concatenate, zip(*found, strict=True)))[:2]
+
+
+def closest_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by cell, real links that connect the near ones in each stretch of whole cells."""
+
+    def result(cell: np.ndarray, fp: np.ndarray, key: np.ndarray) -> pa.RecordBatch:
+        a, b = close_in_runs(cell, fp.view(np.uint64), key)
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    held, rows = [], 0
+    for batch in batches:
+        held.append(tuple(batch.column(i).to_numpy() for i in range(3)))
+        rows += batch.num_rows
+        if rows >= CHUNK_ROWS:
+            own = tuple(map(np.concatenate, zip(*held, strict=True)))
+            whole = int(np.argmax(own[0] == own[0][-1]))
+            if whole:
+                yield result(*(x[:whole] for x in own))
+            held, rows = [tuple(x[whole:] for x in own)], len(own[0]) - whole
+    if rows:
+        yield result(*map(np.concatenate, zip(*held, strict=True)))
+
+
+def view_cells(nodes: DataFrame, blocks: int) -> DataFrame:
+    """(cell, fp, key) for each view and choice of blocks."""
+    masks = cell_masks(blocks)
+
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key = np.repeat(batch.column(0).to_numpy(), len(masks))
+            for view in range(VIEWS):
+                fp = batch.column(view + 1).to_numpy().view(np.uint64)
+                place = (unary_counts(fp)[:, None] & masks[None, :]).ravel()
+                salt = np.tile(np.arange(len(masks), dtype=np.uint64) + np.uint64(view * len(masks)), len(fp))
+                cell = mixed(place ^ mixed(salt, 1), 0).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(np.repeat(fp, len(masks)).view(np.int64)), pa.array(key)], names=["cell", "fp", "key"])
+
+    return nodes.select("key", *[f"v{i}" for i in range(VIEWS)]).mapInArrow(cells, "cell long, fp long, key long")
+
+
+def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILAR) -> DataFrame:
+    """(key, least, text_hash, root), one row per different text, ``root`` being one for a group of near copies.
+
+    Texts of equal words in equal order, whatever their case and blanks, share a 64-bit
+    ``key``.  ``least`` is the smallest id with that text, ``text_hash`` the XXH64 of a text
+    that has it.  Two texts are near copies if their sets of five-word shingles share
+    ``similarity`` or more of their union; groups are what near copies connect.  The
+    fingerprints only propose links, each cell the closest that connect it ``FORESTS`` times over.
+    """
+    own = df.select(
+        F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.col(f"`{text_col}`")).alias("text_hash"), views_of(F.col(f"`{text_col}`")).alias("v")
+    ).select("id", "text_hash", "v.*")
+    first = F.coalesce(F.min_by("text_hash", "id"), F.min("text_hash")).alias("text_hash")
+    nodes = cut_lineage(own.groupBy("key").agg(F.min("id").alias("least"), first, *[F.min(f"v{i}").alias(f"v{i}") for i in range(VIEWS)]))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cells = cut_large(view_cells(nodes, blocks_for(nodes.count())), "key")
+    links = cells.repartition(parts, "cell").sortWithinPartitions("cell").mapInArrow(closest_links, "a long, b long")
+    links = cut_lineage(links.distinct())
+    known = nodes.select("key", "text_hash")
+    wanted = links.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(known, "key")
+    texts = df.select(F.col(f"`{text_col}`").alias("text")).withColumn("text_hash", F.xxhash64("text"))
+    texts = texts.join(wanted, "text_hash", "left_semi").groupBy("text_hash").agg(F.first("text").alias("text"))
+    sets = cut_lineage(texts.join(wanted, "text_hash").select("key", shingles_of(F.col("text")).alias("set")))
+    both = links.join(sets.select(F.col("key").alias("a"), F.col("set").alias("x")), "a")
+    both = both.join(sets.select(F.col("key").alias("b"), F.col("set").alias("y")), "b")
+    shared = F.size(F.array_intersect("x", "y"))
+    alike = both.where(shared / (F.size("x") + F.size("y") - shared) >= F.lit(similarity)).select("a", "b")
+    grouped = connected_components(alike, "a", "b").select(F.col("id").alias("key"), F.col("cluster_id").alias("root"))
+    return nodes.join(grouped, "key", "left").select("key", "least", "text_hash", F.coalesce("root", "key").alias("root"))
