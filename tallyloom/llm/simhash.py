@@ -47,6 +47,8 @@ SEED, SHINGLE, NEAR = 42, 3, 3
 SEGMENTS, CELL, CHUNK_ROWS = 32, 4096, 200_000
 #: Words a shingle and least share of shingles of near copies; fingerprints a text on which they are looked for.
 LONG_SHINGLE, SIMILAR, VIEWS = 5, 0.8, 10
+#: Most hashes (8 bytes each) that are sent to every task; more meet the texts in a shuffle.
+SMALL = 1_000_000
 #: Differing bits up to which two such fingerprints in one cell propose a link; those of other texts differ in 10 or more.
 CLOSE = 9
 #: Forests of links that a cell proposes one after the other, none with a link of an earlier one.
@@ -378,7 +380,8 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     known = nodes.select("key", "text_hash")
     wanted = links.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(known, "key")
     texts = df.select(F.col(f"`{text_col}`").alias("text")).withColumn("text_hash", F.xxhash64("text"))
-    texts = texts.join(wanted, "text_hash", "left_semi").groupBy("text_hash").agg(F.first("text").alias("text"))
+    hashes = cut_lineage(wanted.select("text_hash"))
+    texts = texts.join(F.broadcast(hashes) if hashes.count() <= SMALL else hashes, "text_hash", "left_semi").groupBy("text_hash").agg(F.first("text").alias("text"))
     sets = cut_lineage(texts.join(wanted, "text_hash").select("key", shingles_of(F.col("text")).alias("set")))
     both = links.join(sets.select(F.col("key").alias("a"), F.col("set").alias("x")), "a")
     both = both.join(sets.select(F.col("key").alias("b"), F.col("set").alias("y")), "b")
