@@ -4,6 +4,8 @@ import math
 import random
 from statistics import NormalDist
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -246,3 +248,17 @@ def test_fuzzy_matches_equal_brute_force(spark):
 
     want = {(i, j): d for i, a in enumerate(words) for j, b in enumerate(words) if (d := edits(a, b)) <= 3}
     assert got == want
+
+
+def test_suggest_drops_finds_planted_columns(spark):
+    rng = np.random.default_rng(5)
+    n = 400
+    data = pd.DataFrame({"id": range(n), "a": rng.normal(size=n), "b": rng.normal(size=n)})
+    data["flat"], data["twin"], data["line"] = 2.0, data["a"], 3 * data["b"] - 1
+    data["y"] = (data["a"] + data["b"] + rng.normal(scale=0.3, size=n) > 0).astype(int)
+    df = spark.createDataFrame(data)
+    out = models.suggest_drops(df.where("id % 2 = 0"), df.where("id % 2 = 1"), "id", ["a", "b", "flat", "twin", "line"])
+    found = {tuple(r) for r in out.collect()}
+    assert {("constant", "flat", None), ("duplicate", "a", "twin"), ("correlated", "twin", "a"), ("correlated", "line", "b")} <= found
+    assert ("unimportant", "flat", None) in found and ("unimportant", "a", None) not in found
+    assert not {f for kind, f, _ in found if kind in ("constant", "correlated")} & {"a", "b"}
