@@ -20,12 +20,15 @@ A null text counts as empty; a text without words has fingerprint 0 and is linke
 like any other.  Copies share one fingerprint and are folded before the join.
 Null ids keep their rows; a component of null ids only has a null id.
 
-``near_copies`` finds texts that share ``SIMILAR`` of their five-word shingles, which
-puts their fingerprints farther apart than a range join can reach.  So the
-join runs on several fingerprints a text, made of its set of words: texts as
-alike as that differ there in 6 % of the bits.  Each cell proposes links of up to
-``CLOSE`` bits; those of three share a cell for sure, half of those of five do, and
-each fingerprint is another chance.  All are verified exactly on the shingles.
+``near_copies`` finds all texts that share ``SIMILAR`` of their five-word shingles,
+without fingerprints.  A text with a near copy shares that part of its shingles with
+other texts, so the rest goes after one count of all shingles.  Of the others, two
+near copies share one of the rarest shingles of each (prefix filter: of n shingles,
+with the rarest first, n - ceil(SIMILAR * n) + 1).  Texts with such a shingle in common
+and sizes that allow it are chained, and what the chains connect is a crowd.  In
+a crowd all texts are compared exactly; only verified links leave it, so the
+forest that is kept of them loses nothing.  A hash collision adds work only, except that
+of the 64-bit hashes of whole texts and shingles.
 """
 
 from __future__ import annotations
@@ -38,6 +41,7 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyloom.operators.linkage import connected_components
@@ -45,14 +49,12 @@ from tallyloom.session import cut_lineage
 
 SEED, SHINGLE, NEAR = 42, 3, 3
 SEGMENTS, CELL, CHUNK_ROWS = 32, 4096, 200_000
-#: Words a shingle and least share of shingles of near copies; fingerprints a text on which they are looked for.
-LONG_SHINGLE, SIMILAR, VIEWS = 5, 0.8, 10
+#: Words a shingle and least share of shingles of near copies.
+LONG_SHINGLE, SIMILAR = 5, 0.8
 #: Most hashes (8 bytes each) that are sent to every task; more meet the texts in a shuffle.
 SMALL = 1_000_000
-#: Differing bits up to which two such fingerprints in one cell propose a link; those of other texts differ in 10 or more.
-CLOSE = 9
-#: Forests of links that a cell proposes one after the other, none with a link of an earlier one.
-FORESTS = 3
+#: Shingles that a task packs at once, shingles a slice of the count, and shingles of a chunk of a crowd.
+PACKED, SLICE, CROWD = 2_000_000, 4_000_000, 1_000_000
 LOW = 0x5555555555555555
 
 
@@ -230,133 +232,241 @@ def normal_words(text: str) -> list[bytes]:
     return text.encode("utf-8", "replace").lower().split()
 
 
-def views_of(text: Column) -> Column:
-    """Hash of the normal text (``key``) and its fingerprints by its set of words (``v0`` on)."""
-    names = ["key", *[f"v{i}" for i in range(VIEWS)]]
-
-    def one(text: str | None) -> list[int]:
-        words = normal_words(text or "")
-        out = [xxhash.xxh64_intdigest(b" ".join(words), SEED)]
-        kinds = set(words)
-        hashes = np.fromiter((xxhash.xxh64_intdigest(w, SEED) for w in kinds), np.uint64, len(kinds))
-        for view in range(VIEWS):
-            set_bits = np.zeros(64, np.int64)
-            for i in range(0, len(hashes), 65536):
-                part = mixed(hashes[i : i + 65536], view).view(np.uint8).reshape(-1, 8)
-                set_bits += np.unpackbits(part, axis=1).sum(0, dtype=np.int64)
-            out.append(int.from_bytes(np.packbits(2 * set_bits > len(hashes)).tobytes(), "big"))
+class WordHashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 500_000:
+            self.clear()
+        self[word] = out = xxhash.xxh64_intdigest(word, SEED)
         return out
 
-    @F.pandas_udf(", ".join(f"{c} long" for c in names))
+
+def shingles(words: list[bytes], known: WordHashes) -> np.ndarray:
+    """Set of the hashes of a text's shingles; a text of fewer words is one shingle."""
+    if not words:
+        return np.zeros(1, np.uint64)
+    each = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    size = min(LONG_SHINGLE, len(words))
+    count = len(words) - size + 1
+    total = each[:count]
+    for i in range(1, size):
+        total = total * np.uint64(0x9E3779B97F4A7C15) + each[i : i + count]
+    return np.unique(mixed(total, 0))
+
+
+def text_key(words: list[bytes]) -> int:
+    return xxhash.xxh64_intdigest(b" ".join(words), SEED)
+
+
+def key_of(text: Column) -> Column:
+    """Hash of the normal text (``key``) and its number of different shingles (``n``)."""
+
+    @F.pandas_udf("key long, n long")
     def compute(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame(np.array([one(t) for t in texts], np.uint64).reshape(-1, len(names)).view(np.int64), columns=names)
+        known = WordHashes()
+        cut = [normal_words(t) for t in texts]
+        keys = np.fromiter(map(text_key, cut), np.uint64, len(cut)).view(np.int64)
+        return pd.DataFrame({"key": keys, "n": [len(shingles(w, known)) for w in cut]})
 
     return compute(F.coalesce(text, F.lit("")))
 
 
 def shingles_of(text: Column) -> Column:
-    """Set of the hashes of a text's shingles; a text of fewer words is one shingle."""
-
-    def one(text: str) -> np.ndarray:
-        words = normal_words(text)
-        starts = range(max(1, len(words) - LONG_SHINGLE + 1))
-        return np.unique(np.fromiter((xxhash.xxh64_intdigest(b" ".join(words[i : i + LONG_SHINGLE]), SEED) for i in starts), np.uint64)).view(np.int64)
+    """Set of the hashes of a text's shingles."""
 
     @F.pandas_udf("array<long>")
     def compute(texts: pd.Series) -> pd.Series:
-        return pd.Series([one(t) for t in texts])
+        known = WordHashes()
+        return pd.Series([shingles(normal_words(t), known).view(np.int64) for t in texts])
 
     return compute(F.coalesce(text, F.lit("")))
 
 
-def closest_forest(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Which of the links, the closest first, make a minimum spanning forest: each part takes its first link to another part."""
-    nodes, at = np.unique(np.concatenate((a, b)), return_inverse=True)
-    left, right = at[: len(a)], at[len(a) :]
-    part, taken, left_over = np.arange(len(nodes)), np.zeros(len(a), bool), np.arange(len(a))
-    while len(left_over := left_over[part[left[left_over]] != part[right[left_over]]]):
-        best = np.full(len(nodes), len(a))
-        np.minimum.at(best, part[left[left_over]], left_over)
-        np.minimum.at(best, part[right[left_over]], left_over)
-        new = np.unique(best[best < len(a)])
-        taken[new] = True
-        while (part[left[new]] != part[right[new]]).any():
-            low = np.minimum(part[left[new]], part[right[new]])
-            np.minimum.at(part, part[left[new]], low)
-            np.minimum.at(part, part[right[new]], low)
-            while (part != (up := part[part])).any():
-                part = up
-    return taken
-
-
-def closest_forests(a: np.ndarray, b: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Several forests: a link is left out only if so many closer ways connect its ends."""
-    order = np.lexsort((weight, b, a))
-    once = order[np.r_[True, (np.diff(a[order]) != 0) | (np.diff(b[order]) != 0)][: len(a)]]
-    order = once[np.argsort(weight[once], kind="stable")]
-    a, b, weight = a[order], b[order], weight[order]
-    chosen = np.zeros(len(a), bool)
-    for _ in range(FORESTS):
-        rest = np.flatnonzero(~chosen)
-        chosen[rest[closest_forest(a[rest], b[rest])]] = True
-    return a[chosen], b[chosen], weight[chosen]
-
-
-def close_in_runs(cell: np.ndarray, fp: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Real links that connect the keys whose fingerprints are near, among rows of equal cells, which stand together."""
-    code = unary_counts(fp)
-    at, step = np.arange(len(cell) - 1), 1
-    at = at[cell[at] == cell[at + 1]]
-    found = [(key[:0], key[:0], np.zeros(0, np.uint8))]
-    while len(at):
-        near = at[np.bitwise_count(code[at] ^ code[at + step]) <= CLOSE]
-        far = np.bitwise_count(fp[near] ^ fp[near + step])
-        near, far = near[far <= CLOSE], far[far <= CLOSE]
-        found.append((np.minimum(key[near], key[near + step]), np.maximum(key[near], key[near + step]), far))
-        step += 1
-        at = at[at + step < len(cell)]
-        at = at[cell[at] == cell[at + step]]
-        if sum(len(x[0]) for x in found) > 4 * CHUNK_ROWS:
-            found = [closest_forests(*map(np.concatenate, zip(*found, strict=True)))]
-    return closest_forests(*map(np.concatenate, zip(*found, strict=True)))[:2]
-
-
-def closest_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by cell, real links that connect the near ones in each stretch of whole cells."""
-
-    def result(cell: np.ndarray, fp: np.ndarray, key: np.ndarray) -> pa.RecordBatch:
-        a, b = close_in_runs(cell, fp.view(np.uint64), key)
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+def least_shared(n: Column, similarity: float) -> Column:
+    """Least shingles of n that a near copy has too."""
+    return F.ceil(n * F.lit(similarity) - F.lit(1e-9))
+
+
+def postings(texts: DataFrame, slices: int) -> DataFrame:
+    """The shingles of texts (rows of ``text``, or of ``key`` and ``set``) dealt into slices by hash, many packed in a row: six bytes each and the place of the text."""
+
+    def flush(held: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
+        hashes = np.concatenate([h for _, h in held])
+        own = np.repeat(np.arange(len(held), dtype=np.uint16), [len(h) for _, h in held])
+        keys = np.array([k for k, _ in held], np.uint64)
+        part = (hashes % np.uint64(slices)).astype(np.int32)
+        order = np.argsort(part, kind="stable")
+        left = (hashes // np.uint64(slices))[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+        part, own = part[order], own[order]
+        ends = np.r_[np.flatnonzero(np.diff(part)) + 1, len(part)]
+        rows = []
+        for a, b in zip(np.r_[0, ends[:-1]].tolist(), ends.tolist(), strict=True):
+            used, place = np.unique(own[a:b], return_inverse=True)
+            rows.append((int(part[a]), left[a:b].tobytes(), place.astype(np.uint16).tobytes(), keys[used].tobytes()))
+        kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["slice", "left", "place", "keys"])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, held, size = WordHashes(), [], 0
+        for batch in batches:
+            for row in zip(*(batch.column(i) for i in range(batch.num_columns)), strict=True):
+                if len(row) == 1:
+                    words = normal_words(row[0].as_py() or "")
+                    held.append((text_key(words), shingles(words, known)))
+                else:
+                    held.append((row[0].as_py() % 2**64, row[1].values.to_numpy().view(np.uint64)))
+                size += len(held[-1][1])
+                if size >= PACKED or len(held) >= 60_000:
+                    yield flush(held)
+                    held, size = [], 0
+        if held:
+            yield flush(held)
+
+    parts = max(slices, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return texts.mapInArrow(pack, "slice int, left binary, place binary, keys binary").repartition(parts, "slice")
+
+
+def shared_postings(texts: DataFrame, slices: int, counted: bool) -> DataFrame:
+    """Shingles that several texts have: (key, c), their number in a slice, if ``counted``, else each as (key, cell, df)."""
+
+    def several(rows: list[tuple[bytes, bytes, bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        hashes, keys = [], []
+        for left, place, own in rows:
+            wide = np.zeros((len(left) // 6, 8), np.uint8)
+            wide[:, :6] = np.frombuffer(left, np.uint8).reshape(-1, 6)
+            hashes.append(wide.view("<u8").ravel())
+            keys.append(np.frombuffer(own, np.int64)[np.frombuffer(place, np.uint16)])
+        h, key = np.concatenate(hashes), np.concatenate(keys)
+        order = np.argsort(h, kind="stable")
+        h = h[order]
+        new = np.r_[True, h[1:] != h[:-1]]
+        run = np.cumsum(new) - 1
+        many = np.bincount(run)[run] > 1
+        h, key = h[many], key[order][many]
+        order = np.lexsort((key, h))
+        h, key = h[order], key[order]
+        once = np.r_[True, (h[1:] != h[:-1]) | (key[1:] != key[:-1])][: len(h)]
+        h, key = h[once], key[once]
+        run = np.cumsum(np.r_[True, h[1:] != h[:-1]][: len(h)]) - 1
+        df = np.bincount(run)[run] if len(run) else run
+        return h[df > 1], key[df > 1], df[df > 1]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list] = {}
+        for batch in batches:
+            for own, *row in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                held.setdefault(own, []).append(row)
+        while held:
+            own, rows = held.popitem()
+            h, key, df = several(rows)
+            if counted:
+                key, c = np.unique(key, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(c.astype(np.int64))], names=["key", "c"])
+            else:
+                cell = (h * np.uint64(slices) + np.uint64(own)).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(cell), pa.array(df.astype(np.int64))], names=["key", "cell", "df"])
+
+    return postings(texts, slices).mapInArrow(count, "key long, c long" if counted else "key long, cell long, df long")
+
+
+def chains(cells: DataFrame, similarity: float) -> DataFrame:
+    """(a, b) that connect any two texts of a cell (cell, n, key) whose sizes allow the similarity: neighbours by size do.
+
+    Rows are dealt by range, so a large cell lies in several tasks; each also returns its
+    first and last row, which are linked on the driver.
+    """
 
-    held, rows = [], 0
-    for batch in batches:
-        held.append(tuple(batch.column(i).to_numpy() for i in range(3)))
-        rows += batch.num_rows
-        if rows >= CHUNK_ROWS:
-            own = tuple(map(np.concatenate, zip(*held, strict=True)))
-            whole = int(np.argmax(own[0] == own[0][-1]))
+    def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, first = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            own = [batch.column(i).to_numpy() for i in range(3)]
+            first = [x[:1] for x in own] if first is None else first
+            cell, n, key = own if last is None else map(np.concatenate, zip(last, own, strict=True))
+            last = [x[-1:] for x in own]
+            near = (cell[1:] == cell[:-1]) & (n[:-1] >= similarity * n[1:] - 1e-9)
+            a, b = key[:-1][near], key[1:][near]
+            none = pa.nulls(len(a), pa.int64())
+            yield pa.RecordBatch.from_arrays([none, none, pa.array(a), pa.array(b)], names=["cell", "n", "a", "b"])
+        if last is not None:
+            cell, n, key = map(np.concatenate, zip(first, last, strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(n), pa.array(key), pa.array(key)], names=["cell", "n", "a", "b"])
+
+    parts = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = cells.select("cell", "n", "key").repartitionByRange(parts, "cell", "n", "key").sortWithinPartitions("cell", "n", "key")
+    found = cut_lineage(dealt.mapInArrow(chain, "cell long, n long, a long, b long").distinct())
+    ends = sorted(tuple(r) for r in found.where("cell is not null").select("cell", "n", "a").collect())
+    joined = [(x[2], y[2]) for x, y in zip(ends, ends[1:], strict=False) if x[0] == y[0] and x[1] >= similarity * y[1] - 1e-9]
+    return found.where("cell is null").select("a", "b").unionByName(cells.sparkSession.createDataFrame(joined, "a long, b long"))
+
+
+def alike_in_crowd(key: np.ndarray, values: np.ndarray, ends: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Exact links that connect what all links of these texts connect."""
+    n, size = len(key), np.diff(ends)
+    kinds, at = np.unique(values, return_inverse=True)
+    df = np.bincount(at, minlength=len(kinds))
+    starts = np.cumsum(df) - df
+    owner = np.repeat(np.arange(n), size)[np.argsort(at, kind="stable")]
+    part, a, b = np.arange(n), [], []
+    for i in range(n - 1):
+        if (part == part[0]).all():
+            break
+        own = at[ends[i] : ends[i + 1]]
+        own = own[df[own] > 1]
+        shared = np.zeros(n, np.int64)
+        step = max(1, 4_000_000 // n)
+        for k in range(0, len(own), step):
+            some = own[k : k + step]
+            length = df[some]
+            where = np.repeat(starts[some] - (np.cumsum(length) - length), length) + np.arange(length.sum())
+            shared += np.bincount(owner[where], minlength=n)
+        alike = shared / (size + size[i] - shared) >= similarity
+        alike[: i + 1] = False
+        for j in np.flatnonzero(alike & (part != part[i])).tolist():
+            if part[j] != part[i]:
+                part[part == part[j]] = part[i]
+                a.append(key[i])
+                b.append(key[j])
+    return np.array(a, np.int64), np.array(b, np.int64)
+
+
+def alike_links(rows: DataFrame, similarity: float) -> DataFrame:
+    """(a, b) that connect the near copies among the texts (cell, key, set) of each cell."""
+
+    def result(cell: np.ndarray, key: np.ndarray, sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        cuts = np.r_[0, np.flatnonzero(np.diff(cell)) + 1, len(cell)].tolist()
+        for x, y in zip(cuts, cuts[1:], strict=False):
+            ends = np.r_[0, np.cumsum([len(s) for s in sets[x:y]])]
+            a, b = alike_in_crowd(key[x:y], np.concatenate(sets[x:y]), ends, similarity)
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, key, sets = np.zeros(0, np.int64), np.zeros(0, np.int64), []
+        for batch in batches:
+            cell, key = np.r_[cell, batch.column(0).to_numpy()], np.r_[key, batch.column(1).to_numpy()]
+            sets += [s.values.to_numpy() for s in batch.column(2)]
+            whole = int(np.argmax(cell == cell[-1])) if len(cell) else 0
             if whole:
-                yield result(*(x[:whole] for x in own))
-            held, rows = [tuple(x[whole:] for x in own)], len(own[0]) - whole
-    if rows:
-        yield result(*map(np.concatenate, zip(*held, strict=True)))
+                yield from result(cell[:whole], key[:whole], sets[:whole])
+                cell, key, sets = cell[whole:], key[whole:], sets[whole:]
+        if len(cell):
+            yield from result(cell, key, sets)
 
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.select("cell", "key", "set").repartition(parts, "cell").sortWithinPartitions("cell")
+    return dealt.mapInArrow(verify, "a long, b long")
 
-def view_cells(nodes: DataFrame, blocks: int) -> DataFrame:
-    """(cell, fp, key) for each view and choice of blocks."""
-    masks = cell_masks(blocks)
-
-    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            key = np.repeat(batch.column(0).to_numpy(), len(masks))
-            for view in range(VIEWS):
-                fp = batch.column(view + 1).to_numpy().view(np.uint64)
-                place = (unary_counts(fp)[:, None] & masks[None, :]).ravel()
-                salt = np.tile(np.arange(len(masks), dtype=np.uint64) + np.uint64(view * len(masks)), len(fp))
-                cell = mixed(place ^ mixed(salt, 1), 0).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(np.repeat(fp, len(masks)).view(np.int64)), pa.array(key)], names=["cell", "fp", "key"])
 
-    return nodes.select("key", *[f"v{i}" for i in range(VIEWS)]).mapInArrow(cells, "cell long, fp long, key long")
+def meeting(crowds: DataFrame) -> DataFrame:
+    """(cell, key) of the texts (key, n, crowd): a crowd too large for a task is cut into chunks, each two of which meet in a cell."""
+    size = crowds.groupBy("crowd").agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("total"))
+    fits = (F.col("texts") <= CELL) & (F.col("total") <= 2 * CROWD)
+    chunks = F.when(fits, 1).otherwise(F.ceil(F.greatest(F.col("texts") / F.lit(CELL // 2), F.col("total") / F.lit(CROWD)))).cast("int")
+    own = F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int")
+    meet = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda c: F.struct(F.least(c, own).alias("x"), F.greatest(c, own).alias("y")))
+    split = crowds.join(size.select("crowd", chunks.alias("chunks")), "crowd").select("key", "crowd", F.explode(meet).alias("m"))
+    return split.select(F.xxhash64("crowd", "m.x", "m.y").alias("cell"), "key")
 
 
 def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILAR) -> DataFrame:
@@ -365,27 +475,27 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     Texts of equal words in equal order, whatever their case and blanks, share a 64-bit
     ``key``.  ``least`` is the smallest id with that text, ``text_hash`` the XXH64 of a text
     that has it.  Two texts are near copies if their sets of five-word shingles share
-    ``similarity`` or more of their union; groups are what near copies connect.  The
-    fingerprints only propose links, each cell the closest that connect it ``FORESTS`` times over.
+    ``similarity`` or more of their union; groups are what near copies connect.  No
+    link is missed, at any number of texts.
     """
-    own = df.select(
-        F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.col(f"`{text_col}`")).alias("text_hash"), views_of(F.col(f"`{text_col}`")).alias("v")
-    ).select("id", "text_hash", "v.*")
+    text = F.col(f"`{text_col}`")
+    own = df.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("text_hash"), key_of(text).alias("v")).select("id", "text_hash", "v.*")
     first = F.coalesce(F.min_by("text_hash", "id"), F.min("text_hash")).alias("text_hash")
-    nodes = cut_lineage(own.groupBy("key").agg(F.min("id").alias("least"), first, *[F.min(f"v{i}").alias(f"v{i}") for i in range(VIEWS)]))
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cells = cut_large(view_cells(nodes, blocks_for(nodes.count())), "key")
-    links = cells.repartition(parts, "cell").sortWithinPartitions("cell").mapInArrow(closest_links, "a long, b long")
-    links = cut_lineage(links.distinct())
-    known = nodes.select("key", "text_hash")
-    wanted = links.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(known, "key")
-    texts = df.select(F.col(f"`{text_col}`").alias("text")).withColumn("text_hash", F.xxhash64("text"))
-    hashes = cut_lineage(wanted.select("text_hash"))
+    nodes = cut_lineage(own.groupBy("key").agg(F.min("id").alias("least"), first, F.max("n").alias("n")))
+    slices_for = lambda rows: max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(rows.agg(F.sum("n")).first()[0] or 0) // SLICE))
+    often = shared_postings(df.select(text.alias("text")), slices_for(nodes), True).groupBy("key").agg(F.sum("c").alias("c"))
+    wanted = nodes.join(often, "key").where(F.col("c") >= least_shared(F.col("n"), similarity)).select("key", "text_hash", "n")
+    wanted = cut_lineage(wanted)
+    texts = df.select(text.alias("text")).withColumn("text_hash", F.xxhash64("text"))
+    hashes = wanted.select("text_hash")
     texts = texts.join(F.broadcast(hashes) if hashes.count() <= SMALL else hashes, "text_hash", "left_semi").groupBy("text_hash").agg(F.first("text").alias("text"))
-    sets = cut_lineage(texts.join(wanted, "text_hash").select("key", shingles_of(F.col("text")).alias("set")))
-    both = links.join(sets.select(F.col("key").alias("a"), F.col("set").alias("x")), "a")
-    both = both.join(sets.select(F.col("key").alias("b"), F.col("set").alias("y")), "b")
-    shared = F.size(F.array_intersect("x", "y"))
-    alike = both.where(shared / (F.size("x") + F.size("y") - shared) >= F.lit(similarity)).select("a", "b")
+    sets = cut_lineage(texts.join(wanted, "text_hash").select("key", "n", shingles_of(F.col("text")).alias("set")))
+    cells = shared_postings(sets.select("key", "set"), slices_for(wanted), False).join(wanted.select("key", "n"), "key")
+    rarest, mine = W.partitionBy("key").orderBy("df", "cell"), W.partitionBy("key")
+    cells = cells.withColumn("nth", F.row_number().over(rarest)).withColumn("c", F.count(F.lit(1)).over(mine))
+    cells = cut_lineage(cells.where(F.col("nth") <= F.col("c") - least_shared(F.col("n"), similarity) + 1).select("cell", "n", "key"))
+    crowds = connected_components(chains(cells, similarity), "a", "b").select(F.col("id").alias("key"), F.col("cluster_id").alias("crowd"))
+    crowds = cut_lineage(crowds.join(wanted.select("key", "n"), "key"))
+    alike = alike_links(meeting(crowds).join(sets.select("key", "set"), "key"), similarity)
     grouped = connected_components(alike, "a", "b").select(F.col("id").alias("key"), F.col("cluster_id").alias("root"))
     return nodes.join(grouped, "key", "left").select("key", "least", "text_hash", F.coalesce("root", "key").alias("root"))

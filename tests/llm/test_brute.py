@@ -235,6 +235,25 @@ def test_crowds_stay_connected(llm, monkeypatch, cell):
     assert sorted(sizes) == [1, 1, 120] and set(found.least.dropna()) == {*range(120), 500}
 
 
+def near_roots(llm, rows):
+    found = simhash.near_copies(llm.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).toPandas()
+    return dict(zip(found.least, found.groupby("root").least.transform("min"), strict=True))
+
+
+def test_near_copies_of_passages(llm):
+    """One passage added, taken away or replaced, at just above and just below the limit."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for base in range(150):
+        words = [f"b{base}w{x}" for x in rng.integers(0, 70, 100)]
+        other = [f"c{base}w{x}" for x in range(30)]
+        n = int(rng.integers(6, 26))
+        at = int(rng.integers(0, 100 - n))
+        rows += [" ".join(words), " ".join([words + other[:n], words[:at] + words[at + n :], words[:at] + other[: n // 2] + words[at + n // 2 :]][base % 3])]
+    want = plain_groups({i: plain_shingles(t) for i, t in enumerate(rows)}, 0.8)
+    assert near_roots(llm, rows) == want and 200 < len(set(want.values())) < 270
+
+
 def test_pipeline(llm):
     """The stages in turn against what plain code keeps."""
     import corpus_pipeline as p
