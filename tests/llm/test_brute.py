@@ -254,6 +254,18 @@ def test_near_copies_of_passages(llm):
     assert near_roots(llm, rows) == want and 200 < len(set(want.values())) < 270
 
 
+def test_near_copies_at_any_size(llm, monkeypatch):
+    """The number of texts must not change what is linked: with the grid of very large tables too."""
+    monkeypatch.setattr(simhash, "blocks_for", lambda nodes: 9)
+    rng = np.random.default_rng(12)
+    rows = []
+    for base in range(100):
+        words = [f"b{base}w{x}" for x in rng.integers(0, 70, 100)]
+        rows += [" ".join(words), " ".join([*words, *(f"c{base}w{x}" for x in range(14))])]
+    want = plain_groups({i: plain_shingles(t) for i, t in enumerate(rows)}, 0.8)
+    assert near_roots(llm, rows) == want and len(set(want.values())) == 100
+
+
 def test_pipeline(llm):
     """The stages in turn against what plain code keeps."""
     import corpus_pipeline as p
