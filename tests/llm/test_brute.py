@@ -266,6 +266,24 @@ def test_near_copies_at_any_size(llm, monkeypatch):
     assert near_roots(llm, rows) == want and len(set(want.values())) == 100
 
 
+@pytest.mark.parametrize("cell", [16, 4096])
+def test_near_copies_in_a_crowd(llm, monkeypatch, cell):
+    """Many texts of the same words in another order, most pairs at 0.6 to 0.75; some have a copy with a footer."""
+    monkeypatch.setattr(simhash, "CELL", cell)
+    rng = np.random.default_rng(13)
+    words, rows = [f"w{x}" for x in range(100)], {}
+    while len(rows) < 150:
+        x, y = sorted(rng.choice(np.arange(6, 95), 2, replace=False))
+        rows[" ".join([*words[x:y], *words[:x], *words[y:]])] = None
+    rows = list(rows)
+    rows += [f"{rows[i]} {' '.join(f'f{i}w{x}' for x in range(12))}" for i in range(40)]
+    sets = {i: plain_shingles(t) for i, t in enumerate(rows)}
+    want = plain_groups(sets, 0.8)
+    alike = np.array([len(sets[i] & sets[j]) / len(sets[i] | sets[j]) for i in range(150) for j in range(i)])
+    assert np.median(alike) > 0.6 and (alike < 0.8).mean() > 0.8
+    assert near_roots(llm, rows) == want and len(set(want.values())) > 10
+
+
 def test_pipeline(llm):
     """The stages in turn against what plain code keeps."""
     import corpus_pipeline as p
