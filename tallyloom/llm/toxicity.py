@@ -31,6 +31,8 @@ WORDS = re.compile(r"[^\W\d_]+")
 WINDOW, GAIN, SURE = 16, 4, 25.0
 #: Lengths of the word beginnings that count as terms beside whole words.
 STEMS = (4, 5, 6)
+#: Least hashes that must all agree for two texts to count once while learning.
+KINDS = 4
 SPARK_WORD = r"[^\p{L}\p{M}]+"
 
 
@@ -124,6 +126,14 @@ def score_of(model: ToxicityModel, found: Column) -> Column:
     return 1 / (1 + F.exp(-total))
 
 
+def kind_of(text: Column) -> Column:
+    """``KINDS`` least hashes of the text's stretches of three words in one: copies share it, near copies mostly, other texts do not."""
+    words = F.filter(F.split(F.lower(text), SPARK_WORD), lambda w: w != "")
+    ends = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(words) - 2))
+    hashes = F.transform(ends, lambda i: F.xxhash64(F.slice(words, i, F.lit(3))))
+    return F.xxhash64(*[F.array_min(F.transform(hashes, lambda h, k=k: F.xxhash64(h, F.lit(k)))) for k in range(KINDS)])
+
+
 def toxic_terms(seen: DataFrame, plain: Column, marked: Column, n_plain: int, n_marked: int, most: int) -> list[tuple[str, int]]:
     """Terms found surely and far more often in toxic texts, with their counts there."""
     seen = seen.select("word", plain.alias("plain"), marked.alias("marked"))
@@ -162,9 +172,7 @@ def fit_toxicity(
         return F.transform(F.filter("whole", lambda w: F.length(w) > n), lambda w: F.concat(F.lit(" "), F.substring(w, 1, n)))
 
     words = F.array_distinct(F.concat(F.transform("whole", lambda w: F.concat(F.lit(" "), w, F.lit(" "))), *[stems(n) for n in STEMS]))
-    # Near copies share their least word hash, so a text and its copies count once.
-    kind = F.array_min(F.transform("whole", lambda w: F.xxhash64(w)))
-    cut = sample.withColumn("whole", whole).where(F.size("whole") > 0).select("toxic", "half", kind.alias("kind"), words.alias("words"))
+    cut = sample.withColumn("whole", whole).where(F.size("whole") > 0).select("toxic", "half", kind_of(F.col("text")).alias("kind"), words.alias("words"))
     counts = {tuple(r[:2]): r[2] for r in cut.groupBy("toxic", "half").agg(F.countDistinct("kind")).collect()}
     if any(counts.get((t, h), 0) == 0 for t in (0, 1) for h in (0, 1)):
         return ToxicityModel(b"", b"", None)
