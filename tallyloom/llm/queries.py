@@ -123,7 +123,7 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     held_out = fold(F.col("doc_id"), 4) == 2
     model = toxicity.fit_toxicity(docs.where(~held_out), table(spark, folder, "labels"))
     scored = toxicity.with_toxicity(docs, model)
-    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= toxicity.LIMIT).cast("int").alias("predicted"))
 
 
 @query

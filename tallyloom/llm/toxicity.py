@@ -33,6 +33,8 @@ WINDOW, GAIN, SURE = 16, 4, 25.0
 STEMS = (4, 5, 6)
 #: Least hashes that must all agree for two texts to count once while learning.
 KINDS = 4
+#: Score from which a text is toxic.
+LIMIT = 0.3
 SPARK_WORD = r"[^\p{L}\p{M}]+"
 
 
@@ -103,14 +105,14 @@ def evidence_of(model: ToxicityModel, text: Column) -> Column:
     return F.pandas_udf(measure, ", ".join(f"{c} double" for c in EVIDENCE))(text)
 
 
-def logistic(x: np.ndarray, y: np.ndarray, steps: int = 60, ridge: float = 0.05) -> np.ndarray:
-    """Weights (the constant last) by Newton steps; both kinds of rows keep their shares."""
+def logistic(x: np.ndarray, y: np.ndarray, steps: int = 60, ridge: float = 0.05, stands_for: np.ndarray | float = 1.0) -> np.ndarray:
+    """Weights (the constant last) by Newton steps; ``stands_for`` is the number of rows that each was chosen from, so both kinds keep their shares."""
     a = np.column_stack((x, np.ones(len(x))))
     w = np.zeros(a.shape[1])
     keep = np.diag([ridge] * x.shape[1] + [1e-6])
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + keep, a.T @ (p - y) + keep @ w)
+        step = np.linalg.solve((a * (stands_for * p * (1 - p))[:, None]).T @ a + keep, a.T @ (stands_for * (p - y)) + keep @ w)
         w -= np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-8:
             break
@@ -156,7 +158,7 @@ def fit_toxicity(
     beginnings are aggregated; those found surely and far more often in toxic texts
     (at most ``terms``) make the toxic samples, so a toxic text's ordinary part does
     not enter.  The curve is fitted to the evidence of each half under the terms of
-    the other.  About 5 * fit_texts rows of four numbers and 7 * ``terms`` words
+    the other, each row weighted by the labelled rows it was chosen from.  About 5 * fit_texts rows of four numbers and 7 * ``terms`` words
     reach the driver.
     """
     known = labels.where("doc_id is not null and toxic in (0, 1)").groupBy(F.col("doc_id").alias("__id")).agg(F.max("toxic").alias("toxic"))
@@ -196,7 +198,8 @@ def fit_toxicity(
             parts.append(found.toPandas().sort_values(["toxic", *EVIDENCE]))
     if parts and model.toxic:
         rows = pd.concat(parts)
-        model.weights = logistic(rows[EVIDENCE].to_numpy(float), rows["toxic"].to_numpy(float))
+        stands_for = rows["toxic"].map({t: max(1.0, n / (fit_texts * (4 - 3 * t))) for t, n in sizes.items()})
+        model.weights = logistic(rows[EVIDENCE].to_numpy(float), rows["toxic"].to_numpy(float), stands_for=stands_for.to_numpy(float))
     return model
 
 

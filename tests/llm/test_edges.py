@@ -65,6 +65,27 @@ def test_toxicity(odd_docs, no_docs, labels, llm):
     assert toxicity.with_toxicity(no_docs, model).count() == 0
 
 
+def test_curve_keeps_the_share_of_toxic_rows(llm, monkeypatch):
+    """A bounded sample must not raise the scores, and the pipeline's stage drops by the operator's limit."""
+    rng = np.random.default_rng(8)
+    x, y = np.r_[rng.normal(0, 1, 20_000), rng.normal(2, 1, 200)][:, None], np.r_[np.zeros(20_000), np.ones(200)]
+    some = np.r_[0:1000, 20_000:20_200]
+    whole, part = toxicity.logistic(x, y), toxicity.logistic(x[some], y[some], stands_for=np.where(y[some] == 1, 1, 20))
+    assert np.abs(whole - part).max() < 0.5
+    seen, fit = [], toxicity.logistic
+    monkeypatch.setattr(toxicity, "logistic", lambda *a, **b: seen.append(b["stands_for"]) or fit(*a, **b))
+    own = lambda: " ".join("".join(rng.choice(list("ghijkl"), 7)) for _ in range(20))
+    rows = [(i, own() + (" vile fool" if i >= 800 else ""), int(i >= 800)) for i in range(1000)]
+    docs = llm.createDataFrame(rows, "doc_id long, text string, toxic int")
+    toxicity.fit_toxicity(docs.drop("toxic"), docs.drop("text"), fit_texts=100)
+    assert set(seen[0]) == {2.0}
+    scored = docs.select("doc_id", "text", (F.col("doc_id") / 1000).alias("__p"))
+    monkeypatch.setattr(toxicity, "fit_toxicity", lambda *a: None)
+    monkeypatch.setattr(toxicity, "with_toxicity", lambda df, model, name: df.withColumn(name, F.col("__p")))
+    monkeypatch.setattr(corpus_pipeline, "table", lambda *a: None)
+    assert corpus_pipeline.drop_toxic(llm, scored, "").count() == 300
+
+
 def test_different_texts_count_one_by_one(llm):
     """Unrelated texts of a small vocabulary must not be folded while toxic words are counted."""
     rng = np.random.default_rng(7)
