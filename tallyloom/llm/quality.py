@@ -221,10 +221,10 @@ def fit_quality(
     return model
 
 
-def judge(counted: DataFrame, model: QualityModel) -> DataFrame:
-    """Adds ``oddness`` (by family), ``base_failed`` and ``kept`` (false if the base rules fail or a forest finds the row odd)."""
-    out = counted.withColumn("oddness", oddness_of(model)).withColumn("base_failed", base_failed())
-    fine = ~F.col("base_failed")
+def judge(counted: DataFrame, model: QualityModel, rules: str = "rules", prefix: str = "") -> DataFrame:
+    """Adds ``oddness`` (by family), ``base_failed`` and ``kept`` (false if the base rules fail or a forest finds the row odd), named with the prefix."""
+    out = counted.withColumn(f"{prefix}oddness", oddness_of(model, rules)).withColumn(f"{prefix}base_failed", base_failed(rules))
+    fine = ~F.col(f"{prefix}base_failed")
     for k, limit in enumerate(model.limits):
-        fine = fine & (F.get("oddness", F.lit(k)) < F.lit(limit))
-    return out.withColumn("kept", fine)
+        fine = fine & (F.get(f"{prefix}oddness", F.lit(k)) < F.lit(limit))
+    return out.withColumn(f"{prefix}kept", fine)

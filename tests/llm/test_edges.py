@@ -316,6 +316,17 @@ def test_warc_of_others(llm, tmp_path):
     assert back.where("record_type = 'resource'").count() == 3
 
 
+def test_first_stage_keeps_extra_columns(llm):
+    """Extra columns may have the names that the stage's own counts have elsewhere."""
+    docs = llm.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    odd = docs
+    for name in ("rules", "oddness", "base_failed", "kept"):
+        odd = odd.withColumn(name, F.lit("own"))
+    out = corpus_pipeline.keep_good(llm, odd, "/root/testdata/sf0.001")
+    assert out.columns == odd.columns and {tuple(r[-4:]) for r in out.collect()} == {("own",) * 4}
+    assert out.count() == corpus_pipeline.keep_good(llm, docs, "/root/testdata/sf0.001").count() > 0
+
+
 def test_pipeline_edges(llm, tmp_path, odd_docs, no_docs):
     empty = str(tmp_path / "sf")
     llm.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{empty}/labels.parquet")
