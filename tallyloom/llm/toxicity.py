@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -130,10 +131,18 @@ def score_of(model: ToxicityModel, found: Column) -> Column:
 
 def kind_of(text: Column) -> Column:
     """``KINDS`` least hashes of the text's stretches of three words in one: copies share it, near copies mostly, other texts do not."""
-    words = F.filter(F.split(F.lower(text), SPARK_WORD), lambda w: w != "")
-    ends = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(words) - 2))
-    hashes = F.transform(ends, lambda i: F.xxhash64(F.slice(words, i, F.lit(3))))
-    return F.xxhash64(*[F.array_min(F.transform(hashes, lambda h, k=k: F.xxhash64(h, F.lit(k)))) for k in range(KINDS)])
+
+    def one(text: str) -> int:
+        words = WORDS.findall(text.lower())
+        parts = {" ".join(words[i : i + 3]).encode() for i in range(max(1, len(words) - 2))}
+        least = [min(xxhash.xxh64_intdigest(p, k) for p in parts) for k in range(KINDS)]
+        return xxhash.xxh64_intdigest(repr(least).encode()) - 2**63
+
+    @F.pandas_udf("long")
+    def compute(texts: pd.Series) -> pd.Series:
+        return pd.Series([one(t) for t in texts], dtype="int64")
+
+    return compute(text)
 
 
 def toxic_terms(seen: DataFrame, plain: Column, marked: Column, n_plain: int, n_marked: int, most: int) -> list[tuple[str, int]]:
