@@ -86,21 +86,6 @@ def test_curve_keeps_the_share_of_toxic_rows(llm, monkeypatch):
     assert corpus_pipeline.drop_toxic(llm, scored, "").count() == 300
 
 
-def test_different_texts_count_one_by_one(llm):
-    """Unrelated texts of a small vocabulary must not be folded while toxic words are counted."""
-    rng = np.random.default_rng(7)
-    common = [f"word{a}{b}" for a in "abcdef" for b in "vwxyz"]
-    rows = []
-    for i in range(180):
-        own = ["".join(rng.choice(list("ghijkl"), 9)) for _ in range(3)]
-        rows.append((i, " ".join(rng.permutation([*common, *own, *(["vile", "fool"] if i >= 150 else [])])), int(i >= 150)))
-    docs = llm.createDataFrame(rows, "doc_id long, text string, toxic int")
-    model = toxicity.fit_toxicity(docs.drop("toxic"), docs.drop("text"))
-    assert model.weights is not None and b"vile" in model.toxic
-    twice = llm.createDataFrame([("A b  c d e",), ("a B c, d e",), ("e d c b a",), ("a",), ("",)], "text string")
-    assert twice.select(toxicity.kind_of(F.col("text"))).distinct().count() == 4
-
-
 def test_simhash(odd_docs, no_docs):
     got = simhash.simhash_components(odd_docs).collect()
     by = {}
