@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import language, packing, pieces, quality, secrets, sharding, simhash, topk, toxicity, warc
+from tallyloom.llm import byte_bpe, language, packing, pieces, quality, secrets, sharding, simhash, topk, toxicity, warc
 from tallyloom.llm.common import fold, table, tokenizer_file
 from tallyloom.session import cut_lineage
 
@@ -133,3 +133,14 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality.judge(counted, model)
     shown = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return judged.select("doc_id", *[F.col(f"rules.{c}").alias(c) for c in shown], "base_failed", "kept")
+
+
+@query
+def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    coded = byte_bpe.with_byte_bpe(docs, tokenizer_file("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return coded.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
