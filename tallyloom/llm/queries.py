@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import byte_bpe, language, packing, pieces, quality, secrets, sharding, simhash, topk, toxicity, warc
+from tallyloom.llm import byte_bpe, language, packing, pieces, quality, secrets, sharding, simhash, topk, toxicity, variants, warc
 from tallyloom.llm.common import fold, table, tokenizer_file
 from tallyloom.session import cut_lineage
 
@@ -135,6 +135,11 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", *[F.col(f"rules.{c}").alias(c) for c in shown], "base_failed", "kept")
 
 
+@query
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 @query
 def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
