@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import byte_bpe, language, packing, pieces, quality, secrets, sharding, simhash, topk, toxicity, variants, warc
+from tallyloom.llm import byte_bpe, language, packing, phrases, pieces, quality, secrets, sharding, simhash, topk, toxicity, variants, warc
 from tallyloom.llm.common import fold, table, tokenizer_file
 from tallyloom.session import cut_lineage
 
@@ -140,6 +140,34 @@ def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return variants.spelling_variants(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+@query
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents").select("doc_id", "text", "lang"))
+
+
+ORACLES["op12_collocations"] = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+g AS (SELECT lang, unnest([{'m': m, 'phrase': array_to_string(w[i:i + m - 1], ' ')} FOR i IN range(1, len(w) + 1)]) AS g
+      FROM w, (SELECT unnest([1, 2, 3, 4]) AS m) WHERE len(w) >= m),
+c AS (SELECT lang, g.m AS m, g.phrase AS phrase, count(*) AS a FROM g WHERE len(string_split(g.phrase, ' ')) = g.m GROUP BY 1, 2, 3),
+t AS (SELECT lang, sum(a)::BIGINT AS n FROM c WHERE m = 1 GROUP BY 1),
+f AS (SELECT lang, m, phrase, a, string_split(phrase, ' ') AS w FROM c WHERE a >= 30),
+x AS (SELECT lang, m, phrase, a, w, unnest(range(1, m)) AS k FROM f WHERE m > 1),
+s AS (SELECT x.lang, x.phrase, x.a, x.k, l.a AS l, r.a AS r, (2000000::HUGEINT * x.a) // (l.a::HUGEINT + r.a) AS score
+      FROM x JOIN f l ON l.lang = x.lang AND l.phrase = array_to_string(x.w[1:x.k], ' ')
+             JOIN f r ON r.lang = x.lang AND r.phrase = array_to_string(x.w[x.k + 1:], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+o AS (SELECT lang, a, array_to_string(w[i:i + m2 - 1], ' ') AS phrase
+      FROM (SELECT lang, m, a, w, m2, unnest(range(1, m - m2 + 2)) AS i FROM f, (SELECT unnest([2, 3]) AS m2) WHERE m > m2)),
+z AS (SELECT lang, phrase, max(a) AS a FROM o GROUP BY 1, 2),
+k AS (SELECT b.* FROM b LEFT JOIN z ON z.lang = b.lang AND z.phrase = b.phrase WHERE z.a IS NULL OR 100::HUGEINT * z.a < 80::HUGEINT * b.a)
+SELECT k.lang, row_number() OVER (PARTITION BY k.lang ORDER BY k.score DESC, k.a DESC, k.phrase) AS rank, k.phrase, k.a, k.l, k.r, t.n, k.score::BIGINT AS score
+FROM k JOIN t ON t.lang = k.lang QUALIFY rank <= 2000
+"""
+
+
 @query
 def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
