@@ -8,7 +8,7 @@ are counted side by side; it is counted for one full cycle of shards from there.
 What has reached the threshold goes into a Bloom filter of bounded size, one
 state per scan.  A phrase is active if both its parts are in the latest state, and has had its
 cycle if both are in the state of a cycle ago: a task needs those two states only, and
-no list of phrases.  Scans end when a cycle has brought nothing new.  A false
+no list of phrases.  The texts are cut into words once; scans read their hashes.  Scans end when a cycle has brought nothing new.  A false
 positive of the filter makes a phrase be counted in vain.  Scans count 64-bit hashes of
 phrases; sums of hashes can only be too large, so the last scan counts the phrases of the
 filter as words, exactly, and drops those below the threshold.  (A phrase is lost only
@@ -36,7 +36,7 @@ from tallyloom.session import cut_lineage, shared_folder
 #: Most words of a phrase, least occurrences, phrases returned, shards of a cycle, share in percent at which a longer phrase takes a shorter one's place.
 WORDS, OFTEN, SHOWN, SHARDS, WITHIN = 4, 30, 2000, 3, 80
 #: Bytes of text cut into words at once, and words whose numbers a task remembers.
-AT_ONCE, KNOWN = 4 << 20, 1_000_000
+AT_ONCE, KNOWN = 4 << 20, 600_000
 WALL = b"\xff"
 MARKS = b".,;:!?\n\x0b\x0c\r"
 LOWERED = bytes(WALL[0] if b in MARKS else b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -63,18 +63,17 @@ def stretches(texts: list[str]) -> Iterator[tuple[list[bytes], int]]:
 
 
 class Numbered(dict):
-    """Words to numbers (0 is the wall) and their hashes."""
+    """Words to numbers (0 is the wall) and their hashes (0 for the wall alone)."""
 
-    def __init__(self, lang: str):
+    def __init__(self):
         super().__init__({WALL: 0})
-        self.salts = np.array([xxhash.xxh64_intdigest(lang.encode(), length) for length in range(WORDS + 1)], np.uint64)
         self.hashes = np.zeros(1 << 12, np.uint64)
 
     def __missing__(self, word: bytes) -> int:
         n = len(self)
         if n == len(self.hashes):
             self.hashes = np.append(self.hashes, np.zeros(n, np.uint64))
-        self.hashes[n] = xxhash.xxh64_intdigest(word, 42)
+        self.hashes[n] = xxhash.xxh64_intdigest(word, 42) or 1
         self[word] = n
         return n
 
@@ -82,14 +81,18 @@ class Numbered(dict):
         return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
 
-def levels(ids: np.ndarray, known: Numbered, new: np.ndarray, old: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For each length: starts of its active phrases, their hashes, which of them are in the new state, which have had their cycle."""
-    own = known.hashes[ids]
+def salts_of(lang: str) -> np.ndarray:
+    """What sets phrases of each length and language apart."""
+    return np.array([xxhash.xxh64_intdigest(lang.encode(), length) for length in range(WORDS + 1)], np.uint64)
+
+
+def levels(own: np.ndarray, salts: np.ndarray, new: np.ndarray, old: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For hashes of words (0: wall) and each length: starts of its active phrases, their hashes, which are in the new state, which have had their cycle."""
     running = own
-    places = np.flatnonzero(ids)
+    places = np.flatnonzero(own)
     done = np.zeros(len(places), bool)
     for length in range(1, WORDS + 1):
-        h = blooms.mixed(running[places] + known.salts[length])
+        h = blooms.mixed(running[places] + salts[length])
         inside = blooms.has(new, h)
         yield length, places, h, inside, done
         part, past = np.zeros(len(running), bool), np.zeros(len(running), bool)
@@ -102,36 +105,50 @@ def levels(ids: np.ndarray, known: Numbered, new: np.ndarray, old: np.ndarray) -
             return
 
 
-def by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Numbered, list[bytes], int]]:
-    """Stretches of words of each language."""
-    known: dict[str, Numbered] = {}
+def by_group(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, Numbered, list[bytes], int]]:
+    """Stretches of words of each group; the last column is the text, the others name its group."""
+    known = Numbered()
     for batch in batches:
-        texts: dict[str, list[str]] = {}
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            texts.setdefault(lang, []).append(text)
-        for lang, own in texts.items():
+        *keys, texts = (c.to_pylist() for c in batch.columns)
+        groups: dict[tuple, list[str]] = {}
+        for key, text in zip(zip(*keys, strict=True), texts, strict=True):
+            groups.setdefault(key, []).append(text)
+        for key, own in groups.items():
             for words, carried in stretches(own):
-                if sum(map(len, known.values())) > KNOWN:
-                    known.clear()
-                yield lang, known.setdefault(lang, Numbered(lang)), words, carried
+                if len(known) > KNOWN:
+                    known = Numbered()
+                yield key, known, words, carried
+
+
+def dealt(texts: DataFrame) -> DataFrame:
+    """(lang, shard, carried, words): texts (lang, shard, text) as stretches of 64-bit hashes of words, the first ``carried`` of which belong to the stretch before."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (lang, shard), known, words, carried in by_group(batches):
+            ids = known.numbers(words)  # before the hashes are looked at: new words may move them
+            row = {"lang": [lang], "shard": [shard], "carried": [carried], "words": [known.hashes[ids].tobytes()]}
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row.values(), (pa.string(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=list(row))
+
+    return texts.select("lang", "shard", "text").mapInArrow(cut, "lang string, shard int, carried int, words binary")
 
 
-def scanned(texts: DataFrame, new: np.ndarray, old: np.ndarray, with_words: bool) -> DataFrame:
-    """(h, n) of the active phrases of the texts (lang, text) that have not had their cycle."""
-    state = texts.sparkSession.sparkContext.broadcast((new, old))
+def scanned(stored: DataFrame, new: np.ndarray, old: np.ndarray, with_words: bool) -> DataFrame:
+    """(h, n) of the active phrases of stretches (lang, carried, words) that have not had their cycle."""
+    state = stored.sparkSession.sparkContext.broadcast((new, old))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new, old = state.value
-        for _, known, words, carried in by_language(batches):
-            found = []
-            for length, places, h, _, done in levels(known.numbers(words), known, new, old):
-                if length > 1 or with_words:
-                    found.append(h[~done & (places + length > carried)])
-            if found:
-                h, n = np.unique(np.concatenate(found), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], names=["h", "n"])
+        for batch in batches:
+            for lang, carried, words in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                found = []
+                for length, places, h, _, done in levels(np.frombuffer(words, np.uint64), salts_of(lang), new, old):
+                    if length > 1 or with_words:
+                        found.append(h[~done & (places + length > carried)])
+                if found:
+                    h, n = np.unique(np.concatenate(found), return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], names=["h", "n"])
 
-    return texts.mapInArrow(count, "h long, n long")
+    return stored.select("lang", "carried", "words").mapInArrow(count, "h long, n long")
 
 
 def spelled(texts: DataFrame, state: np.ndarray) -> DataFrame:
@@ -140,10 +157,10 @@ def spelled(texts: DataFrame, state: np.ndarray) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = shared.value
-        for lang, known, words, carried in by_language(batches):
+        for (lang,), known, words, carried in by_group(batches):
             ids = known.numbers(words)
             phrases, lengths, counts = [""], [0], [int((ids[carried:] > 0).sum())]
-            for length, places, _, inside, _ in levels(ids, known, state, state):
+            for length, places, _, inside, _ in levels(known.hashes[ids], salts_of(lang), state, state):
                 own = places[inside & (places + length > carried)]
                 if not len(own):
                     continue
@@ -176,10 +193,11 @@ def frequent_phrases(df: DataFrame, lang: Column, text: Column, deal: Column, of
     spark = df.sparkSession
     folder = shared_folder(spark, "phrases")
     own = df.select(F.coalesce(lang, F.lit("und")).alias("lang"), text.alias("text"), F.pmod(deal, F.lit(shards)).cast("int").alias("shard"))
-    own.where("text is not null").write.partitionBy("shard").parquet(f"{folder}/texts")
-    texts = spark.read.schema("lang string, text string, shard int").parquet(f"{folder}/texts")
-    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = blooms.blocks_for(size // 600)
+    own = own.where("text is not null")
+    dealt(own).write.option("compression", "zstd").partitionBy("shard").parquet(f"{folder}/words")
+    stored = spark.read.schema("lang string, carried int, words binary, shard int").parquet(f"{folder}/words")
+    words = (stored.agg(F.sum(F.octet_length("words"))).first()[0] or 0) // 8
+    blocks = blooms.blocks_for(words // 100)
     states = [np.zeros(blocks, np.uint64)]
     live = None
     nothing = np.zeros(0, np.uint64)
@@ -187,7 +205,7 @@ def frequent_phrases(df: DataFrame, lang: Column, text: Column, deal: Column, of
         old = states[scan - shards] if scan >= shards else nothing
         if scan >= shards and np.array_equal(states[scan], old):
             break
-        rows = scanned(texts.where(F.col("shard") == scan % shards).select("lang", "text"), states[scan], old, scan < shards)
+        rows = scanned(stored.where(F.col("shard") == scan % shards), states[scan], old, scan < shards)
         rows = rows.withColumn("since", F.lit(scan))
         rows = rows if live is None else rows.unionByName(live)
         open_ = F.col("since") > scan - shards + 1
@@ -196,7 +214,7 @@ def frequent_phrases(df: DataFrame, lang: Column, text: Column, deal: Column, of
         merged = spark.read.schema("h long, n long, since int").parquet(f"{folder}/scan{scan}")
         states.append(states[scan] | blooms.collected(marks(merged.where(F.col("n") >= often), blocks), {0: blocks})[0])
         live = merged.where(open_)
-    counts = spelled(texts.select("lang", "text"), states[-1])
+    counts = spelled(own.select("lang", "text"), states[-1])
     return cut_lineage(counts.where((F.col("n") >= often) | (F.col("words") == 0)))
 
 
