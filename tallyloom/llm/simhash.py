@@ -40,6 +40,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -54,7 +55,7 @@ LONG_SHINGLE, SIMILAR = 5, 0.8
 #: Most hashes (8 bytes each) that are sent to every task; more meet the texts in a shuffle.
 SMALL = 1_000_000
 #: Shingles that a task packs at once, shingles a slice of the count, and shingles of a chunk of a crowd.
-PACKED, SLICE, CROWD = 2_000_000, 4_000_000, 1_000_000
+PACKED, SLICE, CROWD, NO_TEXT = 500_000, 1_000_000, 1_000_000, 65535
 LOW = 0x5555555555555555
 
 
@@ -286,27 +287,46 @@ def least_shared(n: Column, similarity: float) -> Column:
     return F.ceil(n * F.lit(similarity) - F.lit(1e-9))
 
 
-def postings(texts: DataFrame, slices: int) -> DataFrame:
-    """The shingles of texts (rows of ``text``, or of ``key`` and ``set``) dealt into slices by hash, many packed in a row: six bytes each and the place of the text."""
+def postings(texts: DataFrame, slices: int, counted: bool) -> DataFrame:
+    """The shingles of texts (rows of ``text``, or of ``key`` and ``set``) dealt into slices by hash, many packed in a row: six bytes each and the place of the text.
 
-    def flush(held: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
-        hashes = np.concatenate([h for _, h in held])
-        own = np.repeat(np.arange(len(held), dtype=np.uint16), [len(h) for _, h in held])
-        keys = np.array([k for k, _ in held], np.uint64)
+    If ``counted``, a shingle that several texts of a pack share is counted for them at once (the row's ``own`` has the
+    counts by text, in slice -1), and one posting without a text (place 65535) tells its slice that it is shared.  So a slice gets
+    a shingle at most once per pack, however many texts have it.
+    """
+
+    def flush(held: list[tuple[int, np.ndarray]], pack: int) -> pa.RecordBatch:
+        keys, number = np.unique(np.array([k for k, _ in held], np.uint64), return_index=True)
+        sets = [held[i][1] for i in number]
+        hashes = np.concatenate(sets)
+        own = np.repeat(np.arange(len(sets), dtype=np.uint16), [len(h) for h in sets])
+        rows = []
+        if counted:
+            order = np.argsort(hashes, kind="stable")
+            hashes, own = hashes[order], own[order]
+            new = np.r_[True, hashes[1:] != hashes[:-1]]
+            several = ~new
+            several[:-1] |= ~new[1:]
+            tally = np.bincount(own[several], minlength=len(sets))
+            rows.append((-1, b"", b"", keys[tally > 0].tobytes(), tally[tally > 0].astype(np.int64).tobytes(), pack))
+            left = ~several | new
+            own = np.where(several, np.uint16(NO_TEXT), own)[left]
+            hashes = hashes[left]
         part = (hashes % np.uint64(slices)).astype(np.int32)
         order = np.argsort(part, kind="stable")
-        left = (hashes // np.uint64(slices))[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+        short = (hashes // np.uint64(slices))[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
         part, own = part[order], own[order]
         ends = np.r_[np.flatnonzero(np.diff(part)) + 1, len(part)]
-        rows = []
         for a, b in zip(np.r_[0, ends[:-1]].tolist(), ends.tolist(), strict=True):
             used, place = np.unique(own[a:b], return_inverse=True)
-            rows.append((int(part[a]), left[a:b].tobytes(), place.astype(np.uint16).tobytes(), keys[used].tobytes()))
-        kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary()]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["slice", "left", "place", "keys"])
+            there = used[used != NO_TEXT]
+            place = np.where(place < len(there), place, NO_TEXT).astype(np.uint16)
+            rows.append((int(part[a]), short[a:b].tobytes(), place.tobytes(), keys[there].tobytes(), b"", pack))
+        kinds = [pa.int32(), *[pa.binary()] * 4, pa.int64()]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["slice", "left", "place", "keys", "own", "pack"])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, held, size = WordHashes(), [], 0
+        known, held, size, packs = WordHashes(), [], 0, TaskContext.get().partitionId() << 32
         for batch in batches:
             for row in zip(*(batch.column(i) for i in range(batch.num_columns)), strict=True):
                 if len(row) == 1:
@@ -316,56 +336,81 @@ def postings(texts: DataFrame, slices: int) -> DataFrame:
                     held.append((row[0].as_py() % 2**64, row[1].values.to_numpy().view(np.uint64)))
                 size += len(held[-1][1])
                 if size >= PACKED or len(held) >= 60_000:
-                    yield flush(held)
-                    held, size = [], 0
+                    yield flush(held, packs)
+                    held, size, packs = [], 0, packs + 1
         if held:
-            yield flush(held)
+            yield flush(held, packs)
 
     parts = max(slices, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return texts.mapInArrow(pack, "slice int, left binary, place binary, keys binary").repartition(parts, "slice")
+    packed = texts.mapInArrow(pack, "slice int, left binary, place binary, keys binary, own binary, pack long")
+    deal = F.when(F.col("slice") < 0, -1 - F.col("pack")).otherwise(F.col("slice"))
+    return packed.repartition(parts, deal).sortWithinPartitions("slice")
+
+
+def in_slice(rows: list[tuple[bytes, bytes, bytes]], counted: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, key, row and number of texts of each posting whose shingle several texts have."""
+    hashes, keys, none, row = [], [], [], []
+    for i, (left, place, own) in enumerate(rows):
+        wide = np.zeros((len(left) // 6, 8), np.uint8)
+        wide[:, :6] = np.frombuffer(left, np.uint8).reshape(-1, 6)
+        hashes.append(wide.view("<u8").ravel())
+        at = np.frombuffer(place, np.uint16)
+        none.append(at == NO_TEXT)
+        keys.append(np.append(np.frombuffer(own, np.int64), 0)[np.where(at == NO_TEXT, len(own) // 8, at)])
+        row.append(np.full(len(at), i, np.int32))
+    h, key, none, row = map(np.concatenate, (hashes, keys, none, row))
+    order = np.lexsort((none, key, h))
+    h, key, none, row = h[order], key[order], none[order], row[order]
+    new = np.r_[True, h[1:] != h[:-1]]
+    run = np.cumsum(new) - 1
+    once = new | np.r_[True, (key[1:] != key[:-1]) | none[1:]]
+    df = np.bincount(run[once], minlength=run[-1] + 1 if len(run) else 0) + np.bincount(run[none], minlength=run[-1] + 1 if len(run) else 0)
+    kept = (df[run] > 1) & ~none & (True if counted else once)
+    return h[kept], key[kept], row[kept], df[run][kept]
 
 
 def shared_postings(texts: DataFrame, slices: int, counted: bool) -> DataFrame:
-    """Shingles that several texts have: (key, c), their number in a slice, if ``counted``, else each as (key, cell, df)."""
-
-    def several(rows: list[tuple[bytes, bytes, bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        hashes, keys = [], []
-        for left, place, own in rows:
-            wide = np.zeros((len(left) // 6, 8), np.uint8)
-            wide[:, :6] = np.frombuffer(left, np.uint8).reshape(-1, 6)
-            hashes.append(wide.view("<u8").ravel())
-            keys.append(np.frombuffer(own, np.int64)[np.frombuffer(place, np.uint16)])
-        h, key = np.concatenate(hashes), np.concatenate(keys)
-        order = np.argsort(h, kind="stable")
-        h = h[order]
-        new = np.r_[True, h[1:] != h[:-1]]
-        run = np.cumsum(new) - 1
-        many = np.bincount(run)[run] > 1
-        h, key = h[many], key[order][many]
-        order = np.lexsort((key, h))
-        h, key = h[order], key[order]
-        once = np.r_[True, (h[1:] != h[:-1]) | (key[1:] != key[:-1])][: len(h)]
-        h, key = h[once], key[once]
-        run = np.cumsum(np.r_[True, h[1:] != h[:-1]][: len(h)]) - 1
-        df = np.bincount(run)[run] if len(run) else run
-        return h[df > 1], key[df > 1], df[df > 1]
+    """Shingles that several texts have: (key, c), their number, if ``counted``, else each as (key, cell, df).
+
+    Rows come by slice, and a task holds one slice at a time.  Copies of a text in several packs keep
+    accounts of their own, each of which is the text's number.
+    """
+
+    def counts(rows: list[tuple[bytes, bytes, bytes]], packs: list[int]) -> pa.RecordBatch:
+        _, key, row, _ = in_slice(rows, True)
+        order = np.lexsort((key, row))
+        key, row = key[order], row[order]
+        first = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (row[1:] != row[:-1])][: len(key)])
+        c = np.diff(np.append(first, len(key)))
+        return pa.RecordBatch.from_arrays([pa.array(key[first]), pa.array(np.array(packs, np.int64)[row[first]]), pa.array(c.astype(np.int64))], names=["key", "pack", "c"])
+
+    def cells(rows: list[tuple[bytes, bytes, bytes]], own: int) -> pa.RecordBatch:
+        h, key, _, df = in_slice(rows, False)
+        cell = (h * np.uint64(slices) + np.uint64(own)).view(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(cell), pa.array(df.astype(np.int64))], names=["key", "cell", "df"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list] = {}
+        at, rows, packs = None, [], []
         for batch in batches:
-            for own, *row in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                held.setdefault(own, []).append(row)
-        while held:
-            own, rows = held.popitem()
-            h, key, df = several(rows)
-            if counted:
-                key, c = np.unique(key, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(c.astype(np.int64))], names=["key", "c"])
-            else:
-                cell = (h * np.uint64(slices) + np.uint64(own)).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(cell), pa.array(df.astype(np.int64))], names=["key", "cell", "df"])
-
-    return postings(texts, slices).mapInArrow(count, "key long, c long" if counted else "key long, cell long, df long")
+            for own, left, place, keys, tally, pack in zip(*batch.columns, strict=True):
+                own = own.as_py()
+                if own < 0:
+                    key = np.frombuffer(keys.as_py(), np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.full(len(key), pack.as_py())), pa.array(np.frombuffer(tally.as_py(), np.int64))], names=["key", "pack", "c"])
+                    continue
+                if own != at and rows:
+                    yield counts(rows, packs) if counted else cells(rows, at)
+                    rows, packs = [], []
+                at = own
+                rows.append((left.as_py(), place.as_py(), keys.as_py()))
+                packs.append(pack.as_py())
+        if rows:
+            yield counts(rows, packs) if counted else cells(rows, at)
+
+    found = postings(texts, slices, counted).mapInArrow(count, "key long, pack long, c long" if counted else "key long, cell long, df long")
+    if not counted:
+        return found
+    return found.groupBy("key", "pack").agg(F.sum("c").alias("c")).groupBy("key").agg(F.max("c").alias("c"))
 
 
 def chains(cells: DataFrame, similarity: float) -> DataFrame:
@@ -483,7 +528,7 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     first = F.coalesce(F.min_by("text_hash", "id"), F.min("text_hash")).alias("text_hash")
     nodes = cut_lineage(own.groupBy("key").agg(F.min("id").alias("least"), first, F.max("n").alias("n")))
     slices_for = lambda rows: max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(rows.agg(F.sum("n")).first()[0] or 0) // SLICE))
-    often = shared_postings(df.select(text.alias("text")), slices_for(nodes), True).groupBy("key").agg(F.sum("c").alias("c"))
+    often = shared_postings(df.select(text.alias("text")), slices_for(nodes), True)
     wanted = nodes.join(often, "key").where(F.col("c") >= least_shared(F.col("n"), similarity)).select("key", "text_hash", "n")
     wanted = cut_lineage(wanted)
     texts = df.select(text.alias("text")).withColumn("text_hash", F.xxhash64("text"))

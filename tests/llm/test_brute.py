@@ -300,3 +300,58 @@ def test_pipeline(llm):
     hidden = p.hide_secrets(llm, good, folder).toPandas()
     assert len(hidden) == len(kept) and not any(plain_spans(t) for t in hidden.text) and (hidden.text.str.len() == hidden.n_chars).all()
     assert hidden.text.str.contains("[SECRET]", regex=False).any()
+
+
+@pytest.mark.parametrize("packed, slice_", [(300, 400), (500_000, 1_000_000)])
+def test_near_copies_with_a_hot_shingle(llm, monkeypatch, packed, slice_):
+    """One shingle in every text; copies of texts in many packs, small slices."""
+    monkeypatch.setattr(simhash, "PACKED", packed)
+    monkeypatch.setattr(simhash, "SLICE", slice_)
+    rng = np.random.default_rng(14)
+    licence, rows = "this is the licence line", []
+    for base in range(60):
+        words = [f"b{base}w{x}" for x in rng.integers(0, 50, 60)]
+        rows += [" ".join([licence, *words])] * (1 + base % 5) + [" ".join([licence, *words, f"x{base}", f"y{base}"])] * (base % 2)
+    rng.shuffle(rows)
+    want = plain_groups({i: plain_shingles(t) for i, t in enumerate(dict.fromkeys(rows))}, 0.8)
+    frame = llm.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(7)
+    found = simhash.near_copies(frame).toPandas()
+    assert sorted(found.groupby("root").size()) == sorted(Counter(want.values()).values())
+
+
+def test_slice_gets_a_hot_shingle_once_per_pack(llm, monkeypatch):
+    """One shingle in all of 50,000 texts: its postings grow with the packs, not with the texts."""
+    monkeypatch.setattr(simhash, "PACKED", 10_000)
+    frame = llm.range(50_000).selectExpr("concat('this is the licence line ', id, ' a', id * 7, ' b', id * 11) AS text").repartition(4)
+    rows = simhash.postings(frame, 16, True).where("slice >= 0").toPandas()
+    packs, counted = rows["pack"].nunique(), Counter()
+    for left, place in zip(rows["left"], rows["place"], strict=True):
+        assert len(left) == 3 * len(place)
+        counted[np.frombuffer(place, np.uint16).tolist().count(simhash.NO_TEXT)] += 1
+    assert 20 <= packs <= 40 and packs - 4 <= sum(k * n for k, n in counted.items()) <= packs  # a last pack may hold one text
+    often = simhash.shared_postings(frame, 16, True).toPandas()
+    assert len(often) == 50_000 and (often["c"] == 1).all()
+
+
+def test_run(llm):
+    """The whole pipeline: every kept document is packed once, whole, into sequences that hold it."""
+    import corpus_pipeline as p
+
+    docs = llm.read.parquet(f"{FOLDER}/documents.parquet")
+    got = p.run(llm, FOLDER).toPandas()
+    kept = set(p.keep_good(llm, docs, FOLDER).toPandas().doc_id)
+    assert 0 < got.doc_id.nunique() <= len(kept) and set(got.doc_id) <= kept
+    assert (got.groupby("sequence_id").length.sum() <= 2048).all() and not got.duplicated(["doc_id", "piece"]).any()
+
+
+def test_toxic_documents_go_whatever_the_columns(llm):
+    """The real stage, with a column whose name has a point."""
+    import corpus_pipeline as p
+
+    docs = llm.read.parquet("/root/testdata/sf0.1/documents.parquet").selectExpr("*", "doc_id AS `a.b`")
+    left = p.drop_toxic(llm, docs, "/root/testdata/sf0.1")
+    assert left.columns == docs.columns
+    ids = {r.doc_id for r in left.select("doc_id").collect()}
+    toxic = {r.doc_id for r in llm.read.parquet("/root/testdata/sf0.1/labels.parquet").where("toxic = 1").collect()}
+    fine = {r.doc_id for r in llm.read.parquet("/root/testdata/sf0.1/labels.parquet").where("toxic = 0").collect()}
+    assert len(toxic & ids) < 0.35 * len(toxic) and len(fine & ids) > 0.95 * len(fine)
