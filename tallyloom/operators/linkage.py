@@ -8,20 +8,24 @@ equi-joins on blocking keys whose large blocks are cut over several tasks.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Mapping, Sequence
 from itertools import combinations
 
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tallyloom.functions.numeric import uniform
-from tallyloom.functions.similarity import jaro_winkler
+from tallyloom.functions.similarity import jaro_winkler, jaro_winkler_of
 from tallyloom.functions.text import normalize_person_name
 from tallyloom.operators.rows import birthdate_parse, dedup_on_keys, ensure_columns, person_fill
-from tallyloom.operators.slices import Ordered
 from tallyloom.session import cut_lineage
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no installed copy
+
 FIELDS = ["surname", "name", "fathername", "birthdate", "passport", "inn", "gender"]
 # Fields that must agree, per blocking rule, in order.
 RULES = [
@@ -36,6 +40,8 @@ RULES = [
 TRAINING_RULES = [("surname", "name", "birthdate"), ("passport",), ("inn",), ("surname", "birthdate")]
 NAME_FIELDS = ["surname", "name", "fathername"]
 NAME_CUTS = [0.92, 0.88, 0.7]
+# Most days between birth dates, per level from 3 down (a day, a month, a year).
+DAYS = [1, 30, 365]
 # Levels: exact is the highest number, 0 is "differs", -1 is "missing on a side".
 LEVELS = {"surname": 5, "name": 5, "fathername": 5, "birthdate": 5, "passport": 2, "inn": 2, "gender": 2}
 BLOCK_ROWS = 20_000
@@ -174,33 +180,108 @@ def compare_pairs(pairs: DataFrame) -> DataFrame:
 # --- training --------------------------------------------------------------------
 
 
-def random_pairs(records: DataFrame, id_col: str, most: int, seed: int = 0) -> DataFrame:
-    """About ``most`` uniform pairs of different records: random positions, joined to the numbered rows."""
-    numbered = Ordered.overall(records, [id_col]).row_number("__pos").result()
-    n = records.count()
-    draws = min(most, n * (n - 1) // 2)
-    picks = records.sparkSession.range(draws).select(
-        (F.floor(uniform(F.col("id"), seed) * n) + 1).alias("i"), (F.floor(uniform(F.col("id"), seed + 1) * n) + 1).alias("j")
-    ).where("i < j OR j < i")
-
-    def side(suffix: str, place: str) -> DataFrame:
-        return numbered.select(F.col("__pos").alias(place), F.col(id_col).alias(f"id_{suffix}"), *[F.col(f).alias(f"{f}_{suffix}") for f in FIELDS])
+def pairs_of(n: str) -> Column:
+    """Pairs among n rows."""
+    return F.col(n).cast("double") * (F.col(n) - 1) / 2
 
-    return picks.join(side("l", "i"), "i").join(side("r", "j"), "j").drop("i", "j")
 
+def close_dates(counts: DataFrame) -> DataFrame:
+    """(level, n): pairs of rows with different days, by the level of the days between them, from (day, n).
 
-def level_shares(compared: DataFrame) -> DataFrame:
-    """(field, level, share) among pairs where both values are present."""
-    long = compared.select(*[f"gamma_{f}" for f in FIELDS]).unpivot([], [f"gamma_{f}" for f in FIELDS], "field", "level")
-    counts = long.where("level >= 0").groupBy("field", "level").agg(F.count(F.lit(1)).alias("n"))
-    return counts.select(
-        F.substring("field", 7, 100).alias("field"), "level", (F.col("n") / F.sum("n").over(W.partitionBy("field"))).alias("share")
+    Days lie in blocks of a year; a block also sees the next one, so a range window inside it counts each pair once.
+    """
+    block = F.floor(F.col("day") / F.lit(DAYS[-1] + 1))
+    seen = counts.select("day", "n", block.alias("block"), F.lit(True).alias("own")).unionByName(
+        counts.select("day", "n", (block - 1).alias("block"), F.lit(False).alias("own"))
+    )
+    within = [F.sum("n").over(W.partitionBy("block").orderBy("day").rangeBetween(1, d)).alias(f"d{d}") for d in DAYS]
+    near = seen.select("own", "n", *within).where("own")
+    upto = [F.sum(F.col("n").cast("double") * F.coalesce(f"d{d}", F.lit(0))) for d in DAYS]
+    total = near.agg(*[c.alias(f"d{d}") for d, c in zip(DAYS, upto)])
+    levels = [F.struct(F.lit(3 - i).alias("level"), (F.col(f"d{d}") - (F.col(f"d{DAYS[i - 1]}") if i else F.lit(0.0))).alias("n")) for i, d in enumerate(DAYS)]
+    return total.select(F.explode(F.array(*levels)).alias("x")).select("x.level", "x.n")
+
+
+def letter_overlap(left: list[str], right: list[str]) -> np.ndarray:
+    """Letters that each two texts share, repeats included: one product of tables that count in unary."""
+    place: dict[tuple[str, int], int] = {}
+
+    def coded(texts: list[str]) -> list[list[int]]:
+        rows = []
+        for text in texts:
+            often: dict[str, int] = {}
+            row = []
+            for c in text:
+                often[c] = often.get(c, 0) + 1
+                row.append(place.setdefault((c, often[c]), len(place)))
+            rows.append(row)
+        return rows
+
+    rows = coded(left), coded(right)
+    tables = [np.zeros((len(r), len(place)), np.float32) for r in rows]
+    for table, own in zip(tables, rows):
+        for i, row in enumerate(own):
+            table[i, row] = 1
+    return tables[0] @ tables[1].T
+
+
+def alike_names(values: DataFrame, most: int = 1000) -> DataFrame:
+    """(field, level, n): pairs of rows with different, alike names by level, from (field, value, n).
+
+    The different values are dealt into blocks of about ``most``; each two blocks of a field meet in one
+    group, which returns a number per level, never pairs.  The letters two names share bound their
+    similarity, so most pairs end at one product of tables.  Work grows with the square of the different names, whatever the rows.
+    """
+    sizes = values.groupBy("field").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias("blocks"))
+    own = values.join(F.broadcast(sizes), "field").withColumn("own", F.pmod(F.xxhash64("value"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    dealt = own.select("field", "value", "n", "own", other).select(
+        "field", "value", "n", "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y")
     )
 
-
-def estimate_u(records: DataFrame, id_col: str = "unique_id", most: int = 5_000_000, seed: int = 0) -> DataFrame:
-    """Agreement rates among random pairs."""
-    return level_shares(compare_pairs(random_pairs(records, id_col, most, seed)))
+    def meet(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        field, x, y = key
+        a, b = rows[rows["own"] == x], rows[rows["own"] == y]
+        left, right, n_left, n_right = a["value"].tolist(), b["value"].tolist(), a["n"].to_numpy(float), b["n"].to_numpy(float)
+        sums = np.zeros(len(NAME_CUTS))
+        if left and right:
+            size = [np.fromiter(map(len, t), float, len(t)) for t in (left, right)]
+            shared = letter_overlap(left, right)
+            bound = (shared / size[0][:, None] + shared / size[1] + (shared > 0)) / 3
+            i, j = np.nonzero(bound >= NAME_CUTS[-1] - 1e-5)
+            if x == y:
+                i, j = i[i < j], j[i < j]
+            for k in range(0, len(i), 200_000):
+                p, q = i[k : k + 200_000], j[k : k + 200_000]
+                alike = jaro_winkler_of([left[v] for v in p], [right[v] for v in q])
+                for level, (low, high) in enumerate(zip(NAME_CUTS[::-1], [*NAME_CUTS[-2::-1], 2.0])):
+                    fits = (alike >= low) & (alike < high)
+                    sums[level] += (n_left[p[fits]] * n_right[q[fits]]).sum()
+        return pd.DataFrame({"field": field, "level": np.arange(1, len(sums) + 1, dtype=np.int32), "n": sums})
+
+    return dealt.groupBy("field", "x", "y").applyInPandas(meet, "field string, level int, n double").groupBy("field", "level").agg(F.sum("n").alias("n"))
+
+
+def estimate_u(records: DataFrame) -> DataFrame:
+    """(field, level, share): agreement rates among all pairs of different records, both values present, from value frequencies.
+
+    No pair of records is formed: equal values give n (n - 1) / 2 pairs, dates a range sum over days, names
+    a product of frequencies for each two alike values.  The rest of all pairs differs.
+    """
+    long = records.select(*[F.col(f).cast("string").alias(f) for f in FIELDS]).unpivot([], FIELDS, "field", "value")
+    counts = cut_lineage(long.where("value is not null").groupBy("field", "value").agg(F.count(F.lit(1)).alias("n")))
+    top = F.create_map(*[F.lit(x) for f in FIELDS for x in (f, LEVELS[f] - 1)])
+    equal = counts.groupBy("field").agg(F.sum(pairs_of("n")).alias("n")).select("field", top[F.col("field")].alias("level"), "n")
+    names = alike_names(counts.where(F.col("field").isin(NAME_FIELDS)))
+    days = counts.where("field = 'birthdate'").select(F.unix_date(F.try_to_date("value")).alias("day"), "n").where("day is not null")
+    # Several spellings of a day differ as texts, and no days lie between them.
+    spelled = days.groupBy("day").agg(F.sum("n").alias("n"), F.sum(pairs_of("n")).alias("same"))
+    dates = close_dates(spelled.select("day", "n")).select(F.lit("birthdate").alias("field"), "level", "n")
+    apart = spelled.agg(F.sum(pairs_of("n") - F.col("same")).alias("n")).select(F.lit("birthdate").alias("field"), F.lit(3).alias("level"), "n")
+    close = equal.unionByName(names).unionByName(dates).unionByName(apart).groupBy("field", "level").agg(F.sum("n").alias("n"))
+    whole = counts.groupBy("field").agg(F.sum("n").alias("n")).select("field", pairs_of("n").alias("whole"))
+    rest = close.groupBy("field").agg(F.sum("n").alias("n")).join(whole, "field").select("field", F.lit(0).alias("level"), (F.col("whole") - F.col("n")).alias("n"))
+    return close.unionByName(rest).where("n > 0").join(whole, "field").select("field", "level", (F.col("n") / F.col("whole")).alias("share"))
 
 
 def gamma_patterns(compared: DataFrame) -> DataFrame:
@@ -255,10 +336,10 @@ def em_match_rates(
     return m, share, likelihoods
 
 
-def train_weights(records: DataFrame, id_col: str = "unique_id", most_pairs: int = 5_000_000, seed: int = 0) -> dict[str, list[float]]:
-    """log2(m / u) per field and level: u from random pairs, m as the mean over the training rules."""
+def train_weights(records: DataFrame, id_col: str = "unique_id") -> dict[str, list[float]]:
+    """log2(m / u) per field and level: u from all pairs, m as the mean over the training rules."""
     u: dict[str, list[float]] = {f: [FLOOR] * LEVELS[f] for f in FIELDS}
-    for r in estimate_u(records, id_col, most_pairs, seed).collect():  # fields x levels
+    for r in estimate_u(records).collect():  # fields x levels
         u[r["field"]][r["level"]] = max(r["share"], FLOOR)
     found: dict[str, list[list[float]]] = {f: [] for f in FIELDS}
     for rule in TRAINING_RULES:
@@ -368,7 +449,7 @@ def canonical_per_cluster(records: DataFrame, clusters: DataFrame, id_col: str =
 
 def dedup_persons(
     df: DataFrame, weights: Mapping[str, Sequence[float]] | None = None, threshold: float = 0.95, prior: float = 1e-4,
-    most_pairs: int = 5_000_000, id_col: str = "unique_id", adjust: Sequence[str] = ("surname", "name"),
+    id_col: str = "unique_id", adjust: Sequence[str] = ("surname", "name"),
 ) -> tuple[DataFrame, DataFrame]:
     """(clusters(id, cluster_id), deduplicated records).
 
@@ -380,7 +461,7 @@ def dedup_persons(
     distinct, members = cut_lineage(distinct), cut_lineage(members)
     people = distinct.withColumnRenamed("pid", id_col)
     if weights is None:
-        weights = train_weights(people, id_col, most_pairs)
+        weights = train_weights(people, id_col)
     shares = {f: value_shares(distinct, f) for f in adjust}
     u_exact, boost = {}, 0.0
     for f in adjust:

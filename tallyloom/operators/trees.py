@@ -34,6 +34,28 @@ def impurity_table(df: DataFrame, label: str, n_classes: int, by: Sequence[str]
     return counts.select(*by, *cols, impurity(cols, "gini").alias("gini"), impurity(cols, "entropy").alias("entropy"))
 
 
+def squared_error(n: Column, total: Column, squares: Column) -> Column:
+    """Mean squared distance of a node's targets from their mean, from their number, sum and sum of squares."""
+    return F.greatest(squares / n - (total / n) * (total / n), F.lit(0.0))
+
+
+def error_table(df: DataFrame, target: str, by: Sequence[str] = ()) -> DataFrame:
+    """Number, mean and squared error of the targets of each group."""
+    y = F.col(target).cast("double")
+    sums = df.where(y.isNotNull()).groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.sum(y).alias("s"), F.sum(y * y).alias("q"))
+    return sums.select(*by, "n", (F.col("s") / F.col("n")).alias("mean"), squared_error(F.col("n"), F.col("s"), F.col("q")).alias("mse"))
+
+
+def variance_prefix_sums(long: DataFrame, keys: Sequence[str], target: str) -> DataFrame:
+    """Running (number, sum, sum of squares) of the target along each feature's sorted values, equal values together."""
+    y = F.col(target).cast("double")
+    sums = long.where(F.col("value").isNotNull()).groupBy(*keys, "value").agg(
+        F.count(F.lit(1)).cast("double").alias("n0"), F.sum(y).alias("n1"), F.sum(y * y).alias("n2")
+    )
+    ordered = Ordered.per_key(sums, list(keys), ["value"]).previous(prev_value="value")
+    return ordered.running_sum(**{f"upto{k}": f"n{k}" for k in range(3)}).result()
+
+
 def class_prefix_counts(long: DataFrame, keys: Sequence[str], label: str, n_classes: int) -> DataFrame:
     """Running class counts along each feature's sorted values, equal values together."""
     counts = long.where(F.col("value").isNotNull()).groupBy(*keys, "value").agg(
@@ -46,6 +68,8 @@ def class_prefix_counts(long: DataFrame, keys: Sequence[str], label: str, n_clas
 def split_gains(long: DataFrame, keys: Sequence[str], label: str, n_classes: int, criterion: str) -> DataFrame:
     """(keys, feature, threshold, gain) for every place between two distinct values."""
     place = [*keys, "feature"]
+    if criterion == "mse":
+        return _error_gains(long, keys, label)
     prefix = class_prefix_counts(long, place, label, n_classes)
     totals = prefix.groupBy(*place).agg(*[F.sum(f"n{k}").alias(f"all{k}") for k in range(n_classes)])
     rows = prefix.join(totals, place).where(F.col("prev_value").isNotNull())
@@ -64,6 +88,19 @@ def split_gains(long: DataFrame, keys: Sequence[str], label: str, n_classes: int
     return rows.select(*place, ((F.col("prev_value") + F.col("value")) / 2).alias("threshold"), gain.alias("gain"))
 
 
+def _error_gains(long: DataFrame, keys: Sequence[str], target: str) -> DataFrame:
+    """``split_gains`` for a number as the target: how much a split lowers the mean squared error."""
+    place = [*keys, "feature"]
+    prefix = variance_prefix_sums(long, place, target)
+    totals = prefix.groupBy(*place).agg(*[F.sum(f"n{k}").alias(f"all{k}") for k in range(3)])
+    rows = prefix.join(totals, place).where(F.col("prev_value").isNotNull())
+    left = [F.col(f"upto{k}") - F.col(f"n{k}") for k in range(3)]
+    whole = [F.col(f"all{k}") for k in range(3)]
+    right = [w - l for w, l in zip(whole, left)]
+    gain = squared_error(*whole) - left[0] / whole[0] * squared_error(*left) - right[0] / whole[0] * squared_error(*right)
+    return rows.select(*place, ((F.col("prev_value") + F.col("value")) / 2).alias("threshold"), gain.alias("gain"))
+
+
 def best_split(
     df: DataFrame, features: Sequence[str], label: str, n_classes: int, criterion: str = "gini", keys: Sequence[str] = ()
 ) -> DataFrame:
@@ -81,7 +118,9 @@ class LevelTree:
     """A decision tree grown one level at a time; every level is one Spark job over all nodes.
 
     ``nodes`` maps a node id (root 1, children 2n for value < threshold and
-    2n + 1) to a split or to leaf class shares; its size is bounded by the depth.
+    2n + 1) to a split or to what its leaf predicts; its size is bounded by the depth.
+    With the criterion ``gini`` or ``entropy`` a leaf has class shares, with ``mse`` the mean of a number.
+    Rows whose target (or, at a split, value) is null: the former teach nothing, the latter go right.
     """
 
     def __init__(self, criterion: str = "gini", max_depth: int = 4, min_leaf_size: int = 5, min_improvement: float | None = None):
@@ -89,19 +128,28 @@ class LevelTree:
         self.min_leaf_size, self.min_improvement = min_leaf_size, min_improvement
         self.nodes: dict[int, dict] = {}
 
-    def fit(self, df: DataFrame, features: Sequence[str], label: str, n_classes: int) -> "LevelTree":
+    def _summaries(self, placed: DataFrame, label: str) -> dict[int, dict]:
+        """What is known of each open node; one row per node comes to the driver."""
+        if self.criterion == "mse":
+            rows = error_table(placed, label, ["__node"]).collect()
+            return {r["__node"]: {"mean": r["mean"], "rows": r["n"], "pure": r["mse"] <= 1e-12 * max(1.0, r["mean"] ** 2)} for r in rows}
+        counts = placed.groupBy("__node").agg(*[F.count_if(F.col(label) == k).alias(f"c{k}") for k in range(self.n_classes)])
+        out = {}
+        for r in counts.collect():
+            sizes = [r[f"c{k}"] for k in range(self.n_classes)]
+            total = sum(sizes)
+            out[r["__node"]] = {"shares": [s / max(total, 1) for s in sizes], "rows": total, "pure": max(sizes) == total}
+        return out
+
+    def fit(self, df: DataFrame, features: Sequence[str], label: str, n_classes: int = 0) -> "LevelTree":
         self.features, self.n_classes = list(features), n_classes
         self.nodes, open_nodes = {}, [1]
+        known = df.where(F.col(label).isNotNull())
         for depth in range(self.max_depth + 1):
-            placed = df.withColumn("__node", self._node_of()).where(F.col("__node").isin(open_nodes))
-            counts = placed.groupBy("__node").agg(*[F.count_if(F.col(label) == k).alias(f"c{k}") for k in range(n_classes)])
-            splittable = []
-            for row in counts.collect():  # one row per open node
-                sizes = [row[f"c{k}"] for k in range(n_classes)]
-                total = sum(sizes)
-                self.nodes[row["__node"]] = {"shares": [s / total for s in sizes], "rows": total}
-                if depth < self.max_depth and max(sizes) < total and total > self.min_leaf_size:
-                    splittable.append(row["__node"])
+            placed = known.withColumn("__node", self._node_of()).where(F.col("__node").isin(open_nodes))
+            own = self._summaries(placed, label)
+            self.nodes |= own
+            splittable = [n for n, s in own.items() if depth < self.max_depth and not s["pure"] and s["rows"] > self.min_leaf_size]
             if not splittable:
                 break
             found = best_split(placed.where(F.col("__node").isin(splittable)), features, label, n_classes, self.criterion, ["__node"])
@@ -119,14 +167,22 @@ class LevelTree:
         split = self.nodes.get(node, {})
         if "feature" not in split:
             return F.lit(node).cast("long")
-        goes_left = F.col(split["feature"]) < split["threshold"]
+        goes_left = F.col(split["feature"]).cast("double") < split["threshold"]
         return F.when(goes_left, self._node_of(2 * node)).otherwise(self._node_of(2 * node + 1))
 
     def transform(self, df: DataFrame) -> DataFrame:
-        """Adds class shares (``probability``) and the first most likely class (``prediction``)."""
-        leaves = [(n, s["shares"]) for n, s in self.nodes.items() if "feature" not in s]
-        table = df.sparkSession.createDataFrame(leaves, "__node bigint, probability array<double>")
-        out = df.withColumn("__node", self._node_of()).join(F.broadcast(table), "__node").drop("__node")
+        """Adds ``leaf`` and the prediction of the row's leaf.
+
+        A class tree gives shares (``probability``) and the first most likely class (``prediction``),
+        a tree of numbers the mean of the leaf (``prediction``).
+        """
+        out = df.withColumn("leaf", self._node_of())
+        leaves = {n: s for n, s in self.nodes.items() if "feature" not in s}
+        if self.criterion == "mse":
+            table = df.sparkSession.createDataFrame([(n, float(s["mean"])) for n, s in leaves.items()], "leaf bigint, prediction double")
+            return out.join(F.broadcast(table), "leaf", "left")
+        table = df.sparkSession.createDataFrame([(n, s["shares"]) for n, s in leaves.items()], "leaf bigint, probability array<double>")
+        out = out.join(F.broadcast(table), "leaf", "left")
         best = F.array_position("probability", F.array_max("probability")) - 1
         return out.withColumn("prediction", best.cast("int"))
 

@@ -421,10 +421,56 @@ for _kind in ("gini", "entropy"):
         return trees.best_split(t.points, FEATURES, "y", 2, kind)
 
 
-@query("decision_tree")
+def tree_sql(source: str, features: list[str], target: str, depth: int, least: int, kind: str) -> tuple[str, str]:
+    """(WITH parts, last table) that place every row (``x``) in its leaf (``node``), grown level by level."""
+
+    def term(n: str, s: str, q: str) -> str:
+        if kind == "mse":
+            return f"greatest({q} / {n} - ({s} / {n}) * ({s} / {n}), 0)"
+        return f"(1 - ({s} / {n}) ** 2 - (({n} - {s}) / {n}) ** 2)"
+
+    parts = [f"d0 AS (SELECT {', '.join(f'{f}::DOUBLE AS {f}' for f in features)}, ({target})::DOUBLE AS y, 1::BIGINT AS node FROM {source})"]
+    for d in range(depth):
+        values = " UNION ALL ".join(f"SELECT node, {i} AS place, '{f}' AS feature, {f} AS v, y FROM o{d}" for i, f in enumerate(features))
+        left, right, whole = ("ln", "ls", "lq"), ("an - ln", "asum - ls", "aq - lq"), ("an", "asum", "aq")
+        gain = f"{term(*whole)} - ln / an * {term(*left)} - (an - ln) / an * {term(*(f'({x})' for x in right))}"
+        parts += [
+            f"n{d} AS (SELECT node FROM d{d} GROUP BY node HAVING count(*) > {least} AND min(y) < max(y) AND node >= {2 ** d})",
+            f"o{d} AS (SELECT * FROM d{d} WHERE node IN (SELECT node FROM n{d}))",
+            f"g{d} AS (SELECT node, place, feature, v, count(*)::DOUBLE AS n, sum(y) AS s, sum(y * y) AS q FROM ({values}) AS u GROUP BY ALL)",
+            f"""c{d} AS (SELECT node, place, feature, v, lag(v) OVER w AS p, sum(n) OVER w - n AS ln, sum(s) OVER w - s AS ls, sum(q) OVER w - q AS lq, sum(n) OVER a AS an, sum(s) OVER a AS asum, sum(q) OVER a AS aq
+ FROM g{d} WINDOW w AS (PARTITION BY node, feature ORDER BY v), a AS (PARTITION BY node, feature))""",
+            f"b{d} AS (SELECT node AS parent, feature, (p + v) / 2 AS threshold FROM c{d} WHERE p IS NOT NULL QUALIFY row_number() OVER (PARTITION BY node ORDER BY round({gain}, 12) DESC, place, (p + v) / 2) = 1)",
+            f"d{d + 1} AS (SELECT {', '.join(features)}, y, CASE WHEN parent IS NULL THEN node ELSE 2 * node + CASE WHEN CASE feature {' '.join(f'WHEN {chr(39)}{f}{chr(39)} THEN {f}' for f in features)} END < threshold THEN 0 ELSE 1 END END AS node FROM d{d} LEFT JOIN b{d} ON node = parent)",
+        ]
+    return ", ".join(parts), f"d{depth}"
+
+
+TREE, TREE_END = tree_sql("points", FEATURES, "y", 3, 20, "gini")
+
+
+@query("decision_tree", f"""WITH {TREE}, l AS (SELECT node, avg(y) AS p FROM {TREE_END} GROUP BY node)
+ SELECT node AS leaf, y::INT AS y, CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS prediction, count(*) AS n FROM {TREE_END} JOIN l USING (node) GROUP BY ALL""", uses="points")
+def _(t):
+    """Three levels over three features."""
+    tree = trees.LevelTree(max_depth=3, min_leaf_size=20).fit(t.points, FEATURES, "y", 2)
+    return tree.transform(t.points).groupBy("leaf", F.col("y").cast("int").alias("y"), "prediction").agg(F.count(F.lit(1)).alias("n"))
+
+
+PARTS = ["l_quantity", "l_discount", "l_tax"]
+REGRESSION, REGRESSION_END = tree_sql("lineitem", PARTS, "l_extendedprice", 3, 20, "mse")
+
+
+@query("regression_tree", f"WITH {REGRESSION} SELECT node AS leaf, count(*) AS n, avg(y) AS prediction FROM {REGRESSION_END} GROUP BY node", rounds="prediction", digits=4)
+def _(t):
+    """Three levels over three features, split by squared error; leaves predict the mean price."""
+    tree = trees.LevelTree("mse", max_depth=3, min_leaf_size=20).fit(t.lineitem, PARTS, "l_extendedprice")
+    return tree.transform(t.lineitem).groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), F.max("prediction").alias("prediction"))
+
+
+@query("squared_error", "SELECT l_linestatus, l_returnflag, count(*) AS n, avg(l_quantity::DOUBLE) AS mean, var_pop(l_quantity::DOUBLE) AS mse FROM lineitem GROUP BY ALL", rounds="mean mse")
 def _(t):
-    tree = trees.LevelTree(max_depth=3, min_leaf_size=20).fit(t.scores, ["score"], "y", 2)
-    return tree.transform(t.scores).groupBy("y", "prediction").agg(F.count(F.lit(1)).alias("n"))
+    return trees.error_table(t.lineitem, "l_quantity", ["l_linestatus", "l_returnflag"])
 
 
 IMPORTANCE = """imp AS (SELECT n_nationkey AS model, mkt AS feature, coalesce(c, 0) / sum(coalesce(c, 0)) OVER (PARTITION BY n_nationkey) AS p FROM nation CROSS JOIN (SELECT DISTINCT c_mktsegment AS mkt FROM customer) AS s

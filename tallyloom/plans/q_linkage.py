@@ -122,7 +122,7 @@ def _(t):
 def _(t):
     """With trained weights: rows in, rows out, clusters of more than one record."""
     people = cleaned(t)
-    clusters, kept = linkage.dedup_persons(people, most_pairs=200_000)
+    clusters, kept = linkage.dedup_persons(people)
     sizes = clusters.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n"))
     rows_in = people.agg(F.lit("rows_in").alias("what"), F.count(F.lit(1)).alias("n"))
     return rows_in.unionByName(kept.agg(F.lit("rows_out").alias("what"), F.count(F.lit(1)).alias("n"))).unionByName(
@@ -130,14 +130,18 @@ def _(t):
     )
 
 
-@query("estimate_u")
+ALL_PAIRS = "pairs AS (SELECT " + ", ".join(f"l.{f} AS {f}_l, r.{f} AS {f}_r" for f in linkage.FIELDS) + " FROM rec l JOIN rec r ON l.unique_id < r.unique_id)"
+LEVELS_SQL = " UNION ALL ".join(f"SELECT '{f}' AS field, gamma_{f} AS level FROM compared WHERE gamma_{f} >= 0" for f in linkage.FIELDS)
+
+
+@query("estimate_u", f"WITH {CLEAN}, {ALL_PAIRS}, {COMPARED}, lv AS ({LEVELS_SQL}), c AS (SELECT field, level, count(*) AS n FROM lv GROUP BY ALL) SELECT field, level, n / sum(n) OVER (PARTITION BY field) AS share FROM c", rounds="share", digits=9, uses="persons")
 def _(t):
-    return linkage.estimate_u(records(t), most=200_000)
+    return linkage.estimate_u(records(t))
 
 
 @query("em_match_weights")
 def _(t):
-    weights = linkage.train_weights(records(t), most_pairs=200_000)
+    weights = linkage.train_weights(records(t))
     rows = [(f, level, float(w)) for f, ws in weights.items() for level, w in enumerate(ws)]
     return t.spark.createDataFrame(rows, "field string, level int, weight double")
 
