@@ -8,7 +8,7 @@ from pyspark.sql import Window as W
 
 from tallyloom.functions.numeric import sigmoid
 from tallyloom.operators.quantiles import cumulative_counts
-from tallyloom.operators.slices import Ordered, by_quantile
+from tallyloom.operators.slices import Ordered, by_range
 
 
 def validate_binary_target(df: DataFrame, label: str) -> DataFrame:
@@ -70,7 +70,7 @@ def score_steps(df: DataFrame, label: str, score: str) -> DataFrame:
         .groupBy(score)
         .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
     )
-    return Ordered(by_quantile(by_score, score), [], [F.col(score)]).running_sum(pos_upto="pos", neg_upto="neg").result()
+    return Ordered(by_range(by_score, score), [], [F.col(score)]).running_sum(pos_upto="pos", neg_upto="neg").result()
 
 
 def _totals(df: DataFrame, label: str, score: str) -> tuple[int, int]:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.operators.slices import HOT_ROWS, Ordered, by_key, by_quantile
+from tallyloom.operators.slices import HOT_ROWS, Ordered, by_key, by_range
 
 
 def value_counts(df: DataFrame, keys: list[str], value: str, weight: str | None = None) -> DataFrame:
@@ -23,7 +23,7 @@ def cumulative_counts(
 ) -> DataFrame:
     """One row per (keys, value): count, rows up to and including it, rows of the key."""
     counts = value_counts(df, keys, value, weight)
-    sliced = by_key(counts, keys, value, limit) if keys else by_quantile(counts, value)
+    sliced = by_key(counts, keys, value, limit) if keys else by_range(counts, value)
     out = Ordered(sliced, keys, [F.col(value)]).running_sum(__upto="__n").result()
     if keys:
         return out.join(counts.groupBy(*keys).agg(F.sum("__n").alias("__total")), keys)

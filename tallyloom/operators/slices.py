@@ -13,35 +13,26 @@ Slices are chosen by rows, in two ways:
   bursts, outliers, infinities and a hot instant are cut as evenly as any rows.
   The marks depend on the rows alone, so a repeated task finds the same ones.
   They are 8 rows in ``limit``, which bounds what is broadcast.
-* ``by_quantile``: no key at all (a global order).  The cut points are
-  approximate quantiles, one per ``HOT_ROWS`` rows and a few per task at least.
+* ``by_range``: no key at all (a global order).  The slices are the partitions of a
+  range shuffle over all order columns, checkpointed; the carry table has one row per partition.
 
 Rows with equal order values (all order columns) always land in the same slice.
 """
 
 from __future__ import annotations
 
-import json
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
+from tallyloom.session import cut_lineage
+
 SLICE = "__slice"
 HOT_ROWS = 1_000_000
 
 
-def as_number(df: DataFrame, name: str) -> Column:
-    """The order column as a number (micros for timestamps)."""
-    kind = df.schema[name].dataType
-    if isinstance(kind, (T.TimestampNTZType, T.TimestampType, T.DateType)):
-        return F.unix_micros(F.col(name).cast("timestamp"))
-    return F.col(name)
-
-
 def cuts_below(place: Column, cuts: Column) -> Column:
     """How many of the sorted ``cuts`` are at or below ``place``, by binary search."""
     start = F.struct(F.lit(0).alias("low"), F.size(cuts).alias("high"))
@@ -73,38 +64,17 @@ def by_key(df: DataFrame, keys: list[str], order: str | list[str], limit: int =
     return df.join(F.broadcast(cuts), same, "left").withColumn(SLICE, cut.cast("long")).drop("__cuts", *[f"__h_{k}" for k in keys])
 
 
-def cut_points(df: DataFrame, order: str, pieces: int | None = None) -> list[float]:
-    """Increasing cut points that split ``order`` evenly: a few per task, and one per ``HOT_ROWS`` rows at least."""
-    numeric = df.select(as_number(df, order).cast("double").alias("__v"))
-    if pieces is None:
-        pieces = max(2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(numeric.count() / HOT_ROWS))
-    pieces = max(2, pieces)
-    probabilities = [i / pieces for i in range(1, pieces)]
-    found = numeric.approxQuantile("__v", probabilities, 1.0 / (4 * pieces))
-    return sorted({x for x in found if math.isfinite(x)})
-
-
-def locate(number: Column, points: list[float]) -> Column:
-    """Index of the interval a number falls in: how many points lie below it; NaN lies above all, null below."""
-    if not points:
-        return F.lit(0).cast("long")
-    if len(points) > 64:  # one constant, searched by halves; the points just below a number are those not at or above it
-        cuts = F.from_json(F.lit(json.dumps([-x for x in reversed(points)])), "array<double>")
-        return F.when(number.isNull(), 0).otherwise(F.when(F.isnan(number), len(points)).otherwise(F.lit(len(points)) - cuts_below(-number, cuts))).cast("long")
+def by_range(df: DataFrame, order: str | list[str], pieces: int | None = None) -> DataFrame:
+    """Add ``__slice`` for a global order: the range partition of all order columns that a row lies in.
 
-    def descend(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(number <= F.lit(points[mid]), descend(lo, mid)).otherwise(descend(mid + 1, hi))
-
-    return F.when(number.isNull(), 0).otherwise(descend(0, len(points))).cast("long")
-
-
-def by_quantile(df: DataFrame, order: str, pieces: int | None = None) -> DataFrame:
-    """Add ``__slice`` for a global order over ``order``."""
-    points = cut_points(df, order, pieces)
-    return df.withColumn(SLICE, locate(as_number(df, order).cast("double"), points))
+    The bounds are the shuffle's own sample, so the driver holds a few values per partition, however many
+    rows there are.  They are sampled anew each time a plan runs, so the dealt rows are checkpointed with their slice.
+    """
+    order = [order] if isinstance(order, str) else list(order)
+    if pieces is None:
+        pieces = 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(max(2, pieces), *[F.col(o) for o in order])
+    return cut_lineage(dealt.withColumn(SLICE, F.spark_partition_id().cast("long")))
 
 
 @dataclass
@@ -121,7 +91,7 @@ class Ordered:
 
     @classmethod
     def overall(cls, df: DataFrame, order: list[str], pieces: int | None = None) -> "Ordered":
-        return cls(by_quantile(df, order[0], pieces), [], [F.col(o) for o in order])
+        return cls(by_range(df, order, pieces), [], [F.col(o) for o in order])
 
     @property
     def _place(self) -> list[str]:

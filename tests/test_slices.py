@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from tallyloom.operators import behaviour as b
 from tallyloom.operators.arrays import run_length_encode
 from tallyloom.operators.quantiles import exact_quantiles, value_ranks
-from tallyloom.operators.slices import Ordered, locate
+from tallyloom.operators.slices import Ordered, by_range
 
 START = datetime(2024, 1, 1)
 SCHEMA = "user_id bigint, ts timestamp_ntz, event_id bigint, action_type string, product_id bigint"
@@ -50,10 +50,16 @@ def test_global_order(spark):
     assert got.where("n <> k + 1").count() == 0
 
 
-def test_locate_counts_points_below(spark):
-    points = [1.0, 2.0, 5.0]
-    df = spark.createDataFrame([(x,) for x in (0.0, 1.0, 1.5, 2.0, 4.0, 5.0, 9.0)], "x double")
-    assert [r[0] for r in df.select(locate(F.col("x"), points)).collect()] == [0, 0, 1, 1, 2, 2, 3]
+def test_range_slices_are_even_and_hold_equal_rows(spark):
+    """A first column with one value in half the rows, nulls and NaN; the driver sees one carry row per partition."""
+    rows = spark.range(40_000).selectExpr("CASE WHEN id % 2 = 0 THEN 7.0D WHEN id % 100 = 1 THEN NULL WHEN id % 100 = 3 THEN double('NaN') ELSE id * 0.5D END AS x", "id % 20000 AS k", "id")
+    sliced = by_range(rows, ["x", "k"], 32)
+    sizes = [r["count"] for r in sliced.groupBy("__slice").count().collect()]
+    assert len(sizes) <= 32 and max(sizes) < 3 * 40_000 / 32
+    assert sliced.groupBy("x", "k").agg(F.count_distinct("__slice").alias("n")).where("n > 1").isEmpty()
+    numbered = Ordered.overall(rows, ["x", "k", "id"], 32).row_number("n").result()
+    got = [r.id for r in numbered.orderBy("n").collect()]
+    assert got == [r.id for r in rows.orderBy("x", "k", "id").collect()]
 
 
 def test_quantiles_of_cut_groups(spark):
@@ -127,10 +133,3 @@ def test_largest_slice_is_bounded(spark):
         got = cut.row_number("n").result()
         want = ids.withColumn("o", order).withColumn("n", F.row_number().over(W.partitionBy("k").orderBy("o", "id")))
         assert got.select("id", "n").exceptAll(want.select("id", "n").withColumn("n", F.col("n").cast("long"))).count() == 0, name
-
-
-def test_locate_many_points(spark):
-    points = [i * 0.5 for i in range(200)]
-    df = spark.createDataFrame([(x,) for x in (-1.0, 0.0, 0.25, 50.0, 50.1, 99.5, 1e9, float("inf"), float("nan"), None)], "x double")
-    got = [r[0] for r in df.select(locate(F.col("x"), points)).collect()]
-    assert got == [0, 0, 1, 100, 101, 199, 200, 200, 200, 0]
