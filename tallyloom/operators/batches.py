@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -13,6 +13,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from tallyloom.functions.numeric import inverse_normal, radical_inverse, uniform
@@ -27,7 +28,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no
 
 # Bases of the low-discrepancy sequence, one per dimension.
 PRIMES = [2, 3, 5, 7, 11, 13, 17, 19, 23, 29, 31, 37, 41, 43, 47, 53]
-GROUP_ROWS = 20_000
+#: Points that a round of ``farthest_first`` brings to the driver.
+CANDIDATES = 2000
 
 
 def _shift(seed: int, dimension: int) -> float:
@@ -218,42 +220,82 @@ def active_batch(
     return stacked.select(*features).transform(lambda d: round_dedup(d, features, 12)).limit(batch)
 
 
-def _farthest_first(points: np.ndarray, gap: np.ndarray, n: int) -> list[int]:
-    """Repeatedly take the point farthest from everything taken; ``gap`` holds starting distances."""
-    gap, taken = gap.copy(), []
-    for _ in range(min(n, len(points))):
-        i = int(gap.argmax())
-        taken.append(i)
-        gap = np.minimum(gap, np.sqrt(((points - points[i]) ** 2).sum(axis=1)))
-        gap[taken] = -1.0
+def _nearer(gap: np.ndarray, points: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Distances to the nearest chosen point, from those to what was chosen before."""
+    for one in chosen:
+        gap = np.minimum(gap, np.sqrt(((points - one) ** 2).sum(axis=1)))
+    return gap
+
+
+def farthest_first(points: DataFrame, batch: int, candidates: int = CANDIDATES) -> list[tuple]:
+    """Ids of ``batch`` points of (id, v, gap), each the farthest from all before it; ties go to the smallest id.
+
+    Every point keeps its distance to the nearest chosen one.  A round brings the ``candidates`` farthest
+    points to the driver.  Distances only shrink, so the farthest of them is the farthest of all as long as it stands before the
+    last one as that stood when the round began; such points are taken one after another, then the next
+    round moves all points' distances on.  At least one point is taken per round, the same ones at any size.
+    """
+    taken: list[tuple] = []
+    current = cut_lineage(points.select("id", "v", "gap"))
+    while len(taken) < batch:
+        top = current.orderBy(F.desc("gap"), "id").limit(candidates).toPandas().sort_values(["gap", "id"], ascending=[False, True])
+        if not len(top):
+            break
+        ids, v, gap = top["id"].to_numpy(), np.array(top["v"].tolist(), float), top["gap"].to_numpy(float)
+        by_id = np.argsort(ids, kind="stable")
+        ids, v, gap = ids[by_id], v[by_id], gap[by_id]
+        all_here = len(top) < candidates
+        least, last = float(top["gap"].iloc[-1]), top["id"].iloc[-1]
+        new = []
+        while len(taken) + len(new) < batch and len(ids):
+            i = int(gap.argmax())
+            if not (all_here or gap[i] > least or (gap[i] == least and ids[i] <= last)):
+                break
+            new.append((ids[i], v[i]))
+            rest = np.arange(len(ids)) != i
+            gap = _nearer(gap[rest], v[rest], v[i : i + 1])
+            ids, v = ids[rest], v[rest]
+        taken += [i for i, _ in new]
+        if all_here or len(taken) >= batch:
+            break
+        chosen = np.array([p for _, p in new])
+        gone = {i for i, _ in new}
+
+        def move(rows: Iterator[pd.DataFrame], chosen: np.ndarray = chosen, gone: set = gone) -> Iterator[pd.DataFrame]:
+            for part in rows:
+                part = part[~part["id"].isin(gone)]
+                if len(part):
+                    yield part.assign(gap=_nearer(part["gap"].to_numpy(float), np.array(part["v"].tolist(), float), chosen))
+
+        current = cut_lineage(current.mapInPandas(move, current.schema))
     return taken
 
 
-def greedy_spread(pool: DataFrame, labelled: DataFrame, key: str, features: Sequence[str], batch: int, group_rows: int = GROUP_ROWS) -> DataFrame:
+def greedy_spread(
+    pool: DataFrame, labelled: DataFrame, key: str, features: Sequence[str], batch: int, requested: DataFrame | None = None,
+    min_valid: float = 0.70, candidates: int = CANDIDATES,
+) -> DataFrame:
     """``batch`` pool points spread out from the labelled ones and from each other.
 
+    With ``requested`` (points and whether they were valid) only pool points that are valid with a probability of
+    ``min_valid`` or more take part.  A pool of no more than ``batch`` points comes back whole.
     Every pool point starts from its distance to the nearest labelled point.
-    Groups of at most about ``group_rows`` points each keep their ``batch``
-    farthest-first points until one group is left (distributed k-center).
     """
     from tallyloom.operators.neighbours import knn_exact
 
+    if requested is not None:
+        pool = _p_valid(validity_model(requested, features), pool, features).where(F.col("p_valid") >= min_valid)
+    pool = cut_lineage(pool.select("id", *features))
+    if pool.limit(batch + 1).count() <= batch:
+        return pool
     vector = F.array(*[F.col(f).cast("double") for f in features]).alias("v")
-    asked = pool.select("id", *features, vector)
+    asked = pool.select("id", vector)
     known = labelled.select(F.col(key).alias("id"), vector)
-    near = knn_exact(known, asked.select("id", "v"), "id", "v", 1).select(F.col("query_id").alias("id"), F.sqrt("distance").alias("gap"))
-    current = cut_lineage(asked.join(near, "id", "left").withColumn("gap", F.coalesce("gap", F.lit(float("inf")))))
-
-    def keep(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("id")
-        taken = _farthest_first(np.array(group["v"].tolist()), group["gap"].to_numpy(), batch)
-        return group.iloc[taken]
-
-    while True:
-        n = current.count()
-        groups = -(-n // max(group_rows, 2 * batch))
-        placed = current.withColumn("__g", F.pmod(F.xxhash64("id"), F.lit(groups)))
-        kept = placed.groupBy("__g").applyInPandas(keep, placed.schema).drop("__g")
-        if groups <= 1:
-            return kept.select("id", *features)
-        current = cut_lineage(kept)
+    gap = F.lit(float("inf"))
+    if not known.isEmpty():
+        near = knn_exact(known, asked, "id", "v", 1).select(F.col("query_id").alias("id"), F.sqrt("distance").alias("gap"))
+        asked, gap = asked.join(near, "id", "left"), F.coalesce("gap", gap)
+    taken = farthest_first(asked.withColumn("gap", gap), batch, candidates)
+    kind = pool.schema["id"].dataType
+    chosen = pool.sparkSession.createDataFrame([(kind.fromInternal(i.item() if hasattr(i, "item") else i),) for i in taken], T.StructType([T.StructField("id", kind)]))
+    return pool.join(F.broadcast(chosen), "id", "left_semi")

@@ -41,7 +41,8 @@ DERIVED: dict[str, tuple[str, list[str], str | None]] = {
             "ts",
             "CASE event_type WHEN 'purchase' THEN 'order' WHEN 'signup' THEN 'to_cart' "
             "WHEN 'error' THEN 'favorite' ELSE event_type END AS action_type",
-            f"CASE WHEN {_K} % 13 = 6 THEN NULL ELSE {_K} END AS product_id",
+            # Some actions name a product that the table of products does not have.
+            f"CASE WHEN {_K} % 13 = 6 THEN NULL WHEN {_K} % 17 = 5 THEN {_K} + 100000000 ELSE {_K} END AS product_id",
             f"CASE WHEN {_K} % 10 = 9 THEN NULL ELSE {_K} % 25 END AS widget_name_id",
         ],
         None,
@@ -58,7 +59,7 @@ DERIVED: dict[str, tuple[str, list[str], str | None]] = {
             "CASE WHEN p_brand = 'Brand#1' THEN '' ELSE p_brand END AS brand",
             "p_type AS type",
         ],
-        "p_partkey % 17 <> 5",
+        None,
     ),
     "searches": (
         "documents",

