@@ -12,19 +12,20 @@ Repeated rows are learnt once per row and predicted alike.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import keep_about
 
-LETTERS = re.compile(r"[^\W\d_]+")
+#: A word: letters and the marks on them, one letter at least; learning and prediction cut texts alike.
+LETTERS = regex.compile(r"\p{M}*\p{L}[\p{L}\p{M}]*")
 LONGEST, CACHED = 5, 300_000
 
 
@@ -98,7 +99,7 @@ def fit_languages(
     chosen = F.lit(False)
     for name in languages:
         chosen = chosen | ((F.col(lang) == name) & keep_about(sizes[name], fit_texts, F.col(id_col).cast("string"), F.lit("language")))
-    words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{M}]+"), lambda w: w != "")
+    words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{M}]+"), lambda w: w.rlike(r"\p{L}"))
     counted = (
         known.where(chosen).select(F.col(lang).alias("lang"), F.explode(words).alias("word")).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
     )

@@ -323,3 +323,14 @@ def test_pipeline_edges(llm, tmp_path, odd_docs, no_docs):
     out = corpus_pipeline.drop_near_copies(llm, odd_docs, empty).collect()
     assert sorted(str(r.doc_id) for r in out) == sorted(["1", "3", "6", "7", "8", "None"])
     assert corpus_pipeline.pack(llm, no_docs, empty).count() == 0
+
+
+def test_letters_of_languages(llm):
+    """Numbers and signs are no letters; marks belong to their word, in learning and prediction alike."""
+    hindi, plain = "यह हिन्दी में लिखा गया वाक्य है और दूसरा वाक्य भी", "this is an english sentence and another one"
+    rows = [(i, hindi, "hi") for i in range(40)] + [(100 + i, plain, "en") for i in range(40)]
+    model = language.fit_languages(llm.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert "हिन्दी" in model.words and len(language.LETTERS.findall("हिन्दी")) == 1
+    odd = ["½ ² ①", "Ⅷ", "12 34", "́ ́", "_", "", "हिन्दी", "sentence Ⅷ"]
+    got = [model.predict(t, {}) for t in odd]
+    assert [g[0] for g in got] == ["und"] * 6 + ["hi", "en"] and all(0 <= g[1] <= 1 for g in got)
