@@ -139,19 +139,19 @@ def _(t):
 def _(t):
     train, test = split(t)
     flagged = train.withColumn("is_val", F.col("point_id") % 10 == 6)
-    model = models.fit_boosted(flagged, FEATURES, validation="is_val", rounds=8, depth=4)
+    model = models.fit_boosted(flagged, FEATURES, validation="is_val")
     return auc_frame(t, auc=models.auc_of(model, models.assemble(test, FEATURES)), trees=len(model.trees))
 
 
 @query("tune_grid")
 def _(t):
-    return models.tune_grid(split(t)[0], FEATURES, rates=(0.1, 0.4), depths=(2, 3), rounds=4)[1]
+    return models.tune_grid(split(t)[0], FEATURES, rates=(0.05, 0.1, 0.3), depths=(2, 3, 4))[1]
 
 
 @query("stack_scores")
 def _(t):
     train, test = split(t)
-    boosted = models.fit_boosted(train, FEATURES, rounds=5, depth=3)
+    boosted = models.fit_boosted(train, FEATURES)
     plain = models.quick_logistic(train, FEATURES, "y")
     stacked = models.stack_scores([boosted, plain], models.assemble(train, FEATURES), models.assemble(test, FEATURES))
     return stacked.select("point_id", "y", "score")
@@ -160,7 +160,7 @@ def _(t):
 @query("random_forest")
 def _(t):
     train, test = split(t)
-    model = models.fit_forest(train, FEATURES, trees=10)
+    model = models.fit_forest(train, FEATURES)
     scored = models.score_column(model, models.assemble(test, FEATURES))
     return scored.select("point_id", "score", (F.col("score") > 0.5).cast("int").alias("predicted"))
 
@@ -176,18 +176,18 @@ def _(t):
 @query("adversarial_validation")
 def _(t):
     early = F.col("point_id") % 2 == 0
-    return models.adversarial_validation(t.points.where(early), t.points.where(~early & (F.col("f3") > 0.02)), "point_id", FEATURES, rounds=4)
+    return models.adversarial_validation(t.points.where(early), t.points.where(~early), "point_id", FEATURES)
 
 
 @query("model_importance")
 def _(t):
-    return models.model_importance(models.fit_forest(split(t)[0], FEATURES, trees=10), FEATURES, t.spark)
+    return models.model_importance(models.fit_forest(split(t)[0], FEATURES), FEATURES, t.spark)
 
 
 @query("permutation_importance")
 def _(t):
     train, test = split(t)
-    return models.permutation_importance(models.fit_forest(train, FEATURES, trees=5), test, "point_id", FEATURES, repeats=5)
+    return models.permutation_importance(models.fit_forest(train, FEATURES), test, "point_id", FEATURES, repeats=5)
 
 
 @query("feature_ablation")
@@ -200,7 +200,7 @@ def _(t):
     """With a column that repeats the label on training rows only, dropping it helps and must happen."""
     train, test = split(t)
     leak = lambda d, flip: d.withColumn("leak", F.when(F.col("y") == flip, 1.0).otherwise(0.0) + F.col("f3"))
-    return models.greedy_backward_elimination(leak(train, 1), leak(test, 0), [*FEATURES, "leak"], most_rounds=2)
+    return models.greedy_backward_elimination(leak(train, 1), leak(test, 0), [*FEATURES, "leak"])
 
 
 @query("suggest_drops")
@@ -213,7 +213,7 @@ def _(t):
 @query("compare_clusters")
 def _(t):
     df = t.points.withColumn("cluster", F.when(F.col("f2") > 300000, "high").when(F.col("f2") > 100000, "middle").otherwise("low"))
-    return models.compare_clusters(df, "point_id", "cluster", "middle", "high", ["f1", "f3", "y"], label="y", rounds=4)["metrics"]
+    return models.compare_clusters(df, "point_id", "cluster", "middle", "high", ["f1", "f3", "y"], label="y")["metrics"]
 
 
 # --- batches of points --------------------------------------------------------------------------------
@@ -244,13 +244,13 @@ def _(t):
 @query("ensemble_uncertainty")
 def _(t):
     train, test = split(t)
-    return models.ensemble_uncertainty(train, test.select("point_id", *FEATURES), FEATURES, "f2", trees=4, depth=4).select("point_id", "mean", "uncertainty")
+    return models.ensemble_uncertainty(train, test.select("point_id", *FEATURES), FEATURES, "f2").select("point_id", "mean", "uncertainty")
 
 
 @query("validity_model")
 def _(t):
     requested = validity_label(t.points, valid_points(t), FEATURES)
-    model = models.validity_model(requested, FEATURES, trees=10)
+    model = models.validity_model(requested, FEATURES)
     return models.score_column(model, models.assemble(requested, FEATURES), "p_valid").select("point_id", "is_valid", "p_valid")
 
 
@@ -269,7 +269,7 @@ def _(t):
 @query("active_batch")
 def _(t):
     requested = validity_label(t.points, valid_points(t), FEATURES)
-    return batches.active_batch(valid_points(t), requested, "point_id", FEATURES, "f2", batch=60, pool_size=min(20_000, t.points.count()), trees=4)
+    return batches.active_batch(valid_points(t), requested, "point_id", FEATURES, "f2", batch=1000, pool_size=100_000)
 
 
 @query("greedy_spread")
