@@ -1,4 +1,4 @@
-"""Nearest neighbours: exact through pivots, approximate through hashing, and fuzzy text."""
+"""Nearest neighbours: exact through pivots, approximate through hashing."""
 
 from __future__ import annotations
 
@@ -145,59 +145,3 @@ def knn_approx(
     )
     order = W.partitionBy("query_id").orderBy(F.round("distance", 9), "neighbour_id")
     return pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-
-
-# --- fuzzy text -------------------------------------------------------------------
-
-
-def _segment_start(length: Column, index: Column, parts: int) -> Column:
-    """0-based start of a segment when a text is cut evenly, the longer segments last."""
-    small = F.floor(length / parts)
-    longer = length - small * parts
-    return index * small + F.greatest(index - (parts - longer), F.lit(0))
-
-
-def fuzzy_topk_match(
-    base: DataFrame, queries: DataFrame, id_col: str, text: str, k: int = 5, most_edits: int = 6
-) -> DataFrame:
-    """The ``k`` most similar base texts per query among those within ``most_edits`` edits.
-
-    similarity = 1 - edits / longer length; ties by id.  A base text is cut into
-    most_edits + 1 segments; within the edit budget at least one of them occurs
-    unchanged near its place, so an equi-join on (length, segment) finds every
-    match without comparing all texts.  Equal texts are searched once.
-    """
-    parts = most_edits + 1
-    kept = W.partitionBy(text).orderBy(id_col)
-    base = base.select(id_col, text).withColumn("rn", F.row_number().over(kept)).where(f"rn <= {k}").drop("rn")
-    b_texts = base.select(F.col(text).alias("bt")).distinct()
-    q_texts = queries.select(F.col(text).alias("qt")).distinct()
-
-    segments = b_texts.withColumn("bl", F.length("bt").cast("long")).withColumn(
-        "seg", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long")))
-    )
-    start, stop = _segment_start(F.col("bl"), F.col("seg"), parts), _segment_start(F.col("bl"), F.col("seg") + 1, parts)
-    segments = segments.select("bt", "bl", "seg", F.substr("bt", start.cast("int") + 1, (stop - start).cast("int")).alias("piece"))
-
-    probes = q_texts.withColumn("ql", F.length("qt").cast("long")).withColumn(
-        "bl", F.explode(F.sequence(F.greatest(F.col("ql") - most_edits, F.lit(0).cast("long")), F.col("ql") + most_edits))
-    )
-    probes = probes.withColumn("seg", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
-    shift = F.col("ql") - F.col("bl")
-    start, stop = _segment_start(F.col("bl"), F.col("seg"), parts), _segment_start(F.col("bl"), F.col("seg") + 1, parts)
-    rest = most_edits - F.col("seg")
-    first = F.greatest(start - F.col("seg"), start + shift - rest, F.lit(0).cast("long"))
-    last = F.least(start + F.col("seg"), start + shift + rest, F.col("ql") - (stop - start))
-    probes = probes.withColumn("size", (stop - start).cast("int")).withColumns({"first": first, "last": last}).where("first <= last")
-    probes = probes.withColumn("at", F.explode(F.sequence("first", "last"))).select(
-        "qt", "bl", "seg", F.substr("qt", F.col("at").cast("int") + 1, F.col("size")).alias("piece")
-    )
-    pairs = probes.join(segments, ["bl", "seg", "piece"]).select("qt", "bt").distinct()
-    edits = F.levenshtein("qt", "bt", most_edits)
-    close = pairs.select("qt", "bt", edits.alias("edits")).where("edits >= 0")
-    close = close.withColumn("similarity", 1 - F.col("edits") / F.greatest(F.length("qt"), F.length("bt")))
-    hits = close.join(base.select(F.col(id_col).alias("match_id"), F.col(text).alias("bt")), "bt")
-    order = W.partitionBy("qt").orderBy(F.col("similarity").desc(), "match_id")
-    best = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    asked = queries.select(F.col(id_col).alias("query_id"), F.col(text).alias("qt"))
-    return asked.join(best, "qt").select("query_id", "match_id", "edits", "similarity", "rank")

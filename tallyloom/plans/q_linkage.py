@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyloom.operators import linkage, names, neighbours, text_features
+from tallyloom.operators import fuzzy, linkage, names, neighbours, text_features
 from tallyloom.plans.q_behaviour import END, NORM, days
 from tallyloom.plans.registry import query
 
@@ -210,12 +210,12 @@ FINGER = f"""fp AS (SELECT unique_id, concat_ws(' ', {', '.join(f"coalesce({LATI
 
 @query("fuzzy_topk_match", f"""WITH {FINGER}, q AS (SELECT * FROM fp WHERE unique_id % 3 = 2), b AS (SELECT * FROM fp WHERE unique_id % 3 <> 2),
  p AS (SELECT q.unique_id AS query_id, b.unique_id AS match_id, levenshtein(q.text, b.text) AS edits, 1 - levenshtein(q.text, b.text) / greatest(length(q.text), length(b.text)) AS similarity
- FROM q JOIN b ON abs(length(q.text) - length(b.text)) <= 6 WHERE levenshtein(q.text, b.text) <= 6),
+ FROM q CROSS JOIN b),
  r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, match_id) AS rank FROM p) SELECT query_id, match_id, edits, similarity, rank FROM r WHERE rank <= 5""", rounds="similarity", uses="persons")
 def _(t):
     parts = [F.coalesce(F.expr(LATIN.format(c=f"lower({c})")), F.lit("<nan>")) for c in ("name", "surname", "fathername", "birthdate", "inn", "passport")]
     prints = t.persons.select("unique_id", F.concat_ws(" ", *parts).alias("text"))
-    return neighbours.fuzzy_topk_match(prints.where("unique_id % 3 <> 2"), prints.where("unique_id % 3 = 2"), "unique_id", "text", 5, 6)
+    return fuzzy.fuzzy_topk_match(prints.where("unique_id % 3 <> 2"), prints.where("unique_id % 3 = 2"), "unique_id", "text", 5)
 
 
 # --- vectors ----------------------------------------------------------------------------------------

@@ -232,24 +232,6 @@ def test_nearest_neighbours_match_brute_force(spark):
         assert [got[i][k] for k in (1, 2, 3, 4)] == order
 
 
-def test_fuzzy_matches_equal_brute_force(spark):
-    rng = random.Random(6)
-    words = ["".join(rng.choice("abc") for _ in range(rng.randint(5, 12))) for _ in range(60)]
-    df = frame(spark, list(enumerate(words)), "id bigint, t string")
-    got = {(r["query_id"], r["match_id"]): r["edits"] for r in neighbours.fuzzy_topk_match(df, df, "id", "t", 60, 3).collect()}
-
-    def edits(a, b):
-        row = list(range(len(b) + 1))
-        for i, x in enumerate(a, 1):
-            last, row[0] = row[0], i
-            for j, y in enumerate(b, 1):
-                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
-        return row[-1]
-
-    want = {(i, j): d for i, a in enumerate(words) for j, b in enumerate(words) if (d := edits(a, b)) <= 3}
-    assert got == want
-
-
 def test_suggest_drops_finds_planted_columns(spark):
     rng = np.random.default_rng(5)
     n = 400
