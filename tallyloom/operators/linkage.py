@@ -169,12 +169,14 @@ def _exact_level(field: str) -> Column:
     return F.when(a.isNull() | b.isNull(), -1).when(a == b, 1).otherwise(0)
 
 
+def gamma(field: str) -> Column:
+    """Level of a field from its two sides."""
+    return _name_level(field) if field in NAME_FIELDS else _date_level(field) if field == "birthdate" else _exact_level(field)
+
+
 def compare_pairs(pairs: DataFrame) -> DataFrame:
     """Adds one ``gamma_<field>`` level per field."""
-    levels = {f: _name_level(f) for f in NAME_FIELDS}
-    levels["birthdate"] = _date_level()
-    levels |= {f: _exact_level(f) for f in ("passport", "inn", "gender")}
-    return pairs.select("*", *[levels[f].cast("int").alias(f"gamma_{f}") for f in FIELDS])
+    return pairs.select("*", *[gamma(f).cast("int").alias(f"gamma_{f}") for f in FIELDS])
 
 
 # --- training --------------------------------------------------------------------
@@ -289,6 +291,88 @@ def gamma_patterns(compared: DataFrame) -> DataFrame:
     return compared.groupBy(*[f"gamma_{f}" for f in FIELDS]).agg(F.count(F.lit(1)).alias("n"))
 
 
+# Fields nearly unique to a person: they agree or not, and their values would keep records from folding.
+KEY_FIELDS = ["passport", "inn"]
+
+
+def folded_patterns(records: DataFrame, rule: Sequence[str], block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(gamma levels but those of the key fields, ``both``, ``equal``, n): pairs of records that agree on the rule, counted without forming them.
+
+    Records of a block fold into kinds: equal values of all compared fields but the
+    key fields, and the same key fields present.  For every set of key fields, the
+    kinds with equal values there meet, and each two stand for n x n pairs of records.
+    ``both`` and ``equal`` are bits of the key fields: present on both sides, and known
+    to be equal; ``exact_patterns`` turns "known to be equal" into "equal, the others
+    differ".  So the work grows with the kinds of a block, not with its records.
+    """
+    keys = [f for f in KEY_FIELDS if f not in rule]
+    same = [f for f in FIELDS if f not in rule and f not in keys]
+    present = F.lit(0)
+    for i, f in enumerate(keys):
+        present = present + F.when(F.col(f).isNotNull(), 1 << i).otherwise(0)
+    sets = []
+    for chosen in range(1 << len(keys)):
+        own = [*rule, *[f for i, f in enumerate(keys) if chosen >> i & 1]]
+        known = F.lit(True)
+        for f in own:
+            known = known & F.col(f).isNotNull()
+        sets.append(F.when(known, F.struct(F.lit(chosen).alias("equal"), F.concat_ws("\u0001", *own).alias("key"))))
+    kinds = records.select(*same, present.alias("has"), F.explode(F.array_compact(F.array(*sets))).alias("b"))
+    kinds = kinds.groupBy("b.equal", "b.key", "has", *same).agg(F.count(F.lit(1)).cast("double").alias("n"))
+    kinds = kinds.withColumn("kind", F.to_json(F.struct("has", *same)))
+    sizes = kinds.groupBy("equal", "key").agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("rows")).where("rows > 1")
+    kinds = kinds.join(sizes.select("equal", "key", F.ceil(F.col("kinds") / block_rows).cast("int").alias("parts")), ["equal", "key"])
+    left = kinds.select(
+        "equal", "key", F.pmod(F.xxhash64("kind"), F.col("parts")).cast("int").alias("part"),
+        *[F.col(c).alias(f"{c}_l") for c in ("kind", "has", "n", *same)],
+    )
+    right = kinds.select(
+        "equal", "key", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+        *[F.col(c).alias(f"{c}_r") for c in ("kind", "has", "n", *same)],
+    )
+    met = left.join(right, ["equal", "key", "part"]).where("kind_l <= kind_r")
+    pairs = F.when(F.col("kind_l") == F.col("kind_r"), pairs_of("n_l")).otherwise(F.col("n_l") * F.col("n_r"))
+    met = met.withColumns({"both": F.col("has_l").bitwiseAND(F.col("has_r")), "pairs": pairs}).where("pairs > 0")
+    levels = [gamma(f).cast("int").alias(f"gamma_{f}") for f in same]
+    met = met.select("both", "equal", "pairs", *levels)
+    return met.groupBy("both", "equal", *[f"gamma_{f}" for f in same]).agg(F.sum("pairs").alias("n"))
+
+
+def exact_patterns(folded: Sequence[Mapping], rule: Sequence[str]) -> list[tuple[tuple[int, ...], int]]:
+    """Pairs per combination of levels, by inclusion and exclusion over the sets of key fields known to be equal."""
+    keys = [f for f in KEY_FIELDS if f not in rule]
+    same = [f for f in FIELDS if f not in rule and f not in keys]
+    at_least: dict[tuple, dict[int, float]] = {}
+    for r in folded:
+        at_least.setdefault((r["both"], *[r[f"gamma_{f}"] for f in same]), {})[r["equal"]] = r["n"]
+    out = []
+    for (both, *levels), counts in at_least.items():
+        for equal in range(both + 1):
+            if equal & ~both:
+                continue
+            more = [x for x in range(equal, both + 1) if x & equal == equal and not x & ~both]
+            n = round(sum((-1) ** (x ^ equal).bit_count() * counts.get(x, 0) for x in more))
+            if n:
+                own = dict(zip(same, levels)) | {f: LEVELS[f] - 1 for f in rule}
+                own |= {f: (1 if equal >> i & 1 else 0) if both >> i & 1 else -1 for i, f in enumerate(keys)}
+                out.append((tuple(own[f] for f in FIELDS), n))
+    return sorted(out)
+
+
+def training_patterns(records: DataFrame, rules: Sequence[Sequence[str]] = TRAINING_RULES) -> list[list[tuple[tuple[int, ...], int]]]:
+    """Per rule, the pairs that agree on it, counted by combination of levels; one short table reaches the driver."""
+    tables = []
+    for i, rule in enumerate(rules):
+        t = folded_patterns(records, rule)
+        missing = {f"gamma_{f}": F.lit(None).cast("int") for f in FIELDS if f"gamma_{f}" not in t.columns}
+        tables.append(t.withColumns({"rule": F.lit(i), **missing}))
+    whole = tables[0]
+    for t in tables[1:]:
+        whole = whole.unionByName(t)
+    rows = whole.collect()
+    return [exact_patterns([r for r in rows if r["rule"] == i], rule) for i, rule in enumerate(rules)]
+
+
 FLOOR = 1e-6
 
 
@@ -336,16 +420,13 @@ def em_match_rates(
     return m, share, likelihoods
 
 
-def train_weights(records: DataFrame, id_col: str = "unique_id") -> dict[str, list[float]]:
+def train_weights(records: DataFrame) -> dict[str, list[float]]:
     """log2(m / u) per field and level: u from all pairs, m as the mean over the training rules."""
     u: dict[str, list[float]] = {f: [FLOOR] * LEVELS[f] for f in FIELDS}
     for r in estimate_u(records).collect():  # fields x levels
         u[r["field"]][r["level"]] = max(r["share"], FLOOR)
     found: dict[str, list[list[float]]] = {f: [] for f in FIELDS}
-    for rule in TRAINING_RULES:
-        compared = compare_pairs(blocking_pairs(records, id_col, [rule]))
-        rows = gamma_patterns(compared).collect()  # one row per combination of levels
-        patterns = [(tuple(r[f"gamma_{f}"] for f in FIELDS), r["n"]) for r in rows]
+    for rule, patterns in zip(TRAINING_RULES, training_patterns(records)):
         if patterns:
             m, _, _ = em_match_rates(patterns, u, fixed=rule)
             for f, rates in m.items():
@@ -461,7 +542,7 @@ def dedup_persons(
     distinct, members = cut_lineage(distinct), cut_lineage(members)
     people = distinct.withColumnRenamed("pid", id_col)
     if weights is None:
-        weights = train_weights(people, id_col)
+        weights = train_weights(people)
     shares = {f: value_shares(distinct, f) for f in adjust}
     u_exact, boost = {}, 0.0
     for f in adjust:

@@ -138,6 +138,18 @@ def _(t):
     return linkage.estimate_u(records(t))
 
 
+TRAINED = "pairs AS (" + " UNION ALL ".join(
+    f"SELECT {i} AS rule, " + ", ".join(f"l.{f} AS {f}_l, r.{f} AS {f}_r" for f in linkage.FIELDS) + " FROM rec l JOIN rec r ON l.unique_id < r.unique_id AND " + " AND ".join(f"l.{f} = r.{f}" for f in rule)
+    for i, rule in enumerate(linkage.TRAINING_RULES)) + ")"
+
+
+@query("agreement_patterns", f"WITH {CLEAN}, {TRAINED}, {COMPARED} SELECT rule, {', '.join(GAMMAS)}, count(*) AS n FROM compared GROUP BY ALL", uses="persons")
+def _(t):
+    """Pairs of each training rule by their levels, counted without forming them."""
+    rows = [(i, *levels, n) for i, found in enumerate(linkage.training_patterns(records(t))) for levels, n in found]
+    return t.spark.createDataFrame(rows, "rule int, " + ", ".join(f"{g} int" for g in GAMMAS) + ", n long")
+
+
 @query("em_match_weights")
 def _(t):
     weights = linkage.train_weights(records(t))
