@@ -90,10 +90,22 @@ def blocking_pairs(
         keys.append(F.when(present, F.struct(F.lit(i).alias("rule"), F.concat_ws("\u0001", *rule).alias("key"))))
     keyed = records.withColumn("b", F.explode(F.filter(F.array(*keys), lambda x: x.isNotNull())))
     keyed = keyed.select(id_col, *fields, "b.rule", "b.key")
+    pairs = _meet(keyed, id_col, fields, block_rows)
+    earlier = F.lit(False)
+    for i, rule in enumerate(rules):
+        agrees = F.lit(True)
+        for f in rule:
+            agrees = agrees & (F.col(f"{f}_l") == F.col(f"{f}_r"))
+        earlier = earlier | ((F.col("rule") > i) & F.coalesce(agrees, F.lit(False)))
+    return pairs.where(~earlier)
+
+
+def _meet(keyed: DataFrame, id_col: str, fields: Sequence[str], block_rows: int) -> DataFrame:
+    """Pairs of records with equal (rule, key), the smaller id on the left; large blocks are cut on the left and repeated on the right."""
     sizes = keyed.groupBy("rule", "key").agg(F.count(F.lit(1)).alias("n"))
-    # Blocks above the limit: at most rows / limit of them.
+    # Blocks above the limit: at most rows / limit of them, so the planner decides how to join them.
     large = sizes.where(F.col("n") > block_rows).select("rule", "key", F.ceil(F.col("n") / block_rows).cast("int").alias("parts"))
-    keyed = keyed.join(F.broadcast(large), ["rule", "key"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    keyed = keyed.join(large, ["rule", "key"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     left = keyed.select(
         "rule", "key", F.pmod(F.xxhash64(id_col), F.col("parts")).cast("int").alias("part"),
         F.col(id_col).alias("id_l"), *[F.col(f).alias(f"{f}_l") for f in fields],
@@ -102,21 +114,14 @@ def blocking_pairs(
         "rule", "key", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
         F.col(id_col).alias("id_r"), *[F.col(f).alias(f"{f}_r") for f in fields],
     )
-    pairs = left.join(right, ["rule", "key", "part"]).where("id_l < id_r")
-    earlier = F.lit(False)
-    for i, rule in enumerate(rules):
-        agrees = F.lit(True)
-        for f in rule:
-            agrees = agrees & (F.col(f"{f}_l") == F.col(f"{f}_r"))
-        earlier = earlier | ((F.col("rule") > i) & F.coalesce(agrees, F.lit(False)))
-    return pairs.where(~earlier).drop("key", "part")
+    return left.join(right, ["rule", "key", "part"]).where("id_l < id_r").drop("key", "part")
 
 
-def passing_rules(rules: Sequence[Sequence[str]], weights: Mapping[str, Sequence[float]], needed: float, boost: float = 0.0) -> list[tuple[str, ...]]:
+def passing_rules(rules: Sequence[Sequence[str]], weights: Mapping[str, Sequence[float]], needed: float) -> list[tuple[str, ...]]:
     """Stricter rules that still yield every pair able to reach ``needed``.
 
     For a set of exactly agreeing fields the largest possible weight is the sum
-    of their exact weights (plus ``boost`` for rare names) and the best other
+    of their exact weights and the best other
     level of the rest.  The minimal sets that contain a rule and can reach the
     threshold replace the rule: all pairs of a common name are never formed when
     a common name alone cannot decide a match.
@@ -128,11 +133,67 @@ def passing_rules(rules: Sequence[Sequence[str]], weights: Mapping[str, Sequence
             if not any(set(r) <= set(chosen) for r in rules) or any(set(k) <= set(chosen) for k in kept):
                 continue
             most = sum(max(weights[f][1:]) if f in chosen else max(0.0, *weights[f][:-1]) for f in fields)
-            if most + boost >= needed:
+            if most >= needed:
                 kept.append(chosen)
     return kept
 
 
+SLACK = 1e-9  # covers rounding in sums of weights
+
+
+def promising_pairs(
+    records: DataFrame, weights: Mapping[str, Sequence[float]], needed: float, shares: Mapping[str, DataFrame], u_exact: Mapping[str, float],
+    id_col: str = "unique_id", block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """The pairs that agree on a blocking rule and can reach ``needed``, each once, where rare values weigh more.
+
+    A pair that agrees on exactly a set of fields weighs at most their exact weights,
+    adjusted by the shares of its own values, plus the best other level of the rest.
+    A record therefore enters only the smallest sets that its own values let reach
+    ``needed``: a common name pairs with nothing that a rare one may decide, at any size of the table.
+    Both records of a pair have the same values on the set, so they enter it together.
+    """
+    place = {f: 1 << i for i, f in enumerate(FIELDS)}
+    rest = {f: max(0.0, *weights[f][:-1]) for f in FIELDS}
+    rated = records
+    for f, table in shares.items():
+        own = table.select(F.col("value").alias(f), F.log2(F.lit(u_exact[f]) / F.col("share")).alias(f"__more_{f}"))
+        rated = rated.join(own, f, "left")
+    chosen: list[tuple[int, Column]] = []
+    sure: list[int] = []  # sets that reach the threshold whatever the values
+    for size in range(1, len(FIELDS) + 1):
+        for fields in combinations(FIELDS, size):
+            mask = sum(place[f] for f in fields)
+            if not any(set(r) <= set(fields) for r in RULES) or any(m & mask == m for m in sure):
+                continue
+            bound = sum(weights[f][-1] if f in fields else rest[f] for f in FIELDS)
+            adjusted = [f for f in fields if f in shares]
+            if not adjusted and bound < needed - SLACK:
+                continue
+            if not adjusted:
+                sure.append(mask)
+            ok = F.lit(bound)
+            for f in adjusted:
+                ok = ok + F.coalesce(f"__more_{f}", F.lit(0.0))
+            ok = ok >= needed - SLACK
+            for f in fields:
+                ok = ok & F.col(f).isNotNull()
+            chosen.append((mask, F.when(ok, F.struct(F.lit(mask).alias("rule"), F.concat_ws("\u0001", *fields).alias("key")))))
+    if not chosen:
+        chosen = [(0, F.lit(None).cast("struct<rule:int,key:string>"))]
+    able = rated.withColumn("__able", F.array_compact(F.array(*[c for _, c in chosen])))
+    smallest = F.filter("__able", lambda x: ~F.exists("__able", lambda y: (y["rule"] != x["rule"]) & (y["rule"].bitwiseAND(x["rule"]) == y["rule"])))
+    entered = able.withColumn("__sets", smallest).withColumn("b", F.explode("__sets"))
+    keyed = entered.select(id_col, *FIELDS, F.col("__sets.rule").alias("sets"), "b.rule", "b.key")
+    pairs = _meet(keyed, id_col, [*FIELDS, "sets"], block_rows)
+    agree = F.lit(0)
+    for f in FIELDS:
+        agree = agree + F.when(F.col(f"{f}_l") == F.col(f"{f}_r"), place[f]).otherwise(0)
+    pairs = pairs.withColumn("agree", agree)
+    earlier = F.exists("sets_l", lambda m: (m < F.col("rule")) & (m.bitwiseAND(F.col("agree")) == m))
+    return pairs.where(~earlier).drop("sets_l", "sets_r", "agree")
+
+
 def weight_needed(threshold: float, prior: float) -> float:
     """Sum of field weights (log2) at which the match probability reaches ``threshold``."""
     return math.log2(threshold / (1 - threshold)) - math.log2(prior / (1 - prior))
@@ -544,18 +605,9 @@ def dedup_persons(
     if weights is None:
         weights = train_weights(people)
     shares = {f: value_shares(distinct, f) for f in adjust}
-    u_exact, boost = {}, 0.0
-    for f in adjust:
-        s = shares[f].agg(F.sum(F.col("share") * F.col("share")), F.min("share")).first()
-        u_exact[f] = s[0] or 1.0
-        boost += max(0.0, math.log2(u_exact[f] / s[1])) if s[1] else 0.0
-    rules = passing_rules(RULES, weights, weight_needed(threshold, prior), boost)
-    none = full.select(F.col(id_col).alias("id_l"), F.col(id_col).alias("id_r"), F.lit(0.0).alias("match_probability")).limit(0)
-    if rules:
-        compared = compare_pairs(blocking_pairs(people, id_col, rules))
-        scored = score_pairs(compared, weights, prior, shares, u_exact).select("id_l", "id_r", "match_probability")
-    else:
-        scored = none
+    u_exact = {f: shares[f].agg(F.sum(F.col("share") * F.col("share"))).first()[0] or 1.0 for f in adjust}
+    compared = compare_pairs(promising_pairs(people, weights, weight_needed(threshold, prior), shares, u_exact, id_col))
+    scored = score_pairs(compared, weights, prior, shares, u_exact).select("id_l", "id_r", "match_probability")
     # A profile with copies, compared with itself.
     twins = distinct.where("copies > 1").select("pid", *[F.col(f).alias(f"{f}_l") for f in FIELDS], *[F.col(f).alias(f"{f}_r") for f in FIELDS])
     blocked = F.lit(False)

@@ -53,3 +53,29 @@ def test_a_hot_block_costs_its_kinds_only(spark):
 
 def test_no_rows(spark):
     assert linkage.training_patterns(spark.createDataFrame([], SCHEMA)) == [[] for _ in linkage.TRAINING_RULES]
+
+
+def scored(pairs, weights, shares, u):
+    rows = linkage.score_pairs(linkage.compare_pairs(pairs), weights, 0.001, shares, u).where("match_weight >= 3").collect()
+    found = [(r["id_l"], r["id_r"], round(r["match_weight"], 9)) for r in rows]
+    assert len(found) == len(set(found))
+    return set(found)
+
+
+@pytest.mark.parametrize("name_weight", [4.0, 1.0])
+def test_promising_pairs_lose_no_match(spark, name_weight):
+    """Against all pairs of the blocking rules, with rare and common names; fewer pairs are formed."""
+    weights = {
+        "surname": [-4.0, -1.0, 1.5, 3.0, name_weight], "name": [-3.0, -1.0, 1.0, 2.0, 3.0], "fathername": [-3.0, -0.5, 0.5, 1.5, 2.5],
+        "birthdate": [-5.0, -2.0, 0.5, 3.0, 6.0], "passport": [-6.0, 12.0], "inn": [-6.0, 11.0], "gender": [-3.0, 1.0],
+    }
+    rare = [(1000 + i, "rarov", "zoya", None, "1970-01-01", None, None, "f") for i in range(3)]
+    frame = spark.createDataFrame(people(120, 9) + rare, SCHEMA).cache()
+    shares = {f: linkage.value_shares(frame, f) for f in ("surname", "name")}
+    u = {f: sum(r["share"] ** 2 for r in shares[f].collect()) for f in shares}
+    needed = 3 - linkage.math.log2(0.001 / 0.999)
+    few, whole = linkage.promising_pairs(frame, weights, needed, shares, u, block_rows=16).cache(), linkage.blocking_pairs(frame)
+    assert scored(few, weights, shares, u) == scored(whole, weights, shares, u) != set()
+    assert few.count() < whole.count()
+    nothing = linkage.promising_pairs(frame, weights, 1000.0, shares, u)
+    assert nothing.count() == 0 and set(nothing.columns) == set(whole.columns)
