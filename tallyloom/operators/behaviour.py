@@ -491,21 +491,31 @@ def trend_spans(end: str) -> dict[str, tuple[date, date]]:
 TREND_ACTIONS = {"click_count": "click", "to_cart_count": "to_cart", "favorite_count": "favorite", "order_count": "order"}
 
 
+def _by_window(log: DataFrame, value: str, spans: dict[str, tuple[date, date]], rows: str, distinct: str, kinds: dict[str, str]) -> DataFrame:
+    """Per user and window: rows, rows of each kind of action, different values (a missing one counts as a value).
+
+    One row per user and value first, with a bit for each window the value falls in, so distinct
+    counts need no copy of the rows; all null where the user has no row in the window.
+    """
+    inside = {s: between_days(F.col("ts"), *days) for s, days in spans.items()}
+    bits = F.lit(0)
+    for i, within in enumerate(inside.values()):
+        bits = bits + F.when(within, 1 << i).otherwise(0)
+    sums = {f"{rows}_{s}": F.count_if(within) for s, within in inside.items()}
+    sums |= {f"{stem}_{s}": F.count_if(within & (F.col("action_type") == kind)) for s, within in inside.items() for stem, kind in kinds.items()}
+    each = log.groupBy(USER, value).agg(F.bit_or(bits).alias("__bits"), *[c.alias(n) for n, c in sums.items()])
+    out = []
+    for i, s in enumerate(spans):
+        some = F.sum(f"{rows}_{s}") > 0
+        out += [F.when(some, F.sum(f"{n}_{s}")).alias(f"{n}_{s}") for n in (rows, *kinds)]
+        out.append(F.when(some, F.count_if(F.col("__bits").bitwiseAND(1 << i) > 0)).alias(f"{distinct}_{s}"))
+    return each.groupBy(USER).agg(*out)
+
+
 def trend_windows(actions: DataFrame, end: str) -> DataFrame:
     """Counts per window in one pass; all null where the user has no row in the window."""
-    aggs = []
-    for suffix, (first, last) in trend_spans(end).items():
-        inside = between_days(F.col("ts"), first, last)
-        rows = F.count_if(inside)
-        aggs.append(F.when(rows > 0, rows).alias(f"actions_count_{suffix}"))
-        for stem, kind in TREND_ACTIONS.items():
-            aggs.append(
-                F.when(rows > 0, F.count_if(inside & (F.col("action_type") == kind))).alias(f"{stem}_{suffix}")
-            )
-        products = F.count_distinct(F.when(inside, F.col("product_id")))
-        missing = F.max((inside & F.col("product_id").isNull()).cast("int"))
-        aggs.append(F.when(rows > 0, products + missing).alias(f"unique_products_{suffix}"))
-    return actions.where(lookback(F.col("ts"), end, 60)).groupBy(USER).agg(*aggs)
+    log = actions.where(lookback(F.col("ts"), end, 60))
+    return _by_window(log, "product_id", trend_spans(end), "actions_count", "unique_products", TREND_ACTIONS)
 
 
 def _delta(stem: str, out: str, span: str, ratio: bool = True) -> dict[str, Column]:
@@ -529,28 +539,13 @@ def trend_delta_ratio(windows: DataFrame) -> DataFrame:
 
 
 def search_trend(searches: DataFrame, end: str) -> DataFrame:
-    aggs = []
-    for suffix in ("last_7d", "prev_7d"):
-        first, last = trend_spans(end)[suffix]
-        inside = between_days(F.col("ts"), first, last)
-        rows = F.count_if(inside)
-        texts = F.count_distinct(F.when(inside, F.col("search_query")))
-        missing = F.max((inside & F.col("search_query").isNull()).cast("int"))
-        aggs += [
-            F.when(rows > 0, rows).alias(f"search_count_{suffix}"),
-            F.when(rows > 0, texts + missing).alias(f"unique_searches_{suffix}"),
-        ]
-    spans = trend_spans(end)
+    spans = {s: trend_spans(end)[s] for s in ("last_7d", "prev_7d")}
     log = searches.where(between_days(F.col("ts"), spans["prev_7d"][0], spans["last_7d"][1]))
-    return (
-        log.groupBy(USER)
-        .agg(*aggs)
-        .withColumns(
-            {
-                **_delta("search_count", "search", "7d"),
-                **_delta("unique_searches", "unique_searches", "7d", ratio=False),
-            }
-        )
+    return _by_window(log, "search_query", spans, "search_count", "unique_searches", {}).withColumns(
+        {
+            **_delta("search_count", "search", "7d"),
+            **_delta("unique_searches", "unique_searches", "7d", ratio=False),
+        }
     )
 
 

@@ -24,7 +24,7 @@ def _checkpoint_dir(spark: SparkSession) -> None:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         context.setCheckpointDir(shared)
-    elif context.master.startswith("local"):
+    elif context.master == "local" or context.master.startswith("local["):  # one process: any folder is shared
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tallyloom-checkpoint-"))
     else:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
