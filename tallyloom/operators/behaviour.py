@@ -621,13 +621,19 @@ def loyalty(events: DataFrame, key: str, names: dict[str, str]) -> DataFrame:
     counts = events.where(F.col(key).isNotNull() & (F.col(key).cast("string") != "")).groupBy(USER, key).agg(
         F.count(F.lit(1)).alias("__c")
     )
+    return loyalty_of(counts, "__c", names)
+
+
+def loyalty_of(counts: DataFrame, count: str, names: dict[str, str], more: Sequence[Column] = ()) -> DataFrame:
+    """Repeat statistics from one row per user and value; ``more`` aggregates come along."""
     return (
         counts.groupBy(USER)
         .agg(
             F.count(F.lit(1)).alias(names["unique"]),
-            F.sum("__c").alias(names["total"]),
-            F.count_if(F.col("__c") > 1).alias(names["repeats"]),
-            F.max("__c").alias(names["favorite"]),
+            F.sum(count).alias(names["total"]),
+            F.count_if(F.col(count) > 1).alias(names["repeats"]),
+            F.max(count).alias(names["favorite"]),
+            *more,
         )
         .withColumns(
             {
@@ -683,11 +689,16 @@ def widget_basic(actions: DataFrame, end: str) -> DataFrame:
     per = log.groupBy(USER, "widget_name_id").agg(
         F.count(F.lit(1)).alias("__c"), F.max(place).alias("__place")
     )
+    return widget_basic_of(per, "__c")
+
+
+def widget_basic_of(per: DataFrame, count: str) -> DataFrame:
+    """The same from one row per user and widget with its ``count`` and last ``__place``."""
     known = F.col("widget_name_id").isNotNull()
     return per.groupBy(USER).agg(
-        F.sum("__c").alias("widget_events_30d"),
+        F.sum(count).alias("widget_events_30d"),
         F.count(F.lit(1)).alias("unique_widgets_30d"),
-        F.max_by("widget_name_id", F.when(known, F.struct("__c", -F.col("widget_name_id")))).alias("favorite_widget_name_id"),
+        F.max_by("widget_name_id", F.when(known, F.struct(count, -F.col("widget_name_id")))).alias("favorite_widget_name_id"),
         F.max_by("widget_name_id", "__place").alias("last_widget_name_id"),
     )
 
@@ -756,51 +767,3 @@ def sort_columns(df: DataFrame) -> DataFrame:
 
 
 CATEGORICAL = ["last_action", "last_2_action", "last_3_action", "last_3_actions_str"]
-
-
-def user_feature_table(
-    actions: DataFrame,
-    searches: DataFrame,
-    products: DataFrame,
-    feature_end: str,
-    target: tuple[str, str] | None = None,
-    users: DataFrame | None = None,
-    keywords: Sequence[str] = PRODUCT_KEYWORDS,
-    include: Sequence[str] = ("intent", "search", "price", "trend", "conversion", "loyalty", "widget"),
-    extra_blocks: dict[str, DataFrame] | None = None,
-) -> DataFrame:
-    """One wide row per labelled (or given) user."""
-    spine = user_spine(target_label(actions, *target) if target else None, users)
-    build = {
-        "intent": lambda: intent_features(actions, feature_end),
-        "search": lambda: search_features(searches, feature_end, keywords),
-        "price": lambda: category_features(actions, products, feature_end),
-        "trend": lambda: trend_features(actions, searches, feature_end),
-        "conversion": lambda: search_conversion(searches, actions, feature_end),
-        "loyalty": lambda: loyalty_features(actions, products, feature_end),
-        "widget": lambda: widget_features(actions, feature_end),
-    }
-    blocks = {
-        "basic": action_basic_features(actions, products, feature_end),
-        "search_basic": search_basic_features(searches, feature_end),
-        **{name: build[name]() for name in include},
-        **(extra_blocks or {}),
-    }
-    return assemble_blocks(spine, blocks, categorical=CATEGORICAL)
-
-
-def temporal_datasets(
-    actions: DataFrame, searches: DataFrame, products: DataFrame, splits: dict[str, tuple[str, tuple[str, str] | None]],
-    users: DataFrame | None = None, **options,
-) -> DataFrame:
-    """The same table for several (feature date, label window) pairs, stacked with a ``split`` column.
-
-    A split without a label window is built for ``users`` and has a null target.
-    """
-    out = None
-    for name, (end, target) in splits.items():
-        part = user_feature_table(
-            actions, searches, products, end, target, None if target else users, **options
-        ).withColumn("split", F.lit(name))
-        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    return out

@@ -38,16 +38,24 @@ def weigh(
     Of the terms within the document-frequency limits the ``max_features`` with
     the largest corpus counts stay (ties by term).
     """
+    words = vocabulary(counts, n_docs, min_df, max_df, max_features)
+    return weights_of(counts, doc, words, sublinear, max_features is not None and max_features <= 100_000)
+
+
+def vocabulary(counts: DataFrame, n_docs: int, min_df: int = 1, max_df: float = 1.0, max_features: int | None = None) -> DataFrame:
+    """(term, idf) of the terms that stay."""
     stats = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
-    vocabulary = stats.where((F.col("df") >= min_df) & (F.col("df") <= max_df * n_docs))
+    words = stats.where((F.col("df") >= min_df) & (F.col("df") <= max_df * n_docs))
     if max_features is not None:
-        vocabulary = vocabulary.orderBy(F.col("total").desc(), "term").limit(max_features)
+        words = words.orderBy(F.col("total").desc(), "term").limit(max_features)
     idf = F.log(F.lit(1.0 + n_docs) / (1 + F.col("df"))) + 1
-    vocabulary = vocabulary.select("term", idf.alias("idf"))
-    if max_features is not None and max_features <= 100_000:
-        vocabulary = F.broadcast(vocabulary)  # at most max_features short rows
+    return words.select("term", idf.alias("idf"))
+
+
+def weights_of(counts: DataFrame, doc: str, words: DataFrame, sublinear: bool, few: bool) -> DataFrame:
+    """(doc, term, weight), rows scaled to length 1; ``few``: at most 100,000 short rows of words, which are broadcast."""
     tf = 1 + F.log("tf") if sublinear else F.col("tf")
-    raw = counts.join(vocabulary, "term").select(doc, "term", (tf * F.col("idf")).alias("w"))
+    raw = counts.join(F.broadcast(words) if few else words, "term").select(doc, "term", (tf * F.col("idf")).alias("w"))
     # A document has at most one row per vocabulary term.
     return raw.withColumn("weight", F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(W.partitionBy(doc)))).drop("w")
 
@@ -59,7 +67,7 @@ def char_tfidf(docs: DataFrame, doc: str, text: str, max_features: int = 100_000
     return weigh(counts, doc, docs.count(), max_features=max_features)
 
 
-def user_word_counts(searches: DataFrame, end: str, days: int = 30) -> tuple[DataFrame, int]:
+def user_word_counts(searches: DataFrame, end: str, days: int = 30, count_users: bool = True) -> tuple[DataFrame, int | None]:
     """(user_id, term, tf) over word 1- and 2-grams of a user's joined queries, and the number of users.
 
     Bigrams across two consecutive queries come from the queries' last and first
@@ -68,7 +76,7 @@ def user_word_counts(searches: DataFrame, end: str, days: int = 30) -> tuple[Dat
     rows = searches.where(lookback(F.col("ts"), end, days)).select(
         "user_id", "ts", "search_id", normalize_query(F.col("search_query")).alias("q")
     )
-    users = rows.select("user_id").distinct().count()
+    users = rows.select("user_id").distinct().count() if count_users else None
     words = rows.withColumn("words", F.filter(F.split("q", " "), lambda x: F.length(x) >= 2)).where(F.size("words") > 0)
     ends = words.select(
         "user_id", "ts", "search_id", F.element_at("words", 1).alias("head"), F.element_at("words", -1).alias("tail")
@@ -176,8 +184,49 @@ class TextSvd:
         return docs.mapInPandas(project, f"{doc} {kind}, {name} array<double>")
 
 
+class TextModel:
+    """Terms, their weights and their vectors, learnt from one period and applied to any other.
+
+    ``table`` holds one row per term (term, idf, vector): at most ``max_features`` rows, so it is broadcast.
+    """
+
+    def __init__(self, table: DataFrame, days: int = 30):
+        self.table, self.days = table, days
+        self.width = len(table.select("vector").first()[0]) if table.head(1) else 0
+
+    @classmethod
+    def fit(
+        cls, searches: DataFrame, end: str, components: int = 8, days: int = 30, min_df: int = 5, max_df: float = 0.8, max_features: int = 5000
+    ) -> "TextModel":
+        counts, users = user_word_counts(searches, end, days)
+        counts = cut_lineage(counts)
+        words = cut_lineage(vocabulary(counts, users, min_df, max_df, max_features))
+        weights = cut_lineage(weights_of(counts, "user_id", words, True, True))
+        if not weights.head(1):
+            return cls(words.select("term", "idf", F.array().cast("array<double>").alias("vector")), days)
+        svd = TextSvd(components).fit(weights, "user_id")
+        rows = [(t, [float(x) for x in v]) for t, v in zip(svd.terms, svd.vectors)]  # one row per term of the vocabulary
+        vectors = searches.sparkSession.createDataFrame(rows, "term string, vector array<double>")
+        return cls(words.join(F.broadcast(vectors), "term").select("term", "idf", "vector"), days)
+
+    def write(self, path: str) -> None:
+        self.table.write.mode("overwrite").parquet(path)
+
+    @classmethod
+    def read(cls, spark, path: str, days: int = 30) -> "TextModel":
+        return cls(spark.read.parquet(path), days)
+
+    def components(self, searches: DataFrame, end: str) -> DataFrame:
+        """Feature block: one column per component; users without a known term have no row."""
+        counts, _ = user_word_counts(searches, end, self.days, count_users=False)
+        w = (1 + F.log("tf")) * F.col("idf")
+        known = counts.join(F.broadcast(self.table), "term").select("user_id", w.alias("w"), "vector")
+        length = F.sqrt(F.sum(F.col("w") * F.col("w")))
+        return known.groupBy("user_id").agg(
+            *[(F.sum(F.col("w") * F.col("vector")[i]) / length).alias(f"search_tfidf_svd_{i:02d}") for i in range(self.width)]
+        )
+
+
 def search_svd_block(searches: DataFrame, end: str, components: int = 8) -> DataFrame:
     """Feature block: one column per component of the users' query texts."""
-    weights = word_tfidf(searches, end)
-    vectors = TextSvd(components).fit(weights, "user_id").transform(weights, "user_id")
-    return vectors.select("user_id", *[F.col("svd")[i].alias(f"search_tfidf_svd_{i:02d}") for i in range(components)])
+    return TextModel.fit(searches, end, components).components(searches, end)

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import text as tx
 from tallyloom.operators import behaviour as b
+from tallyloom.operators import user_table as ut
+from tallyloom.operators.text_features import TextModel
 from tallyloom.plans.registry import query
 
 END = "2024-01-20"
@@ -472,7 +474,7 @@ def _without_shares(df):
 
 
 def wide_table(t):
-    return b.user_feature_table(t.actions, t.searches, t.products, END, target=TARGET, keywords=KEYWORDS)
+    return ut.user_feature_table(t.actions, t.searches, t.products, END, target=TARGET, keywords=KEYWORDS)
 
 
 @query("user_feature_table", f"WITH {ALL_CTE} {WIDE_SELECT}", rounds=ALL_DOUBLES, uses="actions searches products")
@@ -517,24 +519,27 @@ SPLITS = {
 
 
 def _split_sql() -> str:
+    """The wide table's SQL at each feature date, with the split's own spine."""
     parts = []
     for name, (end, target) in SPLITS.items():
         spine = (
             f"SELECT user_id, max(CASE WHEN action_type = 'order' THEN 1 ELSE 0 END) AS target FROM actions WHERE cast(ts AS date) BETWEEN DATE '{target[0]}' AND DATE '{target[1]}' GROUP BY user_id"
             if target else "SELECT DISTINCT user_id, NULL::INTEGER AS target FROM actions"
         )
-        cells = ", ".join(
-            f"cast(count(product_id) FILTER (WHERE action_type = '{a}') AS int) AS num_products_{a}, count(*) FILTER (WHERE action_type = '{a}') AS rows_{a}" for a in b.BASIC_ACTIONS
-        )
-        out = ", ".join(f"CASE WHEN rows_{a} > 0 THEN num_products_{a} END AS num_products_{a}" for a in b.BASIC_ACTIONS)
-        parts.append(f"""SELECT s.user_id, target, '{name}' AS split, {out} FROM ({spine}) s LEFT JOIN
- (SELECT user_id, {cells} FROM actions WHERE {days('ts', 120, end)} GROUP BY user_id) g ON s.user_id = g.user_id""")
+        blocks = ALL_CTE.replace(TARGET_SQL, "SELECT * FROM spine").replace(f"DATE '{END}'", f"DATE '{end}'")
+        parts.append(f"SELECT *, '{name}' AS split FROM (WITH spine AS ({spine}), {blocks} {WIDE_SELECT})")
     return " UNION ALL ".join(parts)
 
 
-@query("temporal_datasets", _split_sql(), uses="actions")
+@query("temporal_datasets", _split_sql(), rounds=ALL_DOUBLES, digits=7, uses="actions searches products")
 def _(t):
-    out = b.temporal_datasets(
-        t.actions, t.searches, t.products, SPLITS, users=t.actions.select("user_id").distinct(), include=("intent",)
-    )
-    return out.select("user_id", "target", "split", *[f"num_products_{a}" for a in b.BASIC_ACTIONS])
+    users = t.actions.select("user_id").distinct()
+    return _without_shares(ut.temporal_datasets(t.actions, t.searches, t.products, SPLITS, users=users, keywords=KEYWORDS))
+
+
+@query("text_components")
+def _(t):
+    """Components of every split's texts under the vocabulary and vectors of the first; a test holds them against a dense SVD."""
+    model = TextModel.fit(t.searches, SPLITS["train"][0])
+    parts = [model.components(t.searches, end).withColumn("split", F.lit(name)) for name, (end, _) in SPLITS.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
