@@ -531,7 +531,7 @@ def _split_sql() -> str:
     return " UNION ALL ".join(parts)
 
 
-@query("temporal_datasets", _split_sql(), rounds=ALL_DOUBLES, digits=7, uses="actions searches products")
+@query("temporal_datasets", _split_sql(), rounds=ALL_DOUBLES, shift=0.0000000317, uses="actions searches products")
 def _(t):
     users = t.actions.select("user_id").distinct()
     return _without_shares(ut.temporal_datasets(t.actions, t.searches, t.products, SPLITS, users=users, keywords=KEYWORDS))
