@@ -1,5 +1,9 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables, extra columns; hot cells, faults, pruning."""
 
+import bisect
+import re
+import time
+
 import numpy as np
 import public_tokenizers
 import pytest
@@ -334,3 +338,28 @@ def test_letters_of_languages(llm):
     odd = ["½ ² ①", "Ⅷ", "12 34", "́ ́", "_", "", "हिन्दी", "sentence Ⅷ"]
     got = [model.predict(t, {}) for t in odd]
     assert [g[0] for g in got] == ["und"] * 6 + ["hi", "en"] and all(0 <= g[1] <= 1 for g in got)
+
+
+def test_secrets_of_one_long_text_cost_little_and_equal_a_plain_sweep(llm):
+    """Thousands of logins and passwords in one text: the join looks into few runs, and loses none."""
+    parts = [f"user=name{i} {'x ' * (i % 150)}password=abc{i:06d} https://h{i}.example/{'y ' * (i % 190)}" for i in range(9000)]
+    text = "\n".join(parts)
+    assert len(text) > 1_000_000
+    rows = secrets.with_secrets(llm.createDataFrame([(1, text)], "doc_id long, text string"))
+    began = time.monotonic()
+    found = [(s.start, s.rank, s.end) for s in rows.collect()[0].secrets]
+    took = time.monotonic() - began
+    strong = [(m.start(), 0, m.end()) for m in re.finditer(r"password=abc\d{6}", text)]
+    logins = [(m.start(), 4, m.end()) for m in re.finditer(r"user=name\d+", text)]
+    addresses = [(m.start(), 5, m.end()) for m in re.finditer(r"https://\S+", text)]
+
+    def close(span, starts, others):
+        i = bisect.bisect_left(starts, span[0] - secrets.SCOPE - 100)
+        near = [o for o in others[i : i + 40] if o[0] <= span[2] + secrets.SCOPE and span[0] <= o[2] + secrets.SCOPE]
+        return bool(near)
+
+    with_secret = [s for s in logins if close(s, [o[0] for o in strong], strong)]
+    named = [s for s in addresses if close(s, [o[0] for o in logins], logins) and close(s, [o[0] for o in strong], strong)]
+    assert 0 < len(with_secret) < len(logins)
+    assert found == sorted(strong + with_secret + named)
+    assert took < 20
