@@ -126,22 +126,127 @@ def knn_exact(
     return members.join(best, "qid").select("query_id", F.col("bid").alias("neighbour_id"), "distance", "rank")
 
 
+class SplitTrees:
+    """Binary trees of planes between sample points, halving the sample at each node; leaves are buckets of the index."""
+
+    def __init__(self, sample: np.ndarray, depth: int, trees: int, seed: int):
+        rng = np.random.default_rng(seed)
+        self.depth = depth
+        self.planes, self.cuts = [], []
+        for _ in range(trees):
+            planes, cuts = np.zeros((2**depth, sample.shape[1])), np.zeros(2**depth)
+            at = np.ones(len(sample), dtype="int64")  # the root is node 1, children of n are 2n and 2n + 1
+            for node in range(1, 2**depth):
+                own = sample[at == node]
+                if len(own) > 1:
+                    a, b = own[rng.choice(len(own), 2, replace=False)]
+                    planes[node] = (a - b) / (np.linalg.norm(a - b) or 1.0)
+                    cuts[node] = np.median(own @ planes[node])
+                    at[at == node] = 2 * node + (own @ planes[node] > cuts[node])
+            self.planes.append(planes)
+            self.cuts.append(cuts)
+
+    def _descend(self, v: np.ndarray, tree: int, node: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+        """The leaf of each vector from its node at a level on, and its distance to each plane of the way."""
+        margins = np.full((len(v), self.depth), np.inf)
+        for step in range(level, self.depth):
+            gap = np.einsum("ij,ij->i", v, self.planes[tree][node]) - self.cuts[tree][node]
+            margins[:, step] = np.abs(gap)
+            node = 2 * node + (gap > 0)
+        return node, margins
+
+    def leaves(self, v: np.ndarray, tree: int, probes: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(rows, leaves): the own leaf of each vector, then those beyond its nearest planes, one plane at a time."""
+        rows = np.arange(len(v))
+        own, margins = self._descend(v, tree, np.ones(len(v), dtype="int64"), 0)
+        yield rows, own
+        nearest = np.argsort(margins, axis=1)
+        for p in range(min(probes - 1, self.depth)):
+            for level in range(self.depth):
+                some = rows[nearest[:, p] == level]
+                if len(some):
+                    other = (own[some] >> (self.depth - level - 1)) ^ 1
+                    yield some, self._descend(v[some], tree, other, level + 1)[0]
+
+
 def knn_approx(
-    base: DataFrame, queries: DataFrame, id_col: str, vector: str, k: int, radius: float, tables: int = 4, bucket: float = 1.0, seed: int = 7
+    base: DataFrame, queries: DataFrame, id_col: str, vector: str, k: int, radius: float = float("inf"), trees: int = 6, probes: int = 4,
+    leaf: int = 512, sample: int = 65_536, block: int = 4096, seed: int = 7,
 ) -> DataFrame:
-    """Nearest neighbours within ``radius`` found through random-projection buckets."""
-    from pyspark.ml.feature import BucketedRandomProjectionLSH
-    from pyspark.ml.functions import array_to_vector
-
-    def vectors(df: DataFrame) -> DataFrame:
-        return df.select(F.col(id_col).alias("id"), array_to_vector(F.col(vector).cast("array<double>")).alias("features"))
-
-    b, q = vectors(base), vectors(queries)
-    model = BucketedRandomProjectionLSH(
-        inputCol="features", outputCol="hashes", bucketLength=bucket, numHashTables=tables, seed=seed
-    ).fit(b)
-    pairs = model.approxSimilarityJoin(q, b, radius, "dist").select(
-        F.col("datasetA.id").alias("query_id"), F.col("datasetB.id").alias("neighbour_id"), (F.col("dist") * F.col("dist")).alias("distance")
+    """(query_id, neighbour_id, distance, rank): nearest neighbours within ``radius`` found in the leaves of split trees.
+
+    The planes are fitted on a bounded sample (``sample`` rows by hash of the id); every base vector is filed under one
+    leaf a tree, about ``leaf`` rows each while the sample gives enough leaves.  A query looks into its own leaf and the
+    ``probes - 1`` beyond its nearest planes.  Only its ``k`` best of a block of a leaf leave the task, so no pairs are
+    put out; leaves above ``block`` rows are cut on both sides.  Copies are handled once, as in ``knn_exact``.
+    """
+    v = F.col(vector).cast("array<double>")
+    base = base.where(F.col(vector).isNotNull()).select(F.col(id_col).alias("bid"), v.alias("v"))
+    base = base.withColumn("rn", F.row_number().over(W.partitionBy("v").orderBy("bid"))).where(f"rn <= {k}").drop("rn")
+    asked = queries.where(F.col(vector).isNotNull()).select(F.col(id_col).alias("query_id"), v.alias("v"))
+    groups = asked.groupBy("v").agg(F.min("query_id").alias("qid"))
+    id_type, q_type = base.schema["bid"].dataType.simpleString(), groups.schema["qid"].dataType.simpleString()
+    out = f"query_id {q_type}, neighbour_id {id_type}, distance double, rank int"
+
+    rows = base.count()
+    points = _matrix(pd.Series([r["v"] for r in base.orderBy(F.xxhash64("bid"), "bid").limit(sample).collect()]))
+    if not len(points):
+        return base.sparkSession.createDataFrame([], out)
+    depth = max(0, int(np.ceil(np.log2(max(1.0, min(rows / leaf, len(points) / 16))))))
+    forest = base.sparkSession.sparkContext.broadcast(SplitTrees(points, depth, trees, seed))
+
+    def filed(df: DataFrame, key: str, kind: str, tries: int) -> DataFrame:
+        def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                if not len(batch):
+                    continue
+                m = _matrix(batch["v"])
+                for tree in range(trees):
+                    for at, node in forest.value.leaves(m, tree, tries):
+                        yield pd.DataFrame({key: batch[key].to_numpy()[at], "v": batch["v"].to_numpy()[at], "bucket": tree * (2 << depth) + node})
+
+        return df.select(key, "v").mapInPandas(place, f"{key} {kind}, v array<double>, bucket long")
+
+    left, right = filed(base, "bid", id_type, 1), filed(groups, "qid", q_type, probes)
+    # At most trees x leaves rows, so bounded by the sample.
+    sizes = left.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / block).alias("b_parts"))
+    wanted = right.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / block).alias("q_parts"))
+    parts = F.broadcast(sizes.join(wanted, "bucket"))
+    left = left.join(parts, "bucket").select(
+        "bucket", F.pmod(F.xxhash64("bid"), "b_parts").alias("bp"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("q_parts") - 1)).alias("qp"), "bid", "v"
     )
-    order = W.partitionBy("query_id").orderBy(F.round("distance", 9), "neighbour_id")
-    return pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    right = right.join(parts, "bucket").select(
+        "bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.col("b_parts") - 1)).alias("bp"), F.pmod(F.xxhash64("qid"), "q_parts").alias("qp"), "qid", "v"
+    )
+    keys = ["bucket", "bp", "qp"]
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
+        lambda b, q: _nearest(b, q, k, radius), f"qid {q_type}, bid {id_type}, distance double"
+    )
+    once = found.groupBy("qid", "bid").agg(F.min("distance").alias("distance"))  # several trees may find a pair
+    order = W.partitionBy("qid").orderBy(F.round("distance", 9), "bid")
+    best = once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    members = asked.join(groups.select("qid", F.col("v").alias("gv")), F.col("v") == F.col("gv")).select("query_id", "qid")
+    return members.join(best, "qid").select("query_id", F.col("bid").alias("neighbour_id"), "distance", "rank")
+
+
+def _nearest(b: pd.DataFrame, q: pd.DataFrame, k: int, radius: float) -> pd.DataFrame:
+    """The ``k`` nearest of one block for each of its queries."""
+    if not len(b) or not len(q):
+        return pd.DataFrame({"qid": [], "bid": [], "distance": []})
+    b = b.sort_values("bid")
+    base, out = _matrix(b["v"]), []
+    for start in range(0, len(q), 512):
+        some = q.iloc[start : start + 512]
+        d = _squared(_matrix(some["v"]), base)
+        take = np.argsort(np.round(d, 9), axis=1, kind="stable")[:, :k]
+        out.append(
+            pd.DataFrame(
+                {
+                    "qid": np.repeat(some["qid"].to_numpy(), take.shape[1]),
+                    "bid": b["bid"].to_numpy()[take].ravel(),
+                    "distance": np.take_along_axis(d, take, axis=1).ravel(),
+                }
+            )
+        )
+    found = pd.concat(out, ignore_index=True)
+    return found[found["distance"] <= radius * radius]

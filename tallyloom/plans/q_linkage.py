@@ -269,7 +269,7 @@ def _(t):
 
 @query("knn_approx")
 def _(t):
-    return neighbours.knn_approx(t.embeddings, t.embeddings, "vec_id", "embedding", 10, radius=1.5, bucket=0.5)
+    return neighbours.knn_approx(t.embeddings, t.embeddings, "vec_id", "embedding", 10, radius=1.5)
 
 
 @query("match_by_vector")
