@@ -372,17 +372,43 @@ def in_slice(rows: list[tuple[bytes, bytes, bytes]], counted: bool) -> tuple[np.
 def shared_postings(texts: DataFrame, slices: int, counted: bool) -> DataFrame:
     """Shingles that several texts have: (key, c), their number, if ``counted``, else each as (key, cell, df).
 
-    Rows come by slice, and a task holds one slice at a time.  Copies of a text in several packs keep
+    Rows come by slice, and a task holds one slice at a time.  A slice returns its counts in a row per pack, whatever
+    the texts, and a pack adds up what its slices counted.  Copies of a text in several packs keep
     accounts of their own, each of which is the text's number.
     """
 
+    def packed(pack: list[int], keys: list[bytes], own: list[bytes]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(pack, pa.int64()), pa.array(keys, pa.binary()), pa.array(own, pa.binary())], names=["pack", "keys", "own"])
+
     def counts(rows: list[tuple[bytes, bytes, bytes]], packs: list[int]) -> pa.RecordBatch:
         _, key, row, _ = in_slice(rows, True)
         order = np.lexsort((key, row))
         key, row = key[order], row[order]
         first = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (row[1:] != row[:-1])][: len(key)])
         c = np.diff(np.append(first, len(key)))
-        return pa.RecordBatch.from_arrays([pa.array(key[first]), pa.array(np.array(packs, np.int64)[row[first]]), pa.array(c.astype(np.int64))], names=["key", "pack", "c"])
+        key, row = key[first], row[first]
+        there, at = np.unique(row, return_index=True)
+        cut = lambda x: [part.tobytes() for part in np.split(x, at[1:])][: len(there)]
+        return packed([packs[i] for i in there.tolist()], cut(key), cut(c.astype(np.int64)))
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def result(keys: list[bytes], own: list[bytes]) -> pa.RecordBatch:
+            key, at = np.unique(np.frombuffer(b"".join(keys), np.int64), return_inverse=True)
+            c = np.zeros(len(key), np.int64)
+            np.add.at(c, at, np.frombuffer(b"".join(own), np.int64))
+            return pa.RecordBatch.from_arrays([pa.array(key), pa.array(c)], names=["key", "c"])
+
+        at, held = None, ([], [])
+        for batch in batches:
+            for pack, keys, own in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if pack != at and held[0]:
+                    yield result(*held)
+                    held = ([], [])
+                at = pack
+                held[0].append(keys)
+                held[1].append(own)
+        if held[0]:
+            yield result(*held)
 
     def cells(rows: list[tuple[bytes, bytes, bytes]], own: int) -> pa.RecordBatch:
         h, key, _, df = in_slice(rows, False)
@@ -395,8 +421,7 @@ def shared_postings(texts: DataFrame, slices: int, counted: bool) -> DataFrame:
             for own, left, place, keys, tally, pack in zip(*batch.columns, strict=True):
                 own = own.as_py()
                 if own < 0:
-                    key = np.frombuffer(keys.as_py(), np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.full(len(key), pack.as_py())), pa.array(np.frombuffer(tally.as_py(), np.int64))], names=["key", "pack", "c"])
+                    yield packed([pack.as_py()], [keys.as_py()], [tally.as_py()])
                     continue
                 if own != at and rows:
                     yield counts(rows, packs) if counted else cells(rows, at)
@@ -407,10 +432,12 @@ def shared_postings(texts: DataFrame, slices: int, counted: bool) -> DataFrame:
         if rows:
             yield counts(rows, packs) if counted else cells(rows, at)
 
-    found = postings(texts, slices, counted).mapInArrow(count, "key long, pack long, c long" if counted else "key long, cell long, df long")
+    found = postings(texts, slices, counted).mapInArrow(count, "pack long, keys binary, own binary" if counted else "key long, cell long, df long")
     if not counted:
         return found
-    return found.groupBy("key", "pack").agg(F.sum("c").alias("c")).groupBy("key").agg(F.max("c").alias("c"))
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = found.repartition(parts, "pack").sortWithinPartitions("pack").mapInArrow(total, "key long, c long")
+    return found.groupBy("key").agg(F.max("c").alias("c"))
 
 
 def chains(cells: DataFrame, similarity: float) -> DataFrame:

@@ -355,3 +355,17 @@ def test_toxic_documents_go_whatever_the_columns(llm):
     toxic = {r.doc_id for r in llm.read.parquet("/root/testdata/sf0.1/labels.parquet").where("toxic = 1").collect()}
     fine = {r.doc_id for r in llm.read.parquet("/root/testdata/sf0.1/labels.parquet").where("toxic = 0").collect()}
     assert len(toxic & ids) < 0.35 * len(toxic) and len(fine & ids) > 0.95 * len(fine)
+
+
+def test_counts_leave_a_slice_in_a_row_per_pack(llm, monkeypatch):
+    """Texts that share shingles in many slices: the rows grow with packs and slices, not with texts and slices."""
+    monkeypatch.setattr(simhash, "PACKED", 10_000)
+    words = [f"w{i}" for i in range(70)]
+    rows = [(" ".join([f"a{i}", *words[i % 30 : i % 30 + 40], f"b{i}"]),) for i in range(3000)]
+    frame = llm.createDataFrame(rows, "text string").repartition(4)
+    made, shuffled = [], type(frame).repartition
+    monkeypatch.setattr(type(frame), "repartition", lambda self, n, *by: (made.append(self) if isinstance(by[0], str) and by[0] == "pack" else None, shuffled(self, n, *by))[1])
+    often = {r.key: r.c for r in simhash.shared_postings(frame, 16, True).collect()}
+    assert len(often) == 3000 and set(often.values()) == {36}
+    packs = made[0].select("pack").distinct().count()
+    assert made[0].count() <= 17 * packs < 3000 / 4
