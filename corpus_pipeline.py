@@ -40,7 +40,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, 0.8 or more) the document with the smallest id; of its exact repeats one row."""
+    """Of each group of near copies (five-word shingles, 0.8 or more) the document with the smallest id; of its exact repeats one row.
+
+    The fingerprints of ``op4_simhash`` and their links come first and are verified; what differs in more bits is found by its rarest shingles.
+    """
     prepare(spark)
     groups = simhash.near_copies(docs)
     first = F.coalesce(F.min_by("text_hash", "least"), F.min("text_hash")).alias("__hash")

@@ -20,13 +20,15 @@ A null text counts as empty; a text without words has fingerprint 0 and is linke
 like any other.  Copies share one fingerprint and are folded before the join.
 Null ids keep their rows; a component of null ids only has a null id.
 
-``near_copies`` finds all texts that share ``SIMILAR`` of their five-word shingles,
-without fingerprints.  A text with a near copy shares that part of its shingles with
+``near_copies`` finds all texts that share ``SIMILAR`` of their five-word shingles.
+Every text goes through the fingerprints and their range join first: what is linked there is a
+crowd, and in a crowd all texts are compared exactly.  Near copies that differ in more
+bits are left to an exact second way.  A text with a near copy shares that part of its shingles with
 other texts, so the rest goes after one count of all shingles.  Of the others, two
 near copies share one of the rarest shingles of each (prefix filter: of n shingles,
 with the rarest first, n - ceil(SIMILAR * n) + 1).  Texts with such a shingle in common
-and sizes that allow it are chained, and what the chains connect is a crowd.  In
-a crowd all texts are compared exactly; only verified links leave it, so the
+and sizes that allow it are chained, and what the chains connect is a crowd too, compared
+between the groups that the first way has found, unless it is one of them.  Only verified links leave a crowd, so the
 forest that is kept of them loses nothing.  A hash collision adds work only, except that
 of the 64-bit hashes of whole texts and shingles.
 """
@@ -61,7 +63,10 @@ LOW = 0x5555555555555555
 
 def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     """Bit i is set if it is set in over half of the shingles' XXH64 hashes."""
-    words = text.encode("utf-8", "replace").lower().split()
+    return fingerprint_of_words(normal_words(text), shingle)
+
+
+def fingerprint_of_words(words: list[bytes], shingle: int = SHINGLE) -> int:
     if not words:
         return 0
     joined = b" ".join(words)
@@ -259,14 +264,14 @@ def text_key(words: list[bytes]) -> int:
 
 
 def key_of(text: Column) -> Column:
-    """Hash of the normal text (``key``) and its number of different shingles (``n``)."""
+    """Hash of the normal text (``key``), its number of different shingles (``n``) and its fingerprint (``fp``)."""
 
-    @F.pandas_udf("key long, n long")
+    @F.pandas_udf("key long, n long, fp long")
     def compute(texts: pd.Series) -> pd.DataFrame:
         known = WordHashes()
         cut = [normal_words(t) for t in texts]
-        keys = np.fromiter(map(text_key, cut), np.uint64, len(cut)).view(np.int64)
-        return pd.DataFrame({"key": keys, "n": [len(shingles(w, known)) for w in cut]})
+        keys, prints = (np.fromiter(map(f, cut), np.uint64, len(cut)).view(np.int64) for f in (text_key, fingerprint_of_words))
+        return pd.DataFrame({"key": keys, "n": [len(shingles(w, known)) for w in cut], "fp": prints})
 
     return compute(F.coalesce(text, F.lit("")))
 
@@ -472,14 +477,14 @@ def chains(cells: DataFrame, similarity: float) -> DataFrame:
     return found.where("cell is null").select("a", "b").unionByName(cells.sparkSession.createDataFrame(joined, "a long, b long"))
 
 
-def alike_in_crowd(key: np.ndarray, values: np.ndarray, ends: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """Exact links that connect what all links of these texts connect."""
+def alike_in_crowd(key: np.ndarray, part: np.ndarray, values: np.ndarray, ends: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Exact links that connect what all links of these texts connect, beside those known: texts of one ``part`` are connected."""
     n, size = len(key), np.diff(ends)
     kinds, at = np.unique(values, return_inverse=True)
     df = np.bincount(at, minlength=len(kinds))
     starts = np.cumsum(df) - df
     owner = np.repeat(np.arange(n), size)[np.argsort(at, kind="stable")]
-    part, a, b = np.arange(n), [], []
+    part, a, b = np.unique(part, return_inverse=True)[1], [], []
     for i in range(n - 1):
         if (part == part[0]).all():
             break
@@ -503,42 +508,49 @@ def alike_in_crowd(key: np.ndarray, values: np.ndarray, ends: np.ndarray, simila
 
 
 def alike_links(rows: DataFrame, similarity: float) -> DataFrame:
-    """(a, b) that connect the near copies among the texts (cell, key, set) of each cell."""
+    """(a, b) that connect the near copies of different parts among the texts (cell, key, part, set) of each cell."""
 
-    def result(cell: np.ndarray, key: np.ndarray, sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    def result(cell: np.ndarray, key: np.ndarray, part: np.ndarray, sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         cuts = np.r_[0, np.flatnonzero(np.diff(cell)) + 1, len(cell)].tolist()
         for x, y in zip(cuts, cuts[1:], strict=False):
             ends = np.r_[0, np.cumsum([len(s) for s in sets[x:y]])]
-            a, b = alike_in_crowd(key[x:y], np.concatenate(sets[x:y]), ends, similarity)
+            a, b = alike_in_crowd(key[x:y], part[x:y], np.concatenate(sets[x:y]), ends, similarity)
             if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, key, sets = np.zeros(0, np.int64), np.zeros(0, np.int64), []
+        cell, key, part, sets = *(np.zeros(0, np.int64) for _ in range(3)), []
         for batch in batches:
-            cell, key = np.r_[cell, batch.column(0).to_numpy()], np.r_[key, batch.column(1).to_numpy()]
-            sets += [s.values.to_numpy() for s in batch.column(2)]
+            cell, key, part = (np.r_[x, batch.column(i).to_numpy()] for i, x in enumerate((cell, key, part)))
+            sets += [s.values.to_numpy() for s in batch.column(3)]
             whole = int(np.argmax(cell == cell[-1])) if len(cell) else 0
             if whole:
-                yield from result(cell[:whole], key[:whole], sets[:whole])
-                cell, key, sets = cell[whole:], key[whole:], sets[whole:]
+                yield from result(cell[:whole], key[:whole], part[:whole], sets[:whole])
+                cell, key, part, sets = cell[whole:], key[whole:], part[whole:], sets[whole:]
         if len(cell):
-            yield from result(cell, key, sets)
+            yield from result(cell, key, part, sets)
 
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.select("cell", "key", "set").repartition(parts, "cell").sortWithinPartitions("cell")
+    dealt = rows.select("cell", "key", "part", "set").repartition(parts, "cell").sortWithinPartitions("cell")
     return dealt.mapInArrow(verify, "a long, b long")
 
 
 def meeting(crowds: DataFrame) -> DataFrame:
-    """(cell, key) of the texts (key, n, crowd): a crowd too large for a task is cut into chunks, each two of which meet in a cell."""
-    size = crowds.groupBy("crowd").agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("total"))
+    """(cell, key, part) of the texts (key, n, part, crowd): a crowd too large for a task is cut into chunks, each two of which meet in a cell; a crowd of one part has no links to find."""
+    size = crowds.groupBy("crowd").agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("total"), (F.min("part") < F.max("part")).alias("parts")).where("parts")
     fits = (F.col("texts") <= CELL) & (F.col("total") <= 2 * CROWD)
     chunks = F.when(fits, 1).otherwise(F.ceil(F.greatest(F.col("texts") / F.lit(CELL // 2), F.col("total") / F.lit(CROWD)))).cast("int")
     own = F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int")
     meet = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda c: F.struct(F.least(c, own).alias("x"), F.greatest(c, own).alias("y")))
-    split = crowds.join(size.select("crowd", chunks.alias("chunks")), "crowd").select("key", "crowd", F.explode(meet).alias("m"))
-    return split.select(F.xxhash64("crowd", "m.x", "m.y").alias("cell"), "key")
+    split = crowds.join(size.select("crowd", chunks.alias("chunks")), "crowd").select("key", "part", "crowd", F.explode(meet).alias("m"))
+    return split.select(F.xxhash64("crowd", "m.x", "m.y").alias("cell"), "key", "part")
+
+
+def alike_by_fingerprint(nodes: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """(a, b) that connect the near copies among the texts (key, fp) whose fingerprints are linked; ``sets`` (key, n, set) has all that can have one."""
+    near = nodes.join(near_groups(nodes, "key"), "fp").select("key", F.col("component_id").alias("crowd"))
+    crowds = cut_lineage(near.join(sets.select("key", "n"), "key").withColumn("part", F.col("key")))
+    return cut_lineage(alike_links(meeting(crowds).join(sets.select("key", "set"), "key"), similarity))
 
 
 def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILAR) -> DataFrame:
@@ -553,7 +565,7 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     text = F.col(f"`{text_col}`")
     own = df.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("text_hash"), key_of(text).alias("v")).select("id", "text_hash", "v.*")
     first = F.coalesce(F.min_by("text_hash", "id"), F.min("text_hash")).alias("text_hash")
-    nodes = cut_lineage(own.groupBy("key").agg(F.min("id").alias("least"), first, F.max("n").alias("n")))
+    nodes = cut_lineage(own.groupBy("key").agg(F.min("id").alias("least"), first, F.max("n").alias("n"), F.max("fp").alias("fp")))
     slices_for = lambda rows: max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(rows.agg(F.sum("n")).first()[0] or 0) // SLICE))
     often = shared_postings(df.select(text.alias("text")), slices_for(nodes), True)
     wanted = nodes.join(often, "key").where(F.col("c") >= least_shared(F.col("n"), similarity)).select("key", "text_hash", "n")
@@ -562,12 +574,14 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     hashes = wanted.select("text_hash")
     texts = texts.join(F.broadcast(hashes) if hashes.count() <= SMALL else hashes, "text_hash", "left_semi").groupBy("text_hash").agg(F.first("text").alias("text"))
     sets = cut_lineage(texts.join(wanted, "text_hash").select("key", "n", shingles_of(F.col("text")).alias("set")))
+    close = alike_by_fingerprint(nodes.select("key", "fp"), sets, similarity)
+    known = connected_components(close, "a", "b").select(F.col("id").alias("key"), F.col("cluster_id").alias("part"))
     cells = shared_postings(sets.select("key", "set"), slices_for(wanted), False).join(wanted.select("key", "n"), "key")
     rarest, mine = W.partitionBy("key").orderBy("df", "cell"), W.partitionBy("key")
     cells = cells.withColumn("nth", F.row_number().over(rarest)).withColumn("c", F.count(F.lit(1)).over(mine))
     cells = cut_lineage(cells.where(F.col("nth") <= F.col("c") - least_shared(F.col("n"), similarity) + 1).select("cell", "n", "key"))
     crowds = connected_components(chains(cells, similarity), "a", "b").select(F.col("id").alias("key"), F.col("cluster_id").alias("crowd"))
-    crowds = cut_lineage(crowds.join(wanted.select("key", "n"), "key"))
-    alike = alike_links(meeting(crowds).join(sets.select("key", "set"), "key"), similarity)
-    grouped = connected_components(alike, "a", "b").select(F.col("id").alias("key"), F.col("cluster_id").alias("root"))
+    crowds = crowds.join(wanted.select("key", "n"), "key").join(known, "key", "left").withColumn("part", F.coalesce("part", "key"))
+    alike = alike_links(meeting(cut_lineage(crowds)).join(sets.select("key", "set"), "key"), similarity)
+    grouped = connected_components(alike.unionByName(close), "a", "b").select(F.col("id").alias("key"), F.col("cluster_id").alias("root"))
     return nodes.join(grouped, "key", "left").select("key", "least", "text_hash", F.coalesce("root", "key").alias("root"))

@@ -369,3 +369,30 @@ def test_counts_leave_a_slice_in_a_row_per_pack(llm, monkeypatch):
     assert len(often) == 3000 and set(often.values()) == {36}
     packs = made[0].select("pack").distinct().count()
     assert made[0].count() <= 17 * packs < 3000 / 4
+
+
+def test_near_copies_by_fingerprint(llm, monkeypatch):
+    """Links of the fingerprints alone: those of 0.8 or more, no others; the second way gets no crowd that they settled."""
+    rng = np.random.default_rng(15)
+    rows = []
+    for base in range(40):
+        words = [f"b{base}w{x}" for x in rng.integers(0, 5000, 900)]
+        rows += [" ".join(words), " ".join([*words[:-1], "end"]), " ".join([*words, *(f"c{base}w{x}" for x in range(150))])][: 2 + base % 2]
+    line = "the same line again and again now "
+    rows += [line * 60 + " ".join(f"z{i}w{x}" for x in range(40)) for i in range(5)]  # one fingerprint, few shingles shared
+    prints = [simhash.fingerprint(t) for t in rows]
+    sets = [plain_shingles(t) for t in rows]
+    pairs = {(i, j) for i in range(len(rows)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 3}
+    alike = {(i, j) for i, j in pairs if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    assert 30 <= len(alike) < len(pairs)
+    seen, made = [], simhash.alike_links
+    monkeypatch.setattr(simhash, "alike_links", lambda r, s: (seen.append(r), made(r, s))[1])
+    proposed, of_prints = [], simhash.alike_by_fingerprint
+    monkeypatch.setattr(simhash, "alike_by_fingerprint", lambda *a: (proposed.append(of_prints(*a)), proposed[-1])[1])
+    assert near_roots(llm, rows) == plain_groups(dict(enumerate(sets)), 0.8)
+    by = {xxhash.xxh64_intdigest(b" ".join(t.lower().encode().split()), 42): i for i, t in enumerate(rows)}
+    got = {tuple(sorted((by[r.a % 2**64], by[r.b % 2**64]), reverse=True)) for r in proposed[0].collect()}
+    assert got == alike
+    texts = {by[r.key % 2**64] for r in seen[1].select("key").collect()}
+    settled = {i for pair in alike for i in pair if rows[i].startswith("b") and int(rows[i][1 : rows[i].index("w")]) % 2 == 0}
+    assert len(settled) > 10 and not settled & texts and len(texts) >= 60
