@@ -24,7 +24,7 @@ import heapq
 from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 from functools import cache
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -44,6 +44,8 @@ class Merges:
         self.ranks = ranks
         self.size = max(ranks.values(), default=0) + 2
         self.token = dict(zip(ranks.values(), ranks, strict=True))
+        #: The same by place, for looking up many; a gap in the ranks has no bytes to give.
+        self.tokens = [self.token.get(i) for i in range(self.size - 1)]
         self.byte = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         #: Left and right token as one number, to the token they make.
         self.into: dict[int, int] = {}
@@ -64,10 +66,15 @@ class Merges:
             return cls({base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)})
 
     def decode(self, ids: Iterable[int]) -> bytes:
-        return b"".join(map(self.token.__getitem__, ids))
+        return b"".join(map(self.tokens.__getitem__, ids))
 
     def replay(self, words: list[bytes]) -> list[np.ndarray]:
         """Ids of each word (none empty)."""
+        ids, ends = self.replayed(words)
+        return np.split(ids, ends[:-1]) if len(words) else []
+
+    def replayed(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words in a row, and where those of each end."""
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         #: Slot 0 and the slot after each word are walls.
         starts = np.cumsum(lengths + 1) - lengths
@@ -81,22 +88,13 @@ class Merges:
         index = filed(pair)
         symbol, due = symbols.tolist(), pair.tolist()
         following, before = list(range(1, total + 1)), list(range(-1, total - 1))
-        into, size, first_of = self.into, self.size, starts.tolist()
+        into, size, first_of = self.into.get, self.size, starts.tolist()
         queue = list(index)
         heapq.heapify(queue)
-
-        def file(place: int, rank: int) -> None:
-            due[place] = rank
-            if rank != WALL:
-                if rank in index:
-                    index[rank].append(place)
-                else:
-                    index[rank] = [place]
-                    heapq.heappush(queue, rank)
-
         while queue:
             rank = heapq.heappop(queue)
             places = sorted(index.pop(rank))
+            before_rank = rank * size
             waiting: list[int] = []
             until = 0
             for place in places:
@@ -109,11 +107,24 @@ class Merges:
                 right, left = following[gone], before[place]
                 symbol[place], symbol[gone], due[gone] = rank, WALL, WALL
                 following[place], before[right] = right, place
-                best = into.get(rank * size + symbol[right], WALL) if symbol[right] != WALL else WALL
-                file(place, best)
-                other = into.get(symbol[left] * size + rank, WALL) if symbol[left] != WALL else WALL
+                best = other = WALL
+                if symbol[right] != WALL:
+                    best = into(before_rank + symbol[right], WALL)
+                    if best != WALL:
+                        if best in index:
+                            index[best].append(place)
+                        else:
+                            index[best] = [place]
+                            heapq.heappush(queue, best)
+                due[place] = best
                 if symbol[left] != WALL:
-                    file(left, other)
+                    due[left] = other = into(symbol[left] * size + rank, WALL)
+                    if other != WALL:
+                        if other in index:
+                            index[other].append(left)
+                        else:
+                            index[other] = [left]
+                            heapq.heappush(queue, other)
                 if WALL < best < rank or WALL < other < rank:
                     word = bisect_right(first_of, place) - 1
                     until = first_of[word] + len(words[word])
@@ -123,8 +134,7 @@ class Merges:
         left = np.array(symbol)
         kept = left != WALL
         counts = np.append(0, np.cumsum(kept))
-        ids = left[kept]
-        return np.split(ids, counts[starts[1:]]) if len(words) else []
+        return left[kept], counts[starts + lengths]
 
 
 def filed(pair: np.ndarray) -> dict[int, list[int]]:
@@ -141,30 +151,40 @@ def loaded(path: str) -> Merges:
 
 
 class Encoder:
-    """Encodes texts, and remembers words while they fit."""
+    """Encodes texts, and remembers words while they fit: in two halves, of which the one not used lately goes."""
 
     def __init__(self, merges: Merges, pattern: str):
         self.merges, self.pattern = merges, regex.compile(pattern)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.held = 0
 
     def learn(self, words: Iterable[str]) -> None:
-        wanted = dict.fromkeys(words)
-        if self.held > KNOWN_BYTES:
-            self.known.clear()
-            self.held = 0
-        new = [w for w in wanted if w not in self.known]
-        raw = [w.encode() for w in new]
-        open_words = []
-        for word, data in zip(new, raw, strict=True):
-            whole = self.merges.ranks.get(data)
+        if self.held > KNOWN_BYTES // 2:
+            self.older, self.known, self.held = self.known, {}, 0
+        known, older = self.known, self.older
+        new = set(words).difference(known)
+        self.held += sum(map(len, new)) * 5 + 100 * len(new)
+        if older:
+            again = new.intersection(older)
+            known.update(zip(again, map(older.__getitem__, again), strict=True))
+            new -= again
+        open_words, raw = [], []
+        ranks = self.merges.ranks.get
+        for word in new:
+            data = word.encode()
+            whole = ranks(data)
             if whole is None:
-                open_words.append((word, data))
+                open_words.append(word)
+                raw.append(data)
             else:
-                self.known[word] = whole.to_bytes(4, "little")
-        for (word, _), ids in zip(open_words, self.merges.replay([d for _, d in open_words]), strict=True):
-            self.known[word] = ids.astype("<u4").tobytes()
-        self.held += sum(5 * len(d) + 100 for d in raw)
+                known[word] = whole.to_bytes(4, "little")
+        if raw:
+            ids, ends = self.merges.replayed(raw)
+            coded, start = ids.astype("<u4").tobytes(), 0
+            for word, end in zip(open_words, (4 * ends).tolist(), strict=True):
+                known[word] = coded[start:end]
+                start = end
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as unsigned 32-bit numbers, little end first."""
@@ -173,7 +193,7 @@ class Encoder:
         size = 0
 
         def finish() -> None:
-            self.learn(w for _, words in stretch for w in words)
+            self.learn(chain.from_iterable(words for _, words in stretch))
             for row, words in stretch:
                 out[row].append(b"".join(map(self.known.__getitem__, words)))
             stretch.clear()

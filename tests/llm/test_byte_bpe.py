@@ -74,3 +74,16 @@ def test_edges(odd_docs, no_docs):
     for r in rows:
         assert listed(bytes(r.ids)) == plain.encode_ordinary(r.text or "") and bytes(r.decoded) == (r.text or "").encode()
     assert byte_bpe.with_byte_bpe(no_docs, PATH, public_tokenizers.PATTERN).collect() == []
+
+
+def test_words_in_use_are_not_merged_again(monkeypatch):
+    """A memory full of words seen once keeps those of every text."""
+    monkeypatch.setattr(byte_bpe, "STRETCH", 50)
+    monkeypatch.setattr(byte_bpe, "KNOWN_BYTES", 60_000)
+    merged, replayed = [], byte_bpe.Merges.replayed
+    monkeypatch.setattr(byte_bpe.Merges, "replayed", lambda self, words: (merged.extend(words), replayed(self, words))[1])
+    encoder, plain = byte_bpe.Encoder(byte_bpe.loaded(PATH), public_tokenizers.PATTERN), library(PATH)
+    texts = [" ".join(["zxqvutter", "wqxylophine", *(f"q{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}xzqv{chr(97 + k)}jk" for k in range(26))]) for i in range(200)]
+    assert [listed(ids) for ids in encoder.encode(texts)] == [plain.encode_ordinary(t) for t in texts]
+    assert len(merged) > 5000 and merged.count(b" wqxylophine") == 1
+    assert len(encoder.known) + len(encoder.older) < 1500
