@@ -35,8 +35,8 @@ from tallyloom.session import cut_lineage, shared_folder
 
 #: Most words of a phrase, least occurrences, phrases returned, shards of a cycle, share in percent at which a longer phrase takes a shorter one's place.
 WORDS, OFTEN, SHOWN, SHARDS, WITHIN = 4, 30, 2000, 3, 80
-#: Bytes of text cut into words at once, and words whose numbers a task remembers.
-AT_ONCE, KNOWN = 4 << 20, 600_000
+#: Characters of text cut into words at once, those a task gathers for that over all groups, and words whose numbers it remembers.
+AT_ONCE, HELD, KNOWN = 2 << 20, 12 << 20, 600_000
 WALL = b"\xff"
 MARKS = b".,;:!?\n\x0b\x0c\r"
 LOWERED = bytes(WALL[0] if b in MARKS else b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -93,11 +93,13 @@ def levels(own: np.ndarray, salts: np.ndarray, new: np.ndarray, old: np.ndarray)
     done = np.zeros(len(places), bool)
     for length in range(1, WORDS + 1):
         h = blooms.mixed(running[places] + salts[length])
-        inside = blooms.has(new, h)
+        block, mask = blooms.place(h, len(new))  # both states have as many blocks
+        inside = (new[block] & mask) == mask
         yield length, places, h, inside, done
         part, past = np.zeros(len(running), bool), np.zeros(len(running), bool)
         part[places] = inside
-        past[places] = inside & blooms.has(old, h)
+        if len(old):
+            past[places] = inside if old is new else inside & ((old[block] & mask) == mask)
         running = running[:-1] * STEP + own[length:]
         places = np.flatnonzero(part[:-1] & part[1:])
         done = past[places] & past[places + 1]
@@ -105,19 +107,43 @@ def levels(own: np.ndarray, salts: np.ndarray, new: np.ndarray, old: np.ndarray)
             return
 
 
-def by_group(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, Numbered, list[bytes], int]]:
-    """Stretches of words of each group; the last column is the text, the others name its group."""
-    known = Numbered()
+def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[str]]]:
+    """Texts of a group from many batches, enough for a whole stretch if there are; so a phrase is counted once for all of them."""
+    held: dict[tuple, list[str]] = {}
+    sizes: dict[tuple, int] = {}
     for batch in batches:
         *keys, texts = (c.to_pylist() for c in batch.columns)
-        groups: dict[tuple, list[str]] = {}
         for key, text in zip(zip(*keys, strict=True), texts, strict=True):
-            groups.setdefault(key, []).append(text)
-        for key, own in groups.items():
-            for words, carried in stretches(own):
-                if len(known) > KNOWN:
-                    known = Numbered()
-                yield key, known, words, carried
+            held.setdefault(key, []).append(text)
+            sizes[key] = sizes.get(key, 0) + len(text)
+            if sizes[key] >= AT_ONCE:
+                del sizes[key]
+                yield key, held.pop(key)
+        while sum(sizes.values()) > HELD:
+            key = max(sizes, key=sizes.__getitem__)
+            del sizes[key]
+            yield key, held.pop(key)
+    yield from held.items()
+
+
+def by_group(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, Numbered, list[bytes], int]]:
+    """Stretches of words of each group; the last column is the text, the others name its group."""
+    known = Numbered()
+    for key, own in gathered(batches):
+        for words, carried in stretches(own):
+            if len(known) > KNOWN:
+                known = Numbered()
+            yield key, known, words, carried
+
+
+def coded(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A number from 0 for each value, equal ones alike, and one place of each number."""
+    order = np.argsort(values)
+    ranked = values[order]
+    new = np.r_[True, ranked[1:] != ranked[:-1]][: len(values)]
+    code = np.empty(len(values), np.int64)
+    code[order] = np.cumsum(new) - 1
+    return code, order[new]
 
 
 def dealt(texts: DataFrame) -> DataFrame:
@@ -155,26 +181,22 @@ def spelled(texts: DataFrame, state: np.ndarray) -> DataFrame:
     """(lang, phrase, words, n): exact counts of the phrases in the state, and of all words of a language as the phrase ''."""
     shared = texts.sparkSession.sparkContext.broadcast(state)
 
+    def rows(lang: str, length: int, phrases: list[str], n: np.ndarray) -> pa.RecordBatch:
+        same = [pa.array([x], t).take(pa.array(np.zeros(len(phrases), np.int32))) for x, t in ((lang, pa.string()), (length, pa.int32()))]
+        return pa.RecordBatch.from_arrays([same[0], pa.array(phrases, pa.string()), same[1], pa.array(n.astype(np.int64))], names=["lang", "phrase", "words", "n"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = shared.value
         for (lang,), known, words, carried in by_group(batches):
             ids = known.numbers(words)
-            phrases, lengths, counts = [""], [0], [int((ids[carried:] > 0).sum())]
+            yield rows(lang, 0, [""], np.array([(ids[carried:] > 0).sum()]))
+            part = np.zeros(len(ids), np.int64)  # number of the phrase that begins there
             for length, places, _, inside, _ in levels(known.hashes[ids], salts_of(lang), state, state):
-                own = places[inside & (places + length > carried)]
-                if not len(own):
-                    continue
-                group = ids[own]
-                for k in range(1, length):
-                    group = np.unique(group, return_inverse=True)[1] * len(known) + ids[own + k]
-                _, first, times = np.unique(group, return_index=True, return_counts=True)
-                phrases += [b" ".join(words[i : i + length]).decode() for i in own[first].tolist()]
-                lengths += [length] * len(first)
-                counts += times.tolist()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(phrases), pa.string()), pa.array(phrases, pa.string()), pa.array(lengths, pa.int32()), pa.array(counts, pa.int64())],
-                names=["lang", "phrase", "words", "n"],
-            )
+                own = places[inside]
+                part[own], first = coded(part[own] * len(known) + ids[own + length - 1])
+                times = np.bincount(part[own[own + length > carried]], minlength=len(first))
+                first, times = own[first][times > 0], times[times > 0]
+                yield rows(lang, length, [b" ".join(words[i : i + length]).decode() for i in first.tolist()], times)
 
     return texts.mapInArrow(count, "lang string, phrase string, words int, n long").groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n"))
 

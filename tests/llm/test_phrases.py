@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
 from tallyloom.llm import blooms, phrases
@@ -94,3 +95,15 @@ def test_edges(odd_docs, no_docs):
     got = sorted(tuple(r) for r in phrases.collocations(odd_docs, often=2).collect())
     assert got == plain_collocations(rows, 2, 2000) and got
     assert phrases.collocations(no_docs).collect() == []
+
+
+@pytest.mark.parametrize("at_once, held, stretches", [(4 << 20, 24 << 20, 2), (4 << 20, 500, 40), (100, 24 << 20, 40)])
+def test_stretches_gather_texts_of_many_batches(monkeypatch, at_once, held, stretches):
+    """Small batches of two languages make one stretch each, unless the bounds ask for more; no word is lost."""
+    monkeypatch.setattr(phrases, "AT_ONCE", at_once)
+    monkeypatch.setattr(phrases, "HELD", held)
+    batches = [pa.RecordBatch.from_pydict({"lang": ["de", "en"] * 3, "text": [f"a{i} b c, d", f"e{i} f"] * 3}) for i in range(40)]
+    found = list(phrases.by_group(iter(batches)))
+    words = Counter((key, w) for key, _, own, carried in found for w in own[carried:] if w != phrases.WALL)
+    assert words == Counter(((r["lang"],), w) for b in batches for r in b.to_pylist() for w in r["text"].encode().replace(b",", b"").split())
+    assert len(found) == 2 if stretches == 2 else len(found) > 2
