@@ -10,7 +10,7 @@ state per scan.  A phrase is active if both its parts are in the latest state, a
 cycle if both are in the state of a cycle ago: a task needs those two states only, and
 no list of phrases.  The texts are cut into words once; scans read their hashes.  Scans end when a cycle has brought nothing new.  A false
 positive of the filter makes a phrase be counted in vain.  Scans count 64-bit hashes of
-phrases; sums of hashes can only be too large, so the last scan counts the phrases of the
+phrases, dealt into slices by ranges of hashes, many packed in a row; sums of hashes can only be too large, so the last scan counts the phrases of the
 filter as words, exactly, and drops those below the threshold.  (A phrase is lost only
 if its hash meets that of a phrase whose cycle ends inside its own.)
 
@@ -32,11 +32,16 @@ from pyspark.sql import Window as W
 
 from tallyloom.llm import blooms
 from tallyloom.session import cut_lineage, shared_folder
+from tallyloom.session import stored as written
 
 #: Most words of a phrase, least occurrences, phrases returned, shards of a cycle, share in percent at which a longer phrase takes a shorter one's place.
 WORDS, OFTEN, SHOWN, SHARDS, WITHIN = 4, 30, 2000, 3, 80
 #: Characters of text cut into words at once, those a task gathers for that over all groups, and words whose numbers it remembers.
 AT_ONCE, HELD, KNOWN = 2 << 20, 12 << 20, 600_000
+#: Words of all texts for a slice of the counts, and most hashes in a row of them.
+SLICE, IN_ROW = 2_000_000, 100_000
+#: Counts of hashes, many packed in a row: 64-bit hashes, counts, and 32-bit numbers of the scans they began with.
+COUNTED = "slice int, h binary, n binary, since binary"
 WALL = b"\xff"
 MARKS = b".,;:!?\n\x0b\x0c\r"
 LOWERED = bytes(WALL[0] if b in MARKS else b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -158,8 +163,17 @@ def dealt(texts: DataFrame) -> DataFrame:
     return texts.select("lang", "shard", "text").mapInArrow(cut, "lang string, shard int, carried int, words binary")
 
 
-def scanned(stored: DataFrame, new: np.ndarray, old: np.ndarray, with_words: bool) -> DataFrame:
-    """(h, n) of the active phrases of stretches (lang, carried, words) that have not had their cycle."""
+def by_slice(h: np.ndarray, n: np.ndarray, since: np.ndarray, slices: int) -> pa.RecordBatch:
+    """Counts of ascending hashes as a row for each slice, a range of hashes."""
+    own = ((h >> np.uint64(32)) * np.uint64(slices) >> np.uint64(32)).astype(np.int32)
+    cuts = np.flatnonzero(np.diff(own)) + 1
+    starts = np.r_[0, cuts][: len(h)]
+    columns = [[x.tobytes() for x in np.split(values, cuts)][: len(starts)] for values in (h, n, since)]
+    return pa.RecordBatch.from_arrays([pa.array(own[starts]), *[pa.array(c, pa.binary()) for c in columns]], names=["slice", "h", "n", "since"])
+
+
+def scanned(stored: DataFrame, new: np.ndarray, old: np.ndarray, with_words: bool, scan: int, slices: int) -> DataFrame:
+    """(slice, h, n, since): the active phrases of stretches (lang, carried, words) that have not had their cycle, a row per stretch and slice."""
     state = stored.sparkSession.sparkContext.broadcast((new, old))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,9 +186,42 @@ def scanned(stored: DataFrame, new: np.ndarray, old: np.ndarray, with_words: boo
                         found.append(h[~done & (places + length > carried)])
                 if found:
                     h, n = np.unique(np.concatenate(found), return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], names=["h", "n"])
+                    yield by_slice(h, n.astype(np.int64), np.full(len(h), scan, np.int32), slices)
+
+    return stored.select("lang", "carried", "words").mapInArrow(count, COUNTED)
 
-    return stored.select("lang", "carried", "words").mapInArrow(count, "h long, n long")
+
+def summed(rows: DataFrame, often: int, open_after: int) -> DataFrame:
+    """Counts (slice, h, n, since) added up by hash, those that began after ``open_after``; ``hits`` has all hashes of ``often`` or more.  A task holds one slice at a time."""
+
+    def result(own: int, h: np.ndarray, n: np.ndarray, since: np.ndarray) -> Iterator[pa.RecordBatch]:
+        order = np.argsort(h)
+        h = h[order]
+        first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]][: len(h)])
+        h, n, since = h[first], np.add.reduceat(n[order], first), np.minimum.reduceat(since[order], first)
+        hits, live = h[n >= often], since > open_after
+        h, n, since = h[live], n[live], since[live]
+        for i in range(0, max(len(h), 1), IN_ROW):
+            row = [own, *(x[i : i + IN_ROW].tobytes() for x in (h, n, since)), b"" if i else hits.tobytes()]
+            kinds = [pa.int32(), *[pa.binary()] * 4]
+            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, kinds, strict=True)], names=["slice", "h", "n", "since", "hits"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
+        joined = lambda: (np.frombuffer(b"".join(x), t) for x, t in zip(zip(*held, strict=True), (np.uint64, np.int64, np.int32), strict=True))
+        for batch in batches:
+            for own, *counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if own != at and held:
+                    yield from result(at, *joined())
+                    held = []
+                at = own
+                if counts[0]:
+                    held.append(counts)
+        if held:
+            yield from result(at, *joined())
+
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(parts, "slice").sortWithinPartitions("slice").mapInArrow(add, f"{COUNTED}, hits binary")
 
 
 def spelled(texts: DataFrame, state: np.ndarray) -> DataFrame:
@@ -201,10 +248,16 @@ def spelled(texts: DataFrame, state: np.ndarray) -> DataFrame:
     return texts.mapInArrow(count, "lang string, phrase string, words int, n long").groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n"))
 
 
-def marks(hashes: DataFrame, blocks: int) -> DataFrame:
-    """(shard, block, mask) of hashes, as ``blooms.place`` has them."""
-    bits = " | ".join(f"shiftleft(1L, cast(shiftrightunsigned(h, {6 * i}) & 63 as int))" for i in range(blooms.BITS))
-    return hashes.selectExpr("0 AS shard", f"shiftrightunsigned(h, 32) & {blocks - 1}L AS block", f"{bits} AS mask")
+def marks(summed: DataFrame, blocks: int) -> DataFrame:
+    """(shard, block, mask) of the ``hits``, as ``blooms.place`` has them."""
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            block, mask = blooms.place(np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint64), blocks)
+            shard = np.zeros(len(block), np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(shard), pa.array(block), pa.array(mask.view(np.int64))], names=["shard", "block", "mask"])
+
+    return summed.select("hits").mapInArrow(place, "shard int, block long, mask long")
 
 
 def frequent_phrases(df: DataFrame, lang: Column, text: Column, deal: Column, often: int = OFTEN, shards: int = SHARDS) -> DataFrame:
@@ -220,6 +273,7 @@ def frequent_phrases(df: DataFrame, lang: Column, text: Column, deal: Column, of
     stored = spark.read.schema("lang string, carried int, words binary, shard int").parquet(f"{folder}/words")
     words = (stored.agg(F.sum(F.octet_length("words"))).first()[0] or 0) // 8
     blocks = blooms.blocks_for(words // 100)
+    slices = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-words // SLICE))
     states = [np.zeros(blocks, np.uint64)]
     live = None
     nothing = np.zeros(0, np.uint64)
@@ -227,15 +281,11 @@ def frequent_phrases(df: DataFrame, lang: Column, text: Column, deal: Column, of
         old = states[scan - shards] if scan >= shards else nothing
         if scan >= shards and np.array_equal(states[scan], old):
             break
-        rows = scanned(stored.where(F.col("shard") == scan % shards), states[scan], old, scan < shards)
-        rows = rows.withColumn("since", F.lit(scan))
+        rows = scanned(stored.where(F.col("shard") == scan % shards), states[scan], old, scan < shards, scan, slices)
         rows = rows if live is None else rows.unionByName(live)
-        open_ = F.col("since") > scan - shards + 1
-        merged = rows.groupBy("h").agg(F.sum("n").alias("n"), F.min("since").alias("since")).where(open_ | (F.col("n") >= often))
-        merged.write.parquet(f"{folder}/scan{scan}")
-        merged = spark.read.schema("h long, n long, since int").parquet(f"{folder}/scan{scan}")
-        states.append(states[scan] | blooms.collected(marks(merged.where(F.col("n") >= often), blocks), {0: blocks})[0])
-        live = merged.where(open_)
+        merged = written(summed(rows, often, scan - shards + 1), f"{folder}/scan{scan}")
+        states.append(states[scan] | blooms.collected(marks(merged, blocks), {0: blocks})[0])
+        live = merged.drop("hits")
     counts = spelled(own.select("lang", "text"), states[-1])
     return cut_lineage(counts.where((F.col("n") >= often) | (F.col("words") == 0)))
 

@@ -107,3 +107,21 @@ def test_stretches_gather_texts_of_many_batches(monkeypatch, at_once, held, stre
     words = Counter((key, w) for key, _, own, carried in found for w in own[carried:] if w != phrases.WALL)
     assert words == Counter(((r["lang"],), w) for b in batches for r in b.to_pylist() for w in r["text"].encode().replace(b",", b"").split())
     assert len(found) == 2 if stretches == 2 else len(found) > 2
+
+
+def test_counts_travel_packed_by_slice(llm, monkeypatch):
+    """A stretch makes a row per slice, however many phrases it has; a slice makes few rows; no count is lost."""
+    monkeypatch.setattr(phrases, "IN_ROW", 300)
+    words = [f"w{i % 977}" for i in range(5000)]
+    texts = llm.createDataFrame([("en", 0, " ".join(words))], "lang string, shard int, text string").coalesce(1)
+    nothing = phrases.np.zeros(0, phrases.np.uint64)
+    rows = phrases.scanned(phrases.dealt(texts), phrases.np.zeros(1, phrases.np.uint64), nothing, True, 7, 3)
+    assert rows.count() == 3
+    again = rows.withColumn("since", rows["since"])
+    out = phrases.summed(rows.unionByName(again), 12, 6).collect()
+    assert len(out) == sum(max(1, -(-sum(len(r.h) // 8 for r in out if r.slice == s) // 300)) for s in range(3)) < 20
+    n = phrases.np.concatenate([phrases.np.frombuffer(r.n, phrases.np.int64) for r in out])
+    assert len(n) == 977 and n.sum() == 10_000 and sum(len(r.hits) for r in out) == 8 * (n >= 12).sum() > 0
+    assert {s for r in out for s in phrases.np.frombuffer(r.since, phrases.np.int32).tolist()} == {7}
+    closed = phrases.summed(rows, 6, 7).collect()
+    assert not any(r.h for r in closed) and sum(len(r.hits) for r in closed) > 0
