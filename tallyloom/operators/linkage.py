@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 import sys
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from itertools import combinations, count
 
 import numpy as np
@@ -143,7 +143,7 @@ SLACK = 1e-9  # covers rounding in sums of weights
 
 def promising_pairs(
     records: DataFrame, weights: Mapping[str, Sequence[float]], needed: float, shares: Mapping[str, DataFrame], u_exact: Mapping[str, float],
-    id_col: str = "unique_id", block_rows: int = BLOCK_ROWS,
+    id_col: str = "unique_id", block_rows: int = BLOCK_ROWS, among: Callable[[Sequence[str]], bool] | None = None,
 ) -> DataFrame:
     """The pairs that agree on a blocking rule and can reach ``needed``, each once, where rare values weigh more.
 
@@ -152,6 +152,7 @@ def promising_pairs(
     A record therefore enters only the smallest sets that its own values let reach
     ``needed``: a common name pairs with nothing that a rare one may decide, at any size of the table.
     Both records of a pair have the same values on the set, so they enter it together.
+    With ``among`` only the sets of fields it holds for count.
     """
     place = {f: 1 << i for i, f in enumerate(FIELDS)}
     rest = {f: max(0.0, *weights[f][:-1]) for f in FIELDS}
@@ -164,7 +165,7 @@ def promising_pairs(
     for size in range(1, len(FIELDS) + 1):
         for fields in combinations(FIELDS, size):
             mask = sum(place[f] for f in fields)
-            if not any(set(r) <= set(fields) for r in RULES) or any(m & mask == m for m in sure):
+            if not any(set(r) <= set(fields) for r in RULES) or any(m & mask == m for m in sure) or (among and not among(fields)):
                 continue
             bound = sum(weights[f][-1] if f in fields else rest[f] for f in FIELDS)
             adjusted = [f for f in fields if f in shares]
@@ -199,14 +200,87 @@ def weight_needed(threshold: float, prior: float) -> float:
     return math.log2(threshold / (1 - threshold)) - math.log2(prior / (1 - prior))
 
 
+# Fields nearly unique to a person: they agree or not, and their values would keep records from folding.
+KEY_FIELDS = ["passport", "inn"]
+
+
+def spanning_pairs(
+    records: DataFrame, weights: Mapping[str, Sequence[float]], prior: float, threshold: float,
+    shares: Mapping[str, DataFrame], u_exact: Mapping[str, float], id_col: str = "unique_id", block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """Candidate pairs enough for the clusters: those at ``threshold`` among them connect the same records as all candidates at it.
+
+    Pairs that agree on a key field are all there.  Without that, a pair's score depends on the kinds of its records
+    alone: equal values of the other fields, and the same key fields present (which then differ).  So kinds meet
+    instead of records.  If two kinds reach the threshold, or one kind of several records with itself, each record
+    is paired with the first of one kind it reaches, and the first records of the kinds with each other: work grows
+    with the kinds of a block, links with the records.
+    """
+    needed = weight_needed(threshold, prior)
+    records = records.where(F.col(id_col).isNotNull()).select(id_col, *FIELDS)
+    if any(weights[f][1] < weights[f][0] for f in KEY_FIELDS):  # a pair may lose by agreeing: nothing folds
+        return promising_pairs(records, weights, needed, shares, u_exact, id_col, block_rows)
+    keyed = promising_pairs(records, weights, needed, shares, u_exact, id_col, block_rows, lambda fields: not set(KEY_FIELDS).isdisjoint(fields))
+
+    others = [f for f in FIELDS if f not in KEY_FIELDS]
+    has = [F.col(f).isNotNull().alias(f"has_{f}") for f in KEY_FIELDS]
+    kinds = records.groupBy(*others, *has).agg(F.min(id_col).alias("first"), F.count(F.lit(1)).alias("n"))
+    kinds = cut_lineage(kinds.withColumn("kind", F.monotonically_increasing_id()))
+    # A key field of a kind, where present, differs from that of any other kind and of its own other records.
+    own = lambda side: [F.when(F.col(f"has_{f}"), F.concat(F.lit(side), F.col("kind").cast("string"))).alias(f) for f in KEY_FIELDS]
+    stand = kinds.select("kind", *others, *own("l"))
+    met = promising_pairs(stand, weights, needed, shares, u_exact, "kind", block_rows, set(KEY_FIELDS).isdisjoint).drop("rule")
+    twins = kinds.where("n > 1")
+    twins = twins.select(*[F.col(f).alias(f"{f}_l") for f in others], *[c.alias(f"{f}_l") for f, c in zip(KEY_FIELDS, own("l"))],
+                         *[F.col(f).alias(f"{f}_r") for f in others], *[c.alias(f"{f}_r") for f, c in zip(KEY_FIELDS, own("r"))],
+                         F.col("kind").alias("id_l"), F.col("kind").alias("id_r"))
+    blocked = F.lit(False)
+    for rule in RULES:
+        if set(KEY_FIELDS).isdisjoint(rule):
+            ok = F.lit(True)
+            for f in rule:
+                ok = ok & F.col(f"{f}_l").isNotNull()
+            blocked = blocked | ok
+    met = met.unionByName(twins.where(blocked))
+    # Most pairs end here, before names are compared letter by letter.
+    most = F.lit(0.0)
+    for f in FIELDS:
+        a, b = F.col(f"{f}_l"), F.col(f"{f}_r")
+        apart = weights[f][0] if f in KEY_FIELDS else max(weights[f][:-1])
+        exact = weights[f][-1]
+        if f in shares:
+            exact += max(0.0, math.log2(u_exact[f] / (shares[f].agg(F.min("share")).first()[0] or u_exact[f])))
+        most = most + F.when(a.isNull() | b.isNull(), 0.0).when(a == b, exact).otherwise(apart)
+    met = met.where(most >= needed - SLACK)
+    linked = score_pairs(compare_pairs(met), weights, prior, shares, u_exact).where(F.col("match_probability") >= threshold)
+    first = kinds.select("kind", "first")
+    linked = linked.select("id_l", "id_r").join(first.toDF("id_l", "first_l"), "id_l").join(first.toDF("id_r", "first_r"), "id_r")
+    linked = stored(linked, f"{shared_folder(records.sparkSession, 'kinds')}/linked")
+
+    ends = F.array(F.struct(F.col("id_l").alias("kind"), F.struct(F.col("id_r").alias("to"), F.col("first_r").alias("first")).alias("x")),
+                   F.struct(F.col("id_r").alias("kind"), F.struct(F.col("id_l").alias("to"), F.col("first_l").alias("first")).alias("x")))
+    partner = linked.select(F.inline(ends)).groupBy("kind").agg(F.min("x").alias("x")).select("kind", F.col("x.first").alias("to"))
+    same = F.lit(True)
+    for f in others:
+        same = same & F.col(f"r.{f}").eqNullSafe(F.col(f"k.{f}"))
+    for f in KEY_FIELDS:
+        same = same & (F.col(f"r.{f}").isNotNull() == F.col(f"k.has_{f}"))
+    reached = records.alias("r").join(kinds.where("n > 1").join(partner, "kind").alias("k"), same)
+    links = reached.select(F.col(f"r.{id_col}").alias("a"), F.col("k.to").alias("b")).unionByName(linked.select(F.col("first_l").alias("a"), F.col("first_r").alias("b")))
+    links = links.where("a <> b").select(F.least("a", "b").alias("id_l"), F.greatest("a", "b").alias("id_r")).distinct()
+    for side in "lr":
+        links = links.join(records.select(F.col(id_col).alias(f"id_{side}"), *[F.col(f).alias(f"{f}_{side}") for f in FIELDS]), f"id_{side}")
+    return keyed.drop("rule").unionByName(links.select(*[c for c in keyed.columns if c != "rule"]))
+
+
 def deciding_pairs(
     records: DataFrame, weights: Mapping[str, Sequence[float]], prior: float, threshold: float = 0.95, id_col: str = "unique_id"
 ) -> DataFrame:
-    """The candidate pairs that can reach ``threshold`` at all, compared field by field."""
-    rules = passing_rules(RULES, weights, weight_needed(threshold, prior))
-    if not rules:
+    """Candidate pairs that decide the clusters at ``threshold`` (``spanning_pairs``), compared field by field."""
+    if not passing_rules(RULES, weights, weight_needed(threshold, prior)):
         raise ValueError("no agreement of fields can reach the threshold")
-    return compare_pairs(blocking_pairs(records, id_col, rules))
+    records = cut_lineage(records.select(id_col, *FIELDS))
+    return compare_pairs(spanning_pairs(records, weights, prior, threshold, {}, {}, id_col))
 
 
 def _name_level(field: str) -> Column:
@@ -352,10 +426,6 @@ def gamma_patterns(compared: DataFrame) -> DataFrame:
     return compared.groupBy(*[f"gamma_{f}" for f in FIELDS]).agg(F.count(F.lit(1)).alias("n"))
 
 
-# Fields nearly unique to a person: they agree or not, and their values would keep records from folding.
-KEY_FIELDS = ["passport", "inn"]
-
-
 def folded_patterns(records: DataFrame, rule: Sequence[str], block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(gamma levels but those of the key fields, ``both``, ``equal``, n): pairs of records that agree on the rule, counted without forming them.
 
@@ -596,7 +666,7 @@ def dedup_persons(
 ) -> tuple[DataFrame, DataFrame]:
     """(clusters(id, cluster_id), deduplicated records).
 
-    Profiles are paired, scored and clustered; copies then follow their profile
+    Profiles are paired (as far as the clusters need), scored and clustered; copies then follow their profile
     when a record compared with itself reaches the threshold.
     """
     full = ensure_columns(df, FIELDS)
@@ -607,7 +677,7 @@ def dedup_persons(
         weights = train_weights(people)
     shares = {f: value_shares(distinct, f) for f in adjust}
     u_exact = {f: shares[f].agg(F.sum(F.col("share") * F.col("share"))).first()[0] or 1.0 for f in adjust}
-    compared = compare_pairs(promising_pairs(people, weights, weight_needed(threshold, prior), shares, u_exact, id_col))
+    compared = compare_pairs(spanning_pairs(people, weights, prior, threshold, shares, u_exact, id_col))
     scored = score_pairs(compared, weights, prior, shares, u_exact).select("id_l", "id_r", "match_probability")
     # A profile with copies, compared with itself.
     twins = distinct.where("copies > 1").select("pid", *[F.col(f).alias(f"{f}_l") for f in FIELDS], *[F.col(f).alias(f"{f}_r") for f in FIELDS])
