@@ -57,3 +57,12 @@ def test_a_hot_name_takes_pairs_by_its_records_only(spark):
     """Six thousand records alike would be eighteen million pairs."""
     found = linkage.spanning_pairs(hot(spark), WEIGHTS, 0.001, 0.95, {}, {})
     assert 3000 < found.count() < 3 * 6000
+
+
+def test_one_record_stands_for_a_hot_name(spark):
+    frame = hot(spark, 3000).cache()
+    compared = linkage.deciding_pairs(frame, WEIGHTS, 0.001)
+    assert compared.count() < 3 * 3000
+    clusters = linkage.cluster_pairs(linkage.score_pairs(compared, WEIGHTS, 0.001))
+    kept = linkage.canonical_per_cluster(frame, clusters).select("unique_id", "cluster_id").collect()
+    assert kept == [(0, "0")]  # the two names are alike enough
