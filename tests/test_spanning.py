@@ -66,3 +66,13 @@ def test_one_record_stands_for_a_hot_name(spark):
     clusters = linkage.cluster_pairs(linkage.score_pairs(compared, WEIGHTS, 0.001))
     kept = linkage.canonical_per_cluster(frame, clusters).select("unique_id", "cluster_id").collect()
     assert kept == [(0, "0")]  # the two names are alike enough
+
+
+def test_clusters_of_hot_names_take_few_links(spark):
+    """Two names that are not alike, three thousand records each."""
+    frame = hot(spark).replace({"name0": "anna", "name1": "boris"}, subset=["name"])
+    compared = linkage.deciding_pairs(frame, WEIGHTS, 0.001)
+    assert compared.count() < 3 * 6000
+    clusters = linkage.cluster_pairs(linkage.score_pairs(compared, WEIGHTS, 0.001))
+    assert {r["cluster_id"] for r in clusters.select("cluster_id").distinct().collect()} == {0, 1}
+    assert clusters.count() == 6000
