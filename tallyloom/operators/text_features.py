@@ -67,11 +67,14 @@ def char_tfidf(docs: DataFrame, doc: str, text: str, max_features: int = 100_000
     return weigh(counts, doc, docs.count(), max_features=max_features)
 
 
-def user_word_counts(searches: DataFrame, end: str, days: int = 30, count_users: bool = True) -> tuple[DataFrame, int | None]:
+def user_word_counts(
+    searches: DataFrame, end: str, days: int = 30, count_users: bool = True, known: DataFrame | None = None
+) -> tuple[DataFrame, int | None]:
     """(user_id, term, tf) over word 1- and 2-grams of a user's joined queries, and the number of users.
 
     Bigrams across two consecutive queries come from the queries' last and first
-    words, so that no user's text is ever put together.
+    words, so that no user's text is ever put together.  ``known``: a bounded table of the only terms
+    to count; other terms end where they are made, before anything is grouped.
     """
     rows = searches.where(lookback(F.col("ts"), end, days)).select(
         "user_id", "ts", "search_id", normalize_query(F.col("search_query")).alias("q")
@@ -89,7 +92,10 @@ def user_word_counts(searches: DataFrame, end: str, days: int = 30, count_users:
     )
     pairs = F.when(n > 1, pairs).otherwise(F.array().cast("array<string>"))
     inside = words.select("user_id", F.explode(F.concat("words", pairs)).alias("term"))
-    counts = inside.unionByName(seams).groupBy("user_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    terms = inside.unionByName(seams)
+    if known is not None:
+        terms = terms.join(F.broadcast(known.select("term")), "term", "left_semi")
+    counts = terms.groupBy("user_id", "term").agg(F.count(F.lit(1)).alias("tf"))
     return counts, users
 
 
@@ -218,7 +224,7 @@ class TextModel:
 
     def components(self, searches: DataFrame, end: str) -> DataFrame:
         """Feature block: one column per component; users without a known term have no row."""
-        counts, _ = user_word_counts(searches, end, self.days, count_users=False)
+        counts, _ = user_word_counts(searches, end, self.days, count_users=False, known=self.table)
         w = (1 + F.log("tf")) * F.col("idf")
         known = counts.join(F.broadcast(self.table), "term").select("user_id", w.alias("w"), "vector")
         length = F.sqrt(F.sum(F.col("w") * F.col("w")))
